@@ -1,0 +1 @@
+"""Kept empty on purpose: the work this package reproduces is batch only, so there is no stream to run."""
