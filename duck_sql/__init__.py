@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from duck_sql import rfm, warehouse
+from duck_sql import basket, rfm, warehouse
 
 
 def all_sql() -> dict[str, str]:
     statements: dict[str, str] = {}
-    for part in (warehouse, rfm):
+    for part in (warehouse, rfm, basket):
         statements |= part.statements()
     return statements

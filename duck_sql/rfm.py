@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from duck_sql.base import items_sql
+from duck_sql.base import items_sql, rnd
 
 CALENDAR = """
     span AS (
@@ -64,14 +64,14 @@ SCORED = f"""
     ),
     final_snapshot AS (SELECT * FROM snapshots WHERE snapshot_date = (SELECT max(snapshot_date) FROM snapshots))"""
 
-SUMMARY = """
+SUMMARY = f"""
     segment_summary AS (
         SELECT snapshot_date, segment_code, segment_name, customer_count, total_monetary,
-               round(recency / CAST(customer_count AS DOUBLE), 2) AS average_recency_days,
-               round(orders / CAST(customer_count AS DOUBLE), 2) AS average_frequency,
-               round(CAST(total_monetary AS DOUBLE) / customer_count, 2) AS average_monetary,
-               round(customer_count / CAST(sum(customer_count) OVER (PARTITION BY snapshot_date) AS DOUBLE), 6) AS customer_share,
-               round(CAST(total_monetary AS DOUBLE) / CAST(sum(total_monetary) OVER (PARTITION BY snapshot_date) AS DOUBLE), 6) AS monetary_share
+               {rnd("recency / CAST(customer_count AS DOUBLE)", 2)} AS average_recency_days,
+               {rnd("orders / CAST(customer_count AS DOUBLE)", 2)} AS average_frequency,
+               {rnd("CAST(total_monetary AS DOUBLE) / customer_count", 2)} AS average_monetary,
+               {rnd("customer_count / CAST(sum(customer_count) OVER (PARTITION BY snapshot_date) AS DOUBLE)", 6)} AS customer_share,
+               {rnd("CAST(total_monetary AS DOUBLE) / CAST(sum(total_monetary) OVER (PARTITION BY snapshot_date) AS DOUBLE)", 6)} AS monetary_share
         FROM (
             SELECT snapshot_date, segment_code, segment_name, count(*) AS customer_count, sum(monetary) AS total_monetary,
                    CAST(sum(recency_days) AS DOUBLE) AS recency, CAST(sum(frequency) AS DOUBLE) AS orders

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.session import ensure_checkpoint_dir
+from tillroll.sources.stage import materialise
 
 
 def score_of_rank(rank: Column, rows: Column, bins: int) -> Column:
@@ -39,13 +39,12 @@ def ranked_by_range(df: DataFrame, by: str, order: list[str]) -> tuple[DataFrame
     """Rows with their exact `rank` per group of `by`, and group sizes, through one range sort.
 
     Rows are spread over tasks by value ranges of (by, order), so neither a large group nor a run of
-    equal values meets in one task as long as `order` is unique. The sorted rows are checkpointed:
+    equal values meets in one task as long as `order` is unique. The sorted rows are written out:
     counting and numbering must see the same ranges, also after a lost executor.
     """
-    ensure_checkpoint_dir(df.sparkSession)
     keys = [by, *order]
     rows = df.select(*keys).repartitionByRange(*keys).sortWithinPartitions(*keys)
-    rows = rows.withColumn("_position", F.monotonically_increasing_id()).checkpoint()
+    rows = materialise(rows.withColumn("_position", F.monotonically_increasing_id()), "ranked")
     rows = rows.withColumn("_range", F.shiftright("_position", 33))
     ranges = rows.groupBy(by, "_range").agg(F.count("*").alias("_count"), F.min("_position").alias("_first"))
     # One row per (group, task range): small whatever the number of rows.

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tillroll.config import RfmConfig
 from tillroll.functions import rfm as fn
+from tillroll.functions.numbers import round_ratio
 from tillroll.operators import ranking
 
 # Months per snapshot period.
@@ -192,6 +193,21 @@ def latest(snapshot_rows: DataFrame) -> DataFrame:
     return snapshot_rows.filter(F.col("snapshot_date") == last)
 
 
+def current(items: DataFrame, cfg: RfmConfig | None = None, customer_bound: int | None = None) -> DataFrame:
+    """Scored customers at the last snapshot only, without building the earlier ones."""
+    cfg = cfg or RfmConfig()
+    day_after = items.agg(F.date_add(F.max(F.col("invoice_ts").cast("date")), 1)).scalar()
+    base = items.groupBy("customer_id").agg(
+        F.max("invoice_ts").alias("latest_purchase_ts"),
+        F.count_distinct("invoice_no").alias("frequency"),
+        F.sum("item_amount").alias("monetary"),
+    )
+    values = base.withColumn("snapshot_date", day_after).withColumn(
+        "recency_days", fn.recency(F.col("latest_purchase_ts"), F.col("snapshot_date"))
+    )
+    return scored(values, cfg, customer_bound)
+
+
 def summarize(snapshot_rows: DataFrame) -> DataFrame:
     """Size, money, means and shares of every segment at every snapshot, largest money first."""
     per_segment = snapshot_rows.groupBy("snapshot_date", "segment_code", "segment_name").agg(
@@ -204,10 +220,10 @@ def summarize(snapshot_rows: DataFrame) -> DataFrame:
     c, customers = F.col, F.col("customer_count")
 
     def share(part: str) -> Column:
-        return F.round(c(part).cast("double") / F.sum(part).over(snapshot).cast("double"), 6)
+        return round_ratio(c(part).cast("double") / F.sum(part).over(snapshot).cast("double"), 6)
 
     def mean(total: str) -> Column:
-        return F.round(c(total).cast("double") / customers, 2)
+        return round_ratio(c(total).cast("double") / customers, 2)
 
     return per_segment.select(
         "snapshot_date",

@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.functions import standardise as std
-from tillroll.operators import audit, checks, kpi, rfm, warehouse
+from tillroll.config import BasketConfig
+from tillroll.operators import audit, basket, checks, kpi, rfm, warehouse
 from tillroll.sources import items as item_files
 from tillroll.sources import raw as raw_files
 from tillroll.sources import sample_tables as sample
+from tillroll.sources.stage import materialise
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -219,7 +221,7 @@ _on_items(
 )
 _on_items("rfm_calendar", rfm.calendar)
 _on_items("rfm_base", lambda items: rfm.rfm_base(items, "1999-12-31"))
-_on_items("rfm_snapshots", rfm.snapshot_values)
+query("rfm_snapshots")(lambda spark, sf_dir: rfm.snapshot_values(_items(spark, sf_dir)))
 
 
 @query("year_windows")
@@ -233,7 +235,7 @@ def year_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The customer table's row count, read from file footers, bounds the customers of any snapshot.
     bound = sample.table(spark, sf_dir, "customer").count()
-    return rfm.snapshots(sample.basket_items(spark, sf_dir), customer_bound=bound)
+    return rfm.snapshots(_items(spark, sf_dir), customer_bound=bound)
 
 
 def _on_snapshots(name: str, operator: Callable[[DataFrame], DataFrame]) -> None:
@@ -248,3 +250,109 @@ _on_snapshots("rfm_segments", lambda rows: rows)
 _on_snapshots("rfm_latest", rfm.latest)
 _on_snapshots("rfm_segment_summary", rfm.summarize)
 _on_snapshots("segment_migrations", rfm.migrations)
+
+
+# --- baskets and rules ----------------------------------------------------------------------------
+
+# Confidence limits under which the evenly spread sample tables have rules at all.
+_RULES = BasketConfig(min_confidence=0.15)
+_WIDE_RULES = BasketConfig(min_confidence=0.005)
+_SCOPE_RULES = BasketConfig(min_confidence=0.05)
+
+
+def _items(spark: SparkSession, sf_dir: str, product: str = "brand") -> DataFrame:
+    """Basket items as a stored table, the way jobs after the warehouse get them."""
+    return materialise(sample.basket_items(spark, sf_dir, product), "items")
+
+
+def _on_stored_items(name: str, operator: Callable[[DataFrame], DataFrame], product: str = "brand") -> None:
+    query(name)(lambda spark, sf_dir: operator(_items(spark, sf_dir, product)))
+
+
+def _segments(spark: SparkSession, sf_dir: str, items: DataFrame) -> DataFrame:
+    bound = sample.table(spark, sf_dir, "customer").count()
+    scored = rfm.current(items, customer_bound=bound)
+    return materialise(scored.select("customer_id", "segment_code", "segment_name"), "segments")
+
+
+Mining = tuple[DataFrame, DataFrame, DataFrame]
+
+
+def _mining(spark: SparkSession, sf_dir: str) -> Mining:
+    """Lines of all scopes, the scope table and the kept products."""
+    items = _items(spark, sf_dir)
+    segments = _segments(spark, sf_dir, items)
+    lines = basket.scoped_lines(items, segments, _RULES)
+    scopes = basket.scope_table(items, segments, _RULES)
+    return lines, scopes, basket.scope_products(lines, basket.scope_sizes(lines, scopes), _RULES)
+
+
+@query("basket_items")
+def basket_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return basket.prepare(sample.basket_items(spark, sf_dir))
+
+
+@query("basket_scopes")
+def basket_scopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines, scopes, _ = _mining(spark, sf_dir)
+    named = lines.join(scopes.select("scope", F.col("segment_name").alias("scope_name")), "scope")
+    return named.select("scope", "scope_name", "invoice_no", "customer_id", "stock_code", "product_name")
+
+
+@query("scope_products")
+def scope_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _mining(spark, sf_dir)[2].select("scope", "stock_code", "coverage")
+
+
+def _baskets(spark: SparkSession, sf_dir: str) -> Mining:
+    lines, scopes, products = _mining(spark, sf_dir)
+    products = materialise(products, "scope-products")
+    return materialise(basket.scope_baskets(lines, products, _RULES), "scope-baskets"), scopes, products
+
+
+@query("scope_baskets")
+def scope_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    baskets, _, products = _baskets(spark, sf_dir)
+    wide = baskets.select("scope", "invoice_no", F.explode("content.item").alias("item"))
+    codes = basket.small(products.select("scope", "item", "stock_code"), basket.MAX_SCOPES * _RULES.max_products)
+    grouped = wide.join(codes, ["scope", "item"]).groupBy("scope", "invoice_no")
+    by_code = F.sort_array(F.collect_list("stock_code"))
+    return grouped.agg(F.array_join(by_code, "|").alias("codes"), F.count("*").alias("width"))
+
+
+@query("frequent_itemsets")
+def frequent_itemsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    baskets, scopes, products = _baskets(spark, sf_dir)
+    found = basket.itemsets(baskets, basket.basket_sizes(baskets, scopes), _RULES)
+    return basket.named_itemsets(found, basket.product_catalog(baskets, products))
+
+
+@query("product_catalog")
+def product_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    baskets, _, products = _baskets(spark, sf_dir)
+    return basket.product_catalog(baskets, products).select("scope", "stock_code", "product_name")
+
+
+_on_items("association_rules", lambda items: basket.mine(items, cfg=_RULES))
+_on_items("association_rules_wide", lambda items: basket.mine(items, cfg=_WIDE_RULES))
+
+
+@query("top_rules_per_scope")
+def top_rules_per_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = _items(spark, sf_dir)
+    return basket.mine(items, _segments(spark, sf_dir, items), _SCOPE_RULES, limit=10)
+
+
+@query("segment_rules")
+def segment_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = _items(spark, sf_dir)
+    return basket.mine(items, _segments(spark, sf_dir, items), _RULES)
+
+
+def _drift(items: DataFrame) -> DataFrame:
+    previous, current = rfm.year_windows(items)
+    return basket.drift(*basket.mine_periods(previous, current, _WIDE_RULES))
+
+
+_on_stored_items("rule_drift", _drift)
+_on_stored_items("drift_counts", lambda items: basket.drift_counts(_drift(items)))
