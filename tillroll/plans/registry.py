@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.functions import standardise as std
-from tillroll.config import BasketConfig
-from tillroll.operators import audit, basket, checks, kpi, rfm, warehouse
+from tillroll.functions.numbers import round_ratio
+from tillroll.config import AugmentationConfig, BasketConfig
+from tillroll.operators import audit, basket, checks, generate, kpi, profiles, recommend, rfm, serving, warehouse
+from tillroll.schemas import MARTS
 from tillroll.sources import items as item_files
 from tillroll.sources import raw as raw_files
 from tillroll.sources import sample_tables as sample
+from tillroll.sources.marts import contract_report, to_contract
 from tillroll.sources.stage import materialise
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -356,3 +360,181 @@ def _drift(items: DataFrame) -> DataFrame:
 
 _on_stored_items("rule_drift", _drift)
 _on_stored_items("drift_counts", lambda items: basket.drift_counts(_drift(items)))
+
+
+# --- marts and serving ----------------------------------------------------------------------------
+
+
+def _on_marts(name: str, mart: str, build: Callable[[DataFrame], DataFrame], ask: Callable[[serving.Marts], DataFrame]) -> None:
+    """Query over one mart that is built from stored basket items."""
+    query(name)(lambda spark, sf_dir: ask({mart: to_contract(build(_items(spark, sf_dir)), MARTS[mart])}))
+
+
+def _on_snapshot_marts(name: str, ask: Callable[[serving.Marts], DataFrame]) -> None:
+    """Query over the customer, segment and movement marts."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = materialise(_snapshots(spark, sf_dir), "snapshots")
+        frames = {
+            "rfm_customer_snapshot": rows,
+            "rfm_segment_summary": rfm.summarize(rows),
+            "segment_migration": rfm.migrations(rows),
+        }
+        return ask({mart: to_contract(df, MARTS[mart]) for mart, df in frames.items()})
+
+    query(name)(run)
+
+
+_on_marts("q_overview", "business_overview", kpi.kpi_overview, serving.overview)
+_on_marts("q_monthly", "monthly_sale", kpi.kpi_monthly, serving.monthly)
+_on_marts("q_top_products", "top_product", kpi.top_products, serving.top_products)
+_on_snapshot_marts("q_latest_snapshot", serving.latest_snapshot)
+_on_snapshot_marts("q_segments", serving.segments)
+_on_snapshot_marts("q_customers_page", lambda marts: serving.customers(marts, segment="LOYAL", page=2, size=25))
+_on_snapshot_marts("q_migrations", serving.migrations)
+_on_marts(
+    "q_rules",
+    "association_rule",
+    lambda items: basket.mine(items, cfg=_WIDE_RULES),
+    lambda marts: serving.rules(marts, min_confidence=0.01, product="Brand#7", limit=50),
+)
+_on_marts("q_drift", "rule_drift", _drift, lambda marts: serving.drift(marts, status="GROWING", limit=100))
+
+
+@query("mart_key_duplicates")
+def mart_key_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = _items(spark, sf_dir)
+    rows = materialise(rfm.snapshots(items, customer_bound=sample.table(spark, sf_dir, "customer").count()), "snapshots")
+    frames = {
+        "monthly_sale": kpi.kpi_monthly(items),
+        "top_product": kpi.top_products(items),
+        "rfm_customer_snapshot": rows,
+        "rfm_segment_summary": rfm.summarize(rows),
+        "segment_migration": rfm.migrations(rows),
+    }
+    return contract_report(frames)
+
+
+def _scenario(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Basket items, customer segments and scenario lines, all stored."""
+    items = _items(spark, sf_dir)
+    segments = _segments(spark, sf_dir, items)
+    lines = to_contract(sample.scenario_lines(items, segments), MARTS["synthetic_transaction"])
+    return items, segments, materialise(lines, "scenario")
+
+
+@query("q_augmentation_summary")
+def q_augmentation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return serving.augmentation_summary({"synthetic_transaction": _scenario(spark, sf_dir)[2]})
+
+
+# Confidence limit for predictions that the evenly spread sample tables can reach.
+_PREDICTION_CONFIDENCE = 0.1
+
+
+@query("q_companions")
+def q_companions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items, segments, lines = _scenario(spark, sf_dir)
+    asked = materialise(sample.requests(items, segments), "requests")
+    return recommend.companions(lines, asked, _PREDICTION_CONFIDENCE)
+
+
+@query("recommendations")
+def recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items, segments, lines = _scenario(spark, sf_dir)
+    rules = materialise(to_contract(basket.mine(items, segments, _RULES), MARTS["association_rule"]), "rules")
+    asked = materialise(sample.requests(items, segments, min_lift=1.1), "requests")
+    marts = {"association_rule": rules, "synthetic_transaction": lines}
+    return recommend.recommend(marts, asked, min_prediction_confidence=_PREDICTION_CONFIDENCE)
+
+
+# --- profiles and scenario lines ------------------------------------------------------------------
+
+# Limits below the sample tables' 25 brands and 13 lines per order, so that every limit takes effect.
+_SCENARIO = AugmentationConfig(
+    relation_products=20, max_products_per_basket=5, top_anchors=12, segment_products=15, batch_id=sample.SCENARIO_BATCH
+)
+
+
+def _relations(items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Product profiles and directed relations."""
+    goods = materialise(profiles.profiles(warehouse.positive_rows(items)), "profiles")
+    pairs, counts = profiles.pair_counts(items, profiles.best_sellers(goods, _SCENARIO.relation_products), _SCENARIO)
+    return goods, profiles.relations(pairs, counts, items, _SCENARIO)
+
+
+def _rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
+    return df.withColumns({name: round_ratio(F.col(name), digits) for name in names})
+
+
+_on_stored_items("product_profiles", lambda items: profiles.profiles(warehouse.positive_rows(items)), product="part")
+
+
+@query("cooccurrence_pairs")
+def cooccurrence_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = _items(spark, sf_dir)
+    best = profiles.best_sellers(profiles.profiles(items), _SCENARIO.relation_products)
+    return profiles.pair_counts(items, best, _SCENARIO)[0]
+
+
+_on_stored_items(
+    "product_relations",
+    lambda items: _rounded(_relations(items)[1], 6, "confidence", "lift", "score", "generation_confidence"),
+)
+
+
+@query("anchor_products")
+def anchor_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    anchors = profiles.anchors(*_relations(_items(spark, sf_dir)), _SCENARIO.top_anchors)
+    return anchors.select("stock_code", "sales_rank", "anchor_index")
+
+
+def _on_segment_items(name: str, operator: Callable[[DataFrame], DataFrame]) -> None:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        items = _items(spark, sf_dir)
+        return operator(materialise(profiles.with_segment(items, _segments(spark, sf_dir, items)), "segment-items"))
+
+    query(name)(run)
+
+
+def _budgets(segment_items: DataFrame) -> DataFrame:
+    per_customer, per_segment = profiles.budgets(segment_items)
+    parts = {"customer": per_customer, "segment": per_segment}
+    rows = [df.toDF("key", "budget").select(F.lit(level).alias("level"), "*") for level, df in parts.items()]
+    return rows[0].unionByName(rows[1])
+
+
+_on_segment_items("segment_customer_weights", lambda items: _rounded(profiles.customer_weights(items), 9, "weight"))
+_on_segment_items(
+    "segment_top_products", lambda items: profiles.segment_products(items, _SCENARIO.segment_products)
+)
+_on_segment_items("anchor_segment_share", lambda items: _rounded(profiles.anchor_segments(items), 9, "share"))
+_on_segment_items("basket_budgets", _budgets)
+_on_segment_items(
+    "segment_candidates",
+    lambda items: profiles.restrict(
+        profiles.segment_products(items, _SCENARIO.segment_products), profiles.profiles(warehouse.positive_rows(items))
+    ),
+)
+
+
+@query("augmentation_report")
+def augmentation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items, _, lines = _scenario(spark, sf_dir)
+    goods, related = _relations(items)
+    anchors = profiles.anchors(goods, related, _SCENARIO.top_anchors)
+    return generate.quality_report(lines, _SCENARIO, anchors.count(), goods.count())
+
+
+@query("augmented_union")
+def augmented_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items, _, lines = _scenario(spark, sf_dir)
+    return generate.augment(items, lines, _SCENARIO.batch_id)
+
+
+@query("synthetic_transactions")
+def synthetic_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many generated lines as observed ones; hashed draws have no SQL counterpart."""
+    items = _items(spark, sf_dir)
+    cfg = replace(_SCENARIO, target_rows=max(10_000, items.count()))
+    return generate.generate(items, _segments(spark, sf_dir, items), cfg)[0]

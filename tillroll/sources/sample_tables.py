@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.fixed_values import GENERATION_MODEL
+from tillroll.fixed_values import ALL_SCOPE, GENERATION_MODEL
 from tillroll.operators import warehouse
 from tillroll.schemas import RAW
 
 BATCH = "20260101T000000Z"
+SCENARIO_BATCH = "SCENARIO-TABLES"
 
 # Price per piece with four decimals, rounded half up in whole numbers, as text.
 _PIECES = "CAST(l_quantity AS BIGINT)"
@@ -68,13 +69,11 @@ def basket_items(spark: SparkSession, sf_dir: str, product: str = "brand") -> Da
     return warehouse.basket_item(fact(spark, sf_dir, product))
 
 
-def scenario_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Basket items in the layout of generated lines; the market segment stands for the source segment."""
-    items = basket_items(spark, sf_dir)
-    customers = table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").cast("string").alias("customer_id"), F.col("c_mktsegment").alias("source_segment_code")
-    )
-    return items.join(customers, "customer_id").select(
+def scenario_lines(items: DataFrame, segments: DataFrame) -> DataFrame:
+    """Basket items in the layout of generated lines: one name per product, the customer's segment as source."""
+    source = segments.select("customer_id", F.col("segment_code").alias("source_segment_code"))
+    names = items.groupBy("stock_code").agg(F.max("product_name").alias("product_name"))
+    return items.drop("product_name").join(names, "stock_code").join(source, "customer_id").select(
         F.concat_ws("-", "invoice_no", "customer_id", "stock_code").alias("synthetic_line_id"),
         "invoice_no",
         "customer_id",
@@ -84,7 +83,21 @@ def scenario_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("item_quantity").cast("int").alias("item_quantity"),
         "item_amount",
         "source_segment_code",
-        F.expr("CAST(0.58 + (item_quantity % 40) / 100 AS DECIMAL(10,6))").alias("generation_confidence"),
+        ((F.col("item_quantity") % 40 + 58) / F.lit(100)).cast("decimal(10,6)").alias("generation_confidence"),
         F.lit(GENERATION_MODEL).alias("generation_model"),
-        F.lit("SCENARIO-TABLES").alias("generation_batch_id"),
+        F.lit(SCENARIO_BATCH).alias("generation_batch_id"),
+    )
+
+
+def requests(items: DataFrame, segments: DataFrame, min_lift: float = 1.05, max_results: int = 5) -> DataFrame:
+    """One recommendation request per product and segment that buys it, and per product for all customers."""
+    bought = items.select("customer_id", "stock_code").join(segments.select("customer_id", "segment_code"), "customer_id")
+    scope = F.explode(F.array(F.col("segment_code"), F.lit(ALL_SCOPE))).alias("segment_code")
+    asked = bought.select(scope, F.col("stock_code").alias("product_code")).distinct()
+    return asked.select(
+        F.concat_ws(":", "segment_code", "product_code").alias("request_id"),
+        "segment_code",
+        "product_code",
+        F.lit(min_lift).alias("min_lift"),
+        F.lit(max_results).alias("max_results"),
     )
