@@ -36,7 +36,7 @@ def norm_id(value: Column, data_type: T.DataType) -> Column:
         shortest = value.cast("string")
         whole = shortest.try_cast("decimal(38,0)").cast("string")
         plain = F.regexp_replace(shortest.try_cast("decimal(38,21)").cast("string"), r"0+$", "")
-        text = F.when(value == F.floor(value), whole).otherwise(F.coalesce(plain, shortest))
+        text = F.coalesce(F.when(value == F.rint(value), whole).otherwise(plain), shortest)
     else:
         text = strip(value.cast("string"))
     return F.coalesce(text, F.lit(""))

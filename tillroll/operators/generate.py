@@ -104,8 +104,8 @@ def _synthetic_id(number: Column) -> Column:
 class Context:
     """Stored inputs of the generator; all but the customers are small."""
 
-    anchors: DataFrame
     anchor_count: int
+    product_count: int
     choices: DataFrame
     candidates: DataFrame
     segments: DataFrame
@@ -191,10 +191,9 @@ def prepare_context(items: DataFrame, segments: DataFrame, cfg: AugmentationConf
     listed = shares.groupBy("anchor_index").agg(
         F.sort_array(F.collect_list(F.when(c("segment_code").isNotNull(), F.struct("segment_code", "share")))).alias("own")
     )
-    choices = listed.select(
-        "anchor_index", rnd.running_shares(F.when(F.size("own") > 0, c("own")).otherwise(every), "share").alias("choices")
-    )
-    choices = materialise(choices, "anchor-choices")
+    listed = listed.select("anchor_index", F.when(F.size("own") > 0, c("own")).otherwise(every).alias("own"))
+    listed = materialise(listed, "anchor-segments")
+    choices = listed.select("anchor_index", rnd.running_shares(c("own"), "share").alias("choices"))
     best = pf.restrict(pf.segment_products(segment_items, cfg.segment_products), goods)
 
     # Existing customers: bucket, then order count, then position, each drawn by its weight.
@@ -221,8 +220,8 @@ def prepare_context(items: DataFrame, segments: DataFrame, cfg: AugmentationConf
         .select("segment_code", "pool_first", "pool_size", "segment_budget", rnd.running_shares(c("buckets"), "weight").alias("buckets"))
     )
     return Context(
-        anchors=anchors,
         anchor_count=anchor_count,
+        product_count=product_count,
         choices=choices,
         candidates=materialise(_candidates(anchors, choices, related, best, goods, cfg), "candidates"),
         segments=materialise(segment_rows, "segment-rows"),
