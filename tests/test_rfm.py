@@ -123,7 +123,7 @@ line_strategy = st.tuples(
 )
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(line_strategy, min_size=1, max_size=25))
 def test_running_sums_equal_naive_snapshots(make_items, lines):
     # Few invoice numbers over many days: invoices span month ends, and several customers share one.

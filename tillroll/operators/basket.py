@@ -177,13 +177,16 @@ def itemsets(baskets: DataFrame, sizes: DataFrame, cfg: BasketConfig) -> DataFra
         return apart.select("scope", *chosen, "item", F.slice("later", c("at") + 2, F.size("later")).alias("later"))
 
     numbers = baskets.select("scope", c("content.item").alias("later"))
-    singles = frequent(numbers.select("scope", F.explode("later").alias("item")), F.array("item"), "itemsets-1")
-    found = [singles]
-    if cfg.max_itemset_length >= 2:
-        starts = step(numbers).filter(F.size("later") > 0)
-        pairs = starts.select("scope", "item", F.explode("later").alias("other"))
-        pairs = frequent(pairs, F.array("item", "other"), "itemsets-2")
-        found.append(pairs)
+    starts = step(numbers)
+    one = F.array(c("item"))
+    if cfg.max_itemset_length == 1:
+        return frequent(starts, one, "itemsets-1")
+    # One row per chosen item counts the item itself and its pairs with the later items.
+    with_pairs = F.concat(F.array(one), F.transform("later", lambda other: F.array(c("item"), other)))
+    short = frequent(starts.select("scope", F.explode(with_pairs).alias("itemset")), c("itemset"), "itemsets-2")
+    found = [short]
+    if cfg.max_itemset_length >= 3:
+        pairs = short.filter(F.size("itemset") == 2)
         near = pairs.groupBy("scope", c("itemset")[0].alias("item")).agg(F.collect_list(c("itemset")[1]).alias("near"))
         near = small(near, MAX_SCOPES * cfg.max_products * max(1, cfg.max_products // 50))
         grown = starts.join(near, ["scope", "item"]).select(
@@ -272,7 +275,6 @@ def top_rules(measured: DataFrame, catalog: DataFrame, scopes: DataFrame, limit:
 
 def mine_lines(lines: DataFrame, scopes: DataFrame, cfg: BasketConfig, limit: int | None = None) -> DataFrame:
     """Rules of every scope of prepared lines."""
-    scopes = materialise(scopes, "scopes")
     products = materialise(scope_products(lines, scope_sizes(lines, scopes), cfg), "scope-products")
     baskets = materialise(scope_baskets(lines, products, cfg), "scope-baskets")
     sizes = materialise(basket_sizes(baskets, scopes), "basket-sizes")
