@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from tillroll.fixed_values import NON_MERCHANDISE_CODES
 
-# Fixed value: shapes of text that count as a timestamp.
-_TIMESTAMP = r"^\s*\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{1,2}:\d{1,2}(\.\d+)?)?\s*$"
+# Shortest text with year, month and day; casts alone would also read a bare year or month.
+_SHORTEST_DAY = len("2010-1-1")
 
 
 def filled(text: Column) -> Column:
@@ -31,7 +31,7 @@ def line_amount(quantity: Column, unit_price: Column) -> Column:
 
 def wall_clock(text: Column) -> Column:
     """Timestamp without time zone, null when the text is none."""
-    return F.when(text.rlike(_TIMESTAMP), text.try_cast("timestamp_ntz"))
+    return F.when(F.length(F.trim(text)) >= _SHORTEST_DAY, text.try_cast("timestamp_ntz"))
 
 
 def is_cancelled(invoice_no: Column) -> Column:

@@ -25,6 +25,7 @@ from tillroll.sources.stage import materialise
 _DRAW_FROM = 30
 _OTHER_RELATIONS = 9
 _MAX_SEGMENTS = len(fixed.SEGMENT_NAMES)
+_POOL_CHUNK = 10_000
 
 
 @dataclass(frozen=True)
@@ -90,10 +91,14 @@ def synthetic_pool(sizes: DataFrame, customers: int) -> DataFrame:
 
 
 def pool_customers(pool: DataFrame) -> DataFrame:
-    """All new customers with their segment."""
-    numbers = F.sequence(F.col("pool_first"), F.col("pool_first") + F.col("pool_size") - 1)
-    filled = pool.filter(F.col("pool_size") > 0)
-    return filled.select(_synthetic_id(F.explode(numbers)).alias("customer_id"), "segment_code")
+    """All new customers with their segment, written out in chunks so that no row holds a long array."""
+    c = F.col
+    filled = pool.filter(c("pool_size") > 0).withColumn("_last", c("pool_first") + c("pool_size") - 1)
+    chunks = filled.select("*", F.explode(F.sequence("pool_first", "_last", F.lit(_POOL_CHUNK))).alias("_start"))
+    chunks = chunks.repartition("segment_code", "_start")
+    numbers = F.sequence("_start", F.least(c("_start") + (_POOL_CHUNK - 1), c("_last")))
+    numbered = chunks.select("segment_code", F.explode(numbers).alias("_number"))
+    return numbered.select(_synthetic_id(c("_number")).alias("customer_id"), "segment_code")
 
 
 def _synthetic_id(number: Column) -> Column:

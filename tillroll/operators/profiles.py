@@ -32,9 +32,17 @@ def profiles(items: DataFrame) -> DataFrame:
     names = per_name.groupBy("stock_code").agg(
         F.min(F.struct((-c("lines")).alias("order"), "product_name"))["product_name"].alias("product_name")
     )
-    prices = exact_median(goods, ["stock_code"], "_price", "median_price")
-    quantities = exact_median(goods, ["stock_code"], "item_quantity", "median_quantity")
-    joined = totals.join(names, "stock_code", "left").join(prices, "stock_code").join(quantities, "stock_code")
+    # Both medians come from one pass over (product, measure, value) rows.
+    measures = F.array(
+        F.struct(F.lit("price").alias("measure"), c("_price").alias("value")),
+        F.struct(F.lit("quantity").alias("measure"), c("item_quantity").cast("bigint").alias("value")),
+    )
+    medians = exact_median(goods.select("stock_code", F.inline(measures)), ["stock_code", "measure"], "value", "median")
+    medians = medians.groupBy("stock_code").agg(
+        F.max(F.when(c("measure") == "price", c("median"))).alias("median_price"),
+        F.max(F.when(c("measure") == "quantity", c("median"))).alias("median_quantity"),
+    )
+    joined = totals.join(names, "stock_code", "left").join(medians, "stock_code")
     return joined.select(
         "stock_code",
         F.coalesce("product_name", F.lit(UNNAMED_IN_PROFILES)).alias("product_name"),

@@ -16,7 +16,7 @@ SCENARIO_BATCH = "SCENARIO-TABLES"
 _PIECES = "CAST(l_quantity AS BIGINT)"
 _CENTS = "CAST(round(l_extendedprice * 100) AS BIGINT)"
 _UNITS = f"(({_CENTS} * 200 + {_PIECES}) DIV (2 * {_PIECES}))"
-_PRICE = f"concat({_UNITS} DIV 10000, '.', lpad(CAST({_UNITS} % 10000 AS STRING), 4, '0'))"
+_PRICE = f"CAST(CAST({_UNITS} AS DECIMAL(14,0)) * 0.0001 AS STRING)"
 
 _PRODUCT = {"brand": "p_brand", "part": "CAST(l_partkey AS STRING)"}
 
