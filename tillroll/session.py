@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -25,13 +27,19 @@ def build_session(app_name: str = "tillroll", master: str | None = None, **overr
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Use the cluster's `spark.checkpoint.dir`; set `fallback` only where nothing is configured."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    current = spark.sparkContext.getCheckpointDir()
+    """Folder for intermediate tables: the cluster's `spark.checkpoint.dir` where it is configured.
+
+    Without that setting, `fallback` is used, or a temporary folder when everything runs in one local
+    process. On a cluster a folder that all executors share must be configured.
+    """
+    context = spark.sparkContext
+    current = context.getCheckpointDir()
     if current:
         return current
-    target = configured or fallback
+    target = spark.conf.get("spark.checkpoint.dir", None) or fallback
+    if not target and context.master.startswith("local"):
+        target = tempfile.mkdtemp(prefix="tillroll-checkpoints-")
     if not target:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    spark.sparkContext.setCheckpointDir(target)
-    return target
+    context.setCheckpointDir(target)
+    return context.getCheckpointDir()
