@@ -31,7 +31,7 @@ def vocabulary(name: str) -> str:
 def op5_vantage_point_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """20 nearest vectors by inner product for each twentieth vector, against all."""
     rows = table(spark, sf_dir, "embeddings")
-    return vptree.nearest(rows, rows.filter("vec_id % 20 = 0"), k=20, factor=1.1)
+    return vptree.nearest(rows, rows.filter("vec_id % 20 = 0"), k=20, factor=4.0)
 
 
 @query
