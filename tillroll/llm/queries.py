@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillroll.llm import chat, packing, topk, vptree
+from tillroll.llm import chat, packing, quality, topk, vptree
 from tillroll.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,10 @@ SELECT conv_id, count(*) AS n_turns,
     + CASE WHEN hard THEN 11 + len(regexp_extract_all(text, '<\\*\|')) ELSE 0 END) AS BIGINT) AS formatted_chars
 FROM sized GROUP BY conv_id
 """
+
+
+@query
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that the perplexity filter keeps."""
+    judged = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.filter("keep").select("doc_id", "lang", "perplexity", "threshold")
