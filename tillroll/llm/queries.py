@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillroll.llm import chat, packing, quality, topk, vptree
+from tillroll.llm import chat, near, packing, quality, topk, vptree
 from tillroll.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +99,9 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that the perplexity filter keeps."""
     judged = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.filter("keep").select("doc_id", "lang", "perplexity", "threshold")
+
+
+@query
+def op7_near_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its class of copies, its number of links and its group, on five-word shingles at 0.8."""
+    return near.near_join(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "n_links", "group_id")
