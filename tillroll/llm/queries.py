@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillroll.llm import chat, near, packing, quality, topk, vptree
+from tillroll.llm import chat, near, packing, quality, suffix, topk, vptree
 from tillroll.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,3 +105,10 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_near_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its class of copies, its number of links and its group, on five-word shingles at 0.8."""
     return near.near_join(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "n_links", "group_id")
+
+
+@query
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words that occur more than once, by document: later places, and where each comes first."""
+    spans = suffix.repeated_passages(table(spark, sf_dir, "documents"), length=50)
+    return spans.select("doc_id", "start", "words", "first")

@@ -32,13 +32,23 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def run_hashes(words: np.ndarray, length: int) -> np.ndarray:
-    """Hash of the `length` words from each place on; shorter than `words` by length - 1. Crosses texts."""
+    """Hash of the `length` words from each place on; shorter than `words` by length - 1. Crosses texts.
+
+    Runs of 1, 2, 4 ... words are made from pairs of shorter ones, and those that add up to `length` are joined.
+    """
     n = len(words) - length + 1
-    if n <= 0:
+    if n <= 0 or length <= 0:
         return np.array([], np.uint64)
-    total = np.zeros(n, np.uint64)
-    for i in range(length):
-        total = total * _BASE + words[i : i + n]
+    power = lambda k: np.uint64(pow(int(_BASE), k, 1 << 64))
+    total, done, block, width, rest = np.zeros(n, np.uint64), 0, words, 1, length
+    while rest:
+        if rest & 1:
+            total = total * power(width) + block[done : done + n]
+            done += width
+        rest >>= 1
+        if rest:
+            block = block[:-width] * power(width) + block[width:]
+            width *= 2
     return mixed(total)
 
 
