@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillroll.llm import chat, near, packing, quality, suffix, topk, vptree
+from tillroll.llm import chat, mixing, near, packing, quality, suffix, topk, vptree
 from tillroll.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,3 +112,10 @@ def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages of 50 words that occur more than once, by document: later places, and where each comes first."""
     spans = suffix.repeated_passages(table(spark, sf_dir, "documents"), length=50)
     return spans.select("doc_id", "start", "words", "first")
+
+
+@query
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every document in a mix whose sources count by the square root of their size."""
+    mix = mixing.interleave(table(spark, sf_dir, "documents"), block=16, temperature=0.5)
+    return mix.select("doc_id", "source", "block", "slot", "place")
