@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillroll.llm import chat, mixing, near, packing, quality, suffix, topk, vptree
+from tillroll.llm import chat, licences, mixing, near, packing, quality, suffix, tokens, topk, vptree
 from tillroll.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,3 +119,15 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every document in a mix whose sources count by the square root of their size."""
     mix = mixing.interleave(table(spark, sf_dir, "documents"), block=16, temperature=0.5)
     return mix.select("doc_id", "source", "block", "slot", "place")
+
+
+@query
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and unigram tokens of every document."""
+    return tokens.count_tokens(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+@query
+def op9_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence statements in all documents, with their family."""
+    return licences.scan(table(spark, sf_dir, "documents"))
