@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.sources.stage import materialise
 
-__all__ = ["batches", "materialise", "ship", "table"]
+__all__ = ["batches", "materialise", "ship", "table", "vocabulary"]
 
 _PACKAGE = Path(__file__).resolve().parents[1]
 
@@ -19,6 +19,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public vocabulary's file; executors open their own installed copy there."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def ship(spark: SparkSession) -> None:
     """Give this package to the executors once per session, as `--py-files` would."""
     context = spark.sparkContext

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillroll.llm import chat, licences, mixing, near, packing, quality, suffix, tokens, topk, vptree
-from tillroll.llm.common import table
+from tillroll.llm.common import table, vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -20,13 +20,6 @@ def query(function: Callable) -> Callable:
     return function
 
 
-def vocabulary(name: str) -> str:
-    """File of a public vocabulary; a library, so that executors find their own copy at the same path."""
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 @query
 def op5_vantage_point_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """20 nearest vectors by inner product for each twentieth vector, against all."""
