@@ -46,7 +46,8 @@ TEMPLATES = {
 }
 FAMILIES = sorted(TEMPLATES)
 NONE = float(len(FAMILIES))
-_FEATURES = 1 << 15
+_FEATURES = 1 << 16
+_WINDOW, _STEP = 64, 40
 
 
 def pieces(docs: DataFrame) -> DataFrame:
@@ -57,9 +58,15 @@ def pieces(docs: DataFrame) -> DataFrame:
 
 
 def _featured(rows: DataFrame) -> DataFrame:
-    """Adds `grams`, the words and word pairs of `text`, and their hashed counts."""
-    words = rows.withColumn("words", F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda w: w != ""))
-    paired = NGram(n=2, inputCol="words", outputCol="pairs").transform(words)
+    """Windows of at most `_WINDOW` words: adds `word`, its first word's place, and `grams`, its words and word pairs.
+
+    Windows of a long piece overlap, so that a statement is whole in one of them, and keep hashed counts sparse.
+    """
+    words = rows.withColumn("words", F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda w: w != "")).drop("text")
+    beyond = F.greatest(F.ceil((F.size("words") - _WINDOW) / _STEP), F.lit(0)).cast("int") * _STEP
+    cut = words.withColumn("word", F.explode(F.sequence(F.lit(0), beyond, F.lit(_STEP))))
+    cut = cut.withColumn("words", F.slice("words", F.col("word") + 1, F.lit(_WINDOW)))
+    paired = NGram(n=2, inputCol="words", outputCol="pairs").transform(cut)
     both = paired.withColumn("grams", F.concat("words", "pairs")).drop("words", "pairs")
     return HashingTF(numFeatures=_FEATURES, binary=True, inputCol="grams", outputCol="features").transform(both)
 
@@ -85,43 +92,51 @@ def _any_likeness(grams: Column) -> Column:
     return F.greatest(*[likeness(grams, f) for f in FAMILIES])
 
 
+def _chances() -> tuple[Column, Column]:
+    """Probabilities of the families, and of any of them."""
+    chances = F.slice(vector_to_array("probability"), 1, len(FAMILIES))
+    return chances, F.aggregate(chances, F.lit(0.0), lambda a, b: a + b)
+
+
 def fit(docs: DataFrame, sample_docs: int = 400, sample_pieces: int = 6000) -> tuple[LogisticRegressionModel, float]:
-    """The classifier, and the probability that a family needs to be believed.
+    """The classifier, and the probability of any licence that ordinary text stays under.
 
     Families are learned from their templates, ordinary text from at most `sample_pieces` pieces of the `sample_docs`
-    documents with the smallest ids, those like a template left out. Every second piece is held out: the needed
-    probability is the highest that held-out ordinary text gets for a family, one half at least.
+    documents with the smallest ids, those like a template left out; ordinary text has four times the weight of all
+    templates. Every second piece is held out, and the limit is the highest probability of a licence among those,
+    one half at least.
     """
     spark = docs.sparkSession
     some = docs.select("doc_id", "text").orderBy("doc_id", "text").limit(sample_docs)
     plain = _featured(pieces(some)).filter(_any_likeness(F.col("grams")) < 0.5)
-    plain = materialise(plain.select("doc_id", "piece", "features").orderBy(F.xxhash64("doc_id", "piece"), "doc_id", "piece").limit(sample_pieces), "ordinary")
-    held_out = F.xxhash64("piece", "doc_id") % 2 == 0
-    known = _featured(_templates(spark)).select("features", "label", F.lit(20.0).alias("weight"))
-    rows = known.unionByName(plain.filter(~held_out).select("features", F.lit(NONE).alias("label"), F.lit(1.0).alias("weight")))
+    plain = plain.select("doc_id", "piece", "word", "features").orderBy(F.xxhash64("doc_id", "piece", "word"), "doc_id", "piece", "word").limit(sample_pieces)
+    plain = materialise(plain.withColumn("held_out", F.xxhash64("word", "piece", "doc_id") % 2 == 0), "ordinary")
+    ordinary = plain.filter("NOT held_out")
+    weight = 4.0 * sum(map(len, TEMPLATES.values())) / max(1, ordinary.count())
+    known = _featured(_templates(spark)).select("features", "label", F.lit(1.0).alias("weight"))
+    rows = known.unionByName(ordinary.select("features", F.lit(NONE).alias("label"), F.lit(weight).alias("weight")))
     rows = materialise(rows.coalesce(1), "lessons")
     classes = LogisticRegression(family="multinomial", weightCol="weight", regParam=1e-4, maxIter=60).fit(rows)
-    chances = vector_to_array("probability")
-    tried = classes.transform(plain.filter(held_out)).select(F.array_max(F.slice(chances, 1, len(FAMILIES))).alias("p"))
-    worst = tried.agg(F.max("p")).first()[0]
+    worst = classes.transform(plain.filter("held_out")).agg(F.max(_chances()[1])).first()[0]
     return classes, max(0.5, worst or 0.0)
 
 
 def scan(docs: DataFrame, least_likeness: float = 0.6, **options) -> DataFrame:
-    """(doc_id, piece, family, probability, likeness) for each piece of text that reads like a licence statement.
+    """(doc_id, piece, word, family, probability, likeness) for each piece of text that reads like a licence statement.
 
-    `family` is the classifier's where its probability is high enough on held-out ordinary text and a template of the
-    family has at least `least_likeness` of its words and pairs in the piece, else "unknown".
+    A piece counts as one where the probability of all families together is above that of held-out ordinary text.
+    `family` is the most probable where it reaches that by itself and a template of the family has at least
+    `least_likeness` of its words and pairs in the piece; else it is "unknown".
 
     Null or empty text has no pieces. Null ids and repeated rows are scanned each. Other columns are ignored; an
     empty table gives no rows.
     """
-    classes, needed = fit(docs, **options)
-    scored = classes.transform(_featured(pieces(docs))).filter(F.col("prediction") < NONE)
-    family = F.element_at(F.array(*map(F.lit, FAMILIES)), F.col("prediction").cast("int") + 1)
-    chances = vector_to_array("probability")
-    rows = scored.select("doc_id", "piece", "grams", family.alias("guess"), F.array_max(F.slice(chances, 1, len(FAMILIES))).alias("probability"))
-    alike = reduce(lambda so_far, f: so_far.when(F.col("guess") == f, likeness(F.col("grams"), f)), FAMILIES[1:], F.when(F.col("guess") == FAMILIES[0], likeness(F.col("grams"), FAMILIES[0])))
+    classes, limit = fit(docs, **options)
+    chances, any_licence = _chances()
+    scored = classes.transform(_featured(pieces(docs))).withColumn("chances", chances).filter(any_licence > limit)
+    guess = F.element_at(F.array(*map(F.lit, FAMILIES)), F.array_position("chances", F.array_max("chances")).cast("int"))
+    rows = scored.select("doc_id", "piece", "word", "grams", guess.alias("guess"), F.array_max("chances").alias("probability"))
+    alike = reduce(lambda so_far, f: so_far.when(F.col("guess") == f, likeness(F.col("grams"), f)), FAMILIES, F)
     rows = rows.withColumn("likeness", alike)
-    sure = (F.col("probability") >= needed) & (F.col("likeness") >= least_likeness)
-    return rows.select("doc_id", F.col("piece").cast("int").alias("piece"), F.when(sure, F.col("guess")).otherwise("unknown").alias("family"), "probability", "likeness")
+    family = F.when((F.col("probability") > limit) & (F.col("likeness") >= least_likeness), F.col("guess")).otherwise("unknown")
+    return rows.select("doc_id", F.col("piece").cast("int").alias("piece"), "word", family.alias("family"), "probability", "likeness")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -144,12 +145,15 @@ def _placed(numbered: DataFrame, weights: Mapping | None, block: int, parts: int
 
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
     """Rows of `docs`, with all columns, in the order of the mix: files and rows of a table written from it follow it."""
+    same = ["doc_id", "source", "text_hash"]
+    number = lambda order: F.row_number().over(Window.partitionBy(*same).orderBy(*order))
     placed = interleave(docs, **options)
-    same = Window.partitionBy("_id", "_hash", "_source").orderBy("slot", "place")
-    keys = ["_id", "_hash", "_source", "_copy"]
-    placed = placed.withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash", "source": "_source"}).withColumn("_copy", F.row_number().over(same))
-    keyed = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_hash": F.xxhash64(F.col("text").cast("string")), "_source": F.col("source").cast("string")})
-    keyed = keyed.withColumn("_copy", F.row_number().over(Window.partitionBy("_id", "_hash", "_source").orderBy(F.lit(0))))
-    on = [keyed[k].eqNullSafe(placed[k]) for k in keys]
-    joined = keyed.join(placed, on[0] & on[1] & on[2] & on[3])
-    return joined.orderBy("slot", "place").select(*[keyed[c] for c in docs.columns])
+    placed = placed.withColumn("copy", number(["slot", "place"])).select(*[F.col(c).alias(f"its_{c}") for c in (*same, "copy")], "slot", "place")
+    keys = {
+        "doc_id": F.col("row.doc_id").cast("long"),
+        "source": F.col("row.source").cast("string"),
+        "text_hash": F.xxhash64(F.col("row.text").cast("string")),
+    }
+    keyed = docs.select(F.struct("*").alias("row")).withColumns(keys).withColumn("copy", number([F.lit(0)]))
+    met = [F.col(c).eqNullSafe(F.col(f"its_{c}")) for c in (*same, "copy")]
+    return keyed.join(placed, reduce(Column.__and__, met)).orderBy("slot", "place").select("row.*")

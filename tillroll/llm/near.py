@@ -255,12 +255,9 @@ def near_join(
 
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """Rows of `docs`, with all columns: the first of each group; rows without an id or words stay as they are."""
-    joined = near_join(docs, **options)
-    heads = joined.filter("first AND n_links > 0").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    linked = joined.filter("n_links > 0").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    linked = linked.join(heads.withColumn("_head", F.lit(True)), ["_id", "_hash"], "left")
-    keyed = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_hash": F.xxhash64(F.col("text").cast("string"))})
-    marked = keyed.join(linked.withColumn("_linked", F.lit(True)), ["_id", "_hash"], "left")
-    alone = marked.filter("_linked IS NULL")
-    first = marked.filter("_linked AND _head").dropDuplicates(["_id", "_hash"])
-    return alone.unionByName(first).select(*docs.columns)
+    linked = near_join(docs, **options).filter("n_links > 0").select("doc_id", "text_hash", "first").distinct()
+    hashed = F.xxhash64(F.col("row.text").cast("string"))
+    keyed = docs.select(F.struct("*").alias("row")).withColumns({"doc_id": F.col("row.doc_id").cast("long"), "text_hash": hashed})
+    marked = keyed.join(linked, ["doc_id", "text_hash"], "left")
+    first = marked.filter("first").dropDuplicates(["doc_id", "text_hash"])
+    return marked.filter("first IS NULL").union(first).select("row.*")

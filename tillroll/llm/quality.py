@@ -204,5 +204,6 @@ def judge(
 def kept(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """Rows of `docs`, with all columns, that `judge` keeps."""
     rejected = judge(docs, labels, **options).filter("NOT keep").select("row_key").distinct()
-    key = F.xxhash64(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("text").cast("string"))
-    return docs.withColumn("_row_key", key).join(rejected, F.col("_row_key") == F.col("row_key"), "left_anti").drop("_row_key")
+    key = F.xxhash64(F.col("row.doc_id").cast("long"), F.col("row.lang").cast("string"), F.col("row.text").cast("string"))
+    keyed = docs.select(F.struct("*").alias("row")).withColumn("row_key", key)
+    return keyed.join(rejected, "row_key", "left_anti").select("row.*")

@@ -219,9 +219,7 @@ def _cut(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts without the spans' words: what stands before, between and after them is joined by line ends."""
     for batch in stream:
         texts = batch.column("text").to_pylist()
-        for i, spans in enumerate(batch.column("_spans").to_pylist()):
-            if not spans:
-                continue
+        for i, spans in enumerate(batch.column("spans").to_pylist()):
             words = list(re.finditer(r"\S+", texts[i]))
             parts, at = [], 0
             for start, n in sorted((s["start"], s["words"]) for s in spans):
@@ -229,19 +227,22 @@ def _cut(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 at = words[start + n - 1].end()
             parts.append(texts[i][at:])
             texts[i] = "\n".join(p.strip() for p in parts if p.strip())
-        column = batch.schema.get_field_index("text")
-        yield batch.set_column(column, "text", pa.array(texts, batch.schema.field(column).type)).drop_columns(["_spans"])
+        yield batch.set_column(1, "text", pa.array(texts, pa.string())).drop_columns(["spans"])
 
 
 def without_repeats(docs: DataFrame, **options) -> DataFrame:
     """Rows of `docs` with all columns, each repeated passage left only where it comes first; emptied texts go.
 
-    Rows without repeated passages stay exactly as they are. Null ids and texts stay.
+    Rows without repeated passages stay exactly as they are. Null ids and texts stay. Rows that repeat id and text
+    lose the same passages.
     """
-    spans = repeated_passages(docs, **options).filter("NOT first").groupBy(*_DOC).agg(F.collect_list(F.struct("start", "words")).alias("_spans"))
-    spans = spans.withColumnsRenamed({"doc_id": "_id", "mark": "_mark"})
-    keyed = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_mark": F.hash(F.col("text").cast("string")), "text": F.col("text").cast("string")})
-    marked = keyed.join(spans, ["_id", "_mark"], "left").drop("_id", "_mark")
-    kept = marked.filter("_spans IS NULL").drop("_spans")
-    cut = marked.filter("_spans IS NOT NULL").select(*docs.columns, "_spans").mapInArrow(_cut, kept.select(*docs.columns).schema)
-    return kept.select(*docs.columns).unionByName(cut.filter("text != ''"))
+    spans = repeated_passages(docs, **options).filter("NOT first").groupBy(*_DOC).agg(F.collect_list(F.struct("start", "words")).alias("spans"))
+    text = F.col("row.text").cast("string")
+    keyed = docs.select(F.struct("*").alias("row")).withColumns({"doc_id": F.col("row.doc_id").cast("long"), "mark": F.hash(text)})
+    marked = keyed.join(spans, _DOC, "left")
+    kept = marked.filter("spans IS NULL").select("row")
+    found = marked.filter("spans IS NOT NULL").select("row", text.alias("text"), "spans")
+    row = kept.schema["row"].dataType.simpleString()
+    cut = found.mapInArrow(_cut, found.drop("spans").schema).filter("text != ''")
+    cut = cut.select(F.col("row").withField("text", F.col("text").cast(docs.schema["text"].dataType)).cast(row).alias("row"))
+    return kept.union(cut).select("row.*")
