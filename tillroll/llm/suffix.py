@@ -196,7 +196,7 @@ def repeated_passages(docs: DataFrame, length: int = 50, gram: int = 6, window:
     met = neighbours(suffixes.filter("place >= 0"), ["head"])
 
     whole = named.select("doc_id", "mark", F.unhex(F.md5(F.col("text").cast("binary"))).alias("content"))
-    whole = materialise(whole, "contents")
+    whole = materialise(whole.distinct(), "contents")
     heads = whole.groupBy("content").agg(F.min(F.struct(*_DOC)).alias("head"), F.count("*").alias("copies")).filter("copies > 1")
     copies = whole.join(heads, "content").filter(F.struct(*_DOC) != F.col("head")).select(*_DOC).distinct()
     copies = materialise(copies, "copies")
