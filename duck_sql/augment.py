@@ -5,7 +5,7 @@ from __future__ import annotations
 from duck_sql import basket, rfm, serving
 from duck_sql.base import SERVICE_CODES, items_sql, rnd
 
-RELATION_PRODUCTS, PER_BASKET, MIN_PAIR, TOP_ANCHORS, SEGMENT_PRODUCTS = 20, 5, 4, 12, 15
+MIN_PAIR, TOP_ANCHORS, SEGMENT_PRODUCTS = 4, 100, 150
 
 _PROFILES = f"""
     goods AS (
@@ -28,19 +28,13 @@ _PROFILES = f"""
         SELECT *, row_number() OVER (ORDER BY sales_amount DESC, basket_count DESC, stock_code) AS sales_rank FROM profiles
     )"""
 
-_PAIRS = f"""
-    popular AS (
-        SELECT invoice_no, stock_code FROM (
-            SELECT invoice_no, stock_code, row_number() OVER (PARTITION BY invoice_no ORDER BY sales_rank) AS pos
-            FROM (SELECT DISTINCT invoice_no, stock_code FROM items) JOIN ranked_profiles USING (stock_code)
-            WHERE sales_rank <= {RELATION_PRODUCTS}
-        ) WHERE pos <= {PER_BASKET}
-    ),
+_PAIRS = """
+    bought AS (SELECT DISTINCT invoice_no, stock_code FROM items JOIN ranked_profiles USING (stock_code)),
     pair_counts AS (
         SELECT a.stock_code AS left_code, b.stock_code AS right_code, count(*) AS pair_count
-        FROM popular a JOIN popular b ON a.invoice_no = b.invoice_no AND a.stock_code < b.stock_code GROUP BY 1, 2
+        FROM bought a JOIN bought b ON a.invoice_no = b.invoice_no AND a.stock_code < b.stock_code GROUP BY 1, 2
     ),
-    product_counts AS (SELECT stock_code, count(*) AS basket_count FROM popular GROUP BY 1)"""
+    product_counts AS (SELECT stock_code, count(*) AS basket_count FROM bought GROUP BY 1)"""
 
 _RELATIONS = f"""
     directed AS (

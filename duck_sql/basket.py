@@ -37,18 +37,16 @@ def scoped(suffix: str = "", segments: str | None = None, min_segment_baskets: i
     )"""
 
 
-def mined(suffix: str = "", min_confidence: float = 0.15, min_lift: float = 1.05, max_products: int = 500) -> str:
+def mined(suffix: str = "", min_confidence: float = 0.15, min_lift: float = 1.05) -> str:
     support = "CASE WHEN scope = 'ALL' THEN 0.002::DOUBLE ELSE 0.01::DOUBLE END"
     s = suffix
     return f"""
     sizes{s} AS (SELECT scope, count(DISTINCT invoice_no) AS baskets FROM scoped{s} GROUP BY 1),
     products{s} AS (
-        SELECT scope, stock_code, coverage FROM (
-            SELECT *, row_number() OVER (PARTITION BY scope ORDER BY coverage DESC, stock_code) AS pos
-            FROM (SELECT scope, stock_code, count(DISTINCT invoice_no) AS coverage FROM scoped{s} GROUP BY 1, 2)
-            JOIN sizes{s} USING (scope)
-            WHERE baskets >= 2 AND coverage >= greatest(2, ceil(baskets * ({support})))
-        ) WHERE pos <= {max_products}
+        SELECT scope, stock_code, coverage
+        FROM (SELECT scope, stock_code, count(DISTINCT invoice_no) AS coverage FROM scoped{s} GROUP BY 1, 2)
+        JOIN sizes{s} USING (scope)
+        WHERE baskets >= 2 AND coverage >= greatest(2, ceil(baskets * ({support})))
     ),
     in_products{s} AS (SELECT l.* FROM scoped{s} l JOIN products{s} USING (scope, stock_code)),
     kept{s} AS (
@@ -133,7 +131,7 @@ def mined(suffix: str = "", min_confidence: float = 0.15, min_lift: float = 1.05
                baskets AS scope_basket_count, {rnd("rank_score", 6)} AS rank_score
         FROM ranked{s}
     ),
-    rules{s} AS (SELECT * EXCLUDE (position) FROM all_rules{s} WHERE position <= 5000)"""
+    rules{s} AS (SELECT * EXCLUDE (position) FROM all_rules{s})"""
 
 
 SEGMENTS = """

@@ -56,14 +56,13 @@ def _companions(name: str, requests: str) -> str:
                 SELECT r.request_id, r.min_lift, r.max_results, p.scope, p.anchor, p.stock_code, p.product_name, p.pair_baskets,
                        n.anchor_name, t.total, CAST(p.pair_baskets AS DOUBLE) / t.total AS support,
                        CAST(p.pair_baskets AS DOUBLE) / a.anchor_baskets AS confidence,
-                       (CAST(p.pair_baskets AS DOUBLE) / a.anchor_baskets) / (CAST(v.baskets AS DOUBLE) / t.total) AS lift,
-                       row_number() OVER (PARTITION BY r.request_id ORDER BY p.pair_baskets DESC, p.stock_code, p.product_name) AS candidate
+                       (CAST(p.pair_baskets AS DOUBLE) / a.anchor_baskets) / (CAST(v.baskets AS DOUBLE) / t.total) AS lift
                 FROM {requests} r JOIN companion_pairs p ON p.scope = r.segment_code AND p.anchor = r.product_code
                 JOIN coverage v ON v.scope = p.scope AND v.stock_code = p.stock_code AND v.product_name = p.product_name
                 JOIN anchor_counts a ON a.scope = p.scope AND a.anchor = p.anchor
                 JOIN totals t ON t.scope = p.scope JOIN anchor_names n ON n.anchor = p.anchor
             )
-            WHERE candidate <= greatest(max_results * 5, 20) AND lift >= min_lift AND confidence >= 0.1::DOUBLE
+            WHERE lift >= min_lift AND confidence >= 0.1::DOUBLE
               AND pair_baskets >= greatest(2, ceil(total * 0.002::DOUBLE))
         ) WHERE position <= max_results
     )"""
@@ -87,13 +86,10 @@ def _matches(name: str, requests: str, source: str) -> str:
     return f"""
     {name} AS (
         SELECT *, '{source}' AS source_type FROM (
-            SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY rank_score DESC, rule_id) AS position FROM (
-                SELECT q.request_id, q.product_code, q.max_results, r.*,
-                       row_number() OVER (PARTITION BY q.request_id ORDER BY r.rank_score DESC, r.rule_id) AS candidate
-                FROM {requests} q JOIN rules r ON r.segment_code = q.segment_code AND r.lift >= q.min_lift
-                 AND (list_contains(string_split(r.antecedent_codes, '|'), q.product_code)
-                      OR list_contains(string_split(r.consequent_codes, '|'), q.product_code))
-            ) WHERE candidate <= 500 AND list_contains(string_split(antecedent_codes, '|'), product_code)
+            SELECT q.request_id, q.max_results, r.*,
+                   row_number() OVER (PARTITION BY q.request_id ORDER BY r.rank_score DESC, r.rule_id) AS position
+            FROM {requests} q JOIN rules r ON r.segment_code = q.segment_code AND r.lift >= q.min_lift
+             AND list_contains(string_split(r.antecedent_codes, '|'), q.product_code)
         ) WHERE position <= max_results
     )"""
 

@@ -280,13 +280,13 @@ def statements() -> dict[str, str]:
                round(CAST(sum(item_amount) AS DOUBLE) / count(DISTINCT invoice_no), 2) AS average_basket_amount
         FROM items GROUP BY 1 ORDER BY 1"""
     )
-    sql["top_products"] = items_sql(
-        f"""
+    best = f"""
         SELECT stock_code, product_name, count(DISTINCT invoice_no) AS order_count,
                count(DISTINCT customer_id) AS customer_count, CAST(sum(item_quantity) AS BIGINT) AS item_quantity,
                CAST(CAST(sum(item_amount) AS DECIMAL(20,2)) AS DOUBLE) AS sales_amount
         FROM items WHERE upper(stock_code) NOT IN {SERVICE_CODES} AND product_name IS NOT NULL
         GROUP BY 1, 2 HAVING count(DISTINCT invoice_no) >= 20
         ORDER BY sum(item_amount) DESC, order_count DESC, stock_code, product_name LIMIT 100"""
-    )
+    sql["top_products"] = items_sql(best)
+    sql["top_products_by_part"] = items_sql(best, "part")
     return sql

@@ -22,7 +22,6 @@ CFG = AugmentationConfig(
     target_rows=10_000,
     synthetic_customers=10,
     top_anchors=4,
-    relation_products=4,
     min_pair_baskets=1,
     max_basket_size=4,
     seed=42,

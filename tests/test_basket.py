@@ -24,7 +24,7 @@ CFG = BasketConfig(global_min_support=0.2, min_confidence=0.5, min_lift=0.9, max
 def itemsets_of(lines, scopes, cfg):
     """Itemsets per scope as {tuple of codes: count}, through the library's own steps."""
     products = materialise(basket.scope_products(lines, basket.scope_sizes(lines, scopes), cfg), "products")
-    baskets = materialise(basket.scope_baskets(lines, products, cfg), "baskets")
+    baskets = materialise(basket.scope_baskets(lines, products), "baskets")
     found = basket.itemsets(baskets, basket.basket_sizes(baskets, scopes), cfg)
     named = basket.named_itemsets(found, basket.product_catalog(baskets, products))
     result = defaultdict(dict)

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, queries
+from duck_sql import all_sql
 from tests.conftest import rows
+from tillroll.plans.registry import QUERIES
 
 # Queries without SQL because their rows come from hashed draws.
 NO_SQL = {"synthetic_transactions"}
@@ -35,8 +37,8 @@ def plan_of(df):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) - set(oracle_sql()) == NO_SQL
-    assert set(oracle_sql()) <= set(queries())
+    assert set(QUERIES) - set(all_sql()) == NO_SQL
+    assert set(all_sql()) <= set(QUERIES) <= set(queries())
 
 
 @pytest.mark.parametrize("name", PLANNED)

@@ -37,22 +37,27 @@ def test_summary_reconciles(value_items):
 
 
 @pytest.mark.parametrize("rows_in_group", [1, 2, 3, 5, 6, 7, 12, 99, 250])
-@pytest.mark.parametrize("score", [ranking.score_in_window, ranking.score_by_range])
-def test_scores_equal_quantile_cut_of_ranks(spark, rows_in_group, score):
+def test_scores_equal_quantile_cut_of_ranks(spark, rows_in_group):
     values = [(1, i * 7 % 5, f"K{i:03d}") for i in range(rows_in_group)]
     df = spark.createDataFrame(values, "g int, v int, k string")
-    found = {r.k: (r.up, r.down) for r in score(df, {"up": ("v", True), "down": ("v", False)}, 5, "g", "k").collect()}
+    found = {r.k: (r.up, r.down) for r in ranking.score(df, {"up": ("v", True), "down": ("v", False)}, 5, "g", "k").collect()}
     bins = min(5, rows_in_group)
     ordered = pd.Series({k: v for _, v, k in sorted(values, key=lambda r: r[2])})
     cut = pd.qcut(ordered.rank(method="first"), q=bins, labels=list(range(1, bins + 1))).astype(int)
     assert found == {k: (s, bins + 1 - s) for k, s in cut.items()}
 
 
-def test_both_ranking_ways_agree_with_heavy_ties(spark, sf_dir):
-    values = rfm.snapshot_values(_items(spark, sf_dir))
-    window = rfm.scored(values, RfmConfig(max_customers_per_rank_task=10**9))
-    ranged = rfm.scored(values, RfmConfig(max_customers_per_rank_task=1))
-    assert rows(window) == rows(ranged)
+def test_scores_of_snapshots_with_heavy_ties(spark, sf_dir):
+    scored = rfm.snapshots(_items(spark, sf_dir)).toPandas()
+    for _, day in scored.groupby("snapshot_date"):
+        ranks = day.sort_values("customer_id")["frequency"].rank(method="first")
+        cut = pd.qcut(ranks, q=min(5, len(day)), labels=False) + 1 if len(day) > 1 else ranks
+        assert (day["f_score"] == cut.reindex(day.index)).all()
+
+
+def test_wide_rows_are_not_shuffled_for_scores(spark, sf_dir):
+    plan = rfm.snapshots(_items(spark, sf_dir))._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(snapshot_date" not in plan and "BroadcastHashJoin" in plan
 
 
 def test_segment_rules(spark):

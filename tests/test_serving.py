@@ -117,10 +117,40 @@ def test_rules_of_all_customers_answer_next(spark, marts):
     assert {r.source_type for r in ask(spark, marts, "A")} == {"SEGMENT_RULE"}
 
 
-def test_candidate_cap_counts_rules_on_either_side(spark, marts):
-    request = recommend.request(spark, "A")
-    capped = recommend.match_rules(marts["association_rule"], request, "S", candidate_cap=1)
-    assert capped.count() == 0  # The best rule naming A has it as its consequent.
+def test_rules_that_end_in_the_product_take_no_place(spark, marts):
+    # The best rule naming A has it as its consequent; the next one still answers a request for one rule.
+    found = recommend.match_rules(marts["association_rule"], recommend.request(spark, "A", max_results=1), "S").collect()
+    assert [(r.rule_id, r.position) for r in found] == [("r2", 1)]
+
+
+@pytest.mark.parametrize(
+    ("request_", "problem"),
+    [
+        ((None, "A", 1.0, 5), "no id"),
+        (("1", " ", 1.0, 5), "no product"),
+        (("1", "A", -0.1, 5), "below zero"),
+        (("1", "A", 1.0, 0), "between 1 and 50"),
+        (("1", "A", 1.0, 51), "between 1 and 50"),
+        (("7", "A", 1.0, 5), "repeat"),
+    ],
+)
+def test_wrong_requests_are_refused(spark, marts, request_, problem):
+    made = [("7", "ALL", "A", 1.0, 5), (request_[0], "ALL", *request_[1:])]
+    schema = "request_id string, segment_code string, product_code string, min_lift double, max_results int"
+    with pytest.raises(ValueError, match=problem):
+        recommend.recommend(marts, spark.createDataFrame(made, schema))
+
+
+def test_very_many_requests_for_one_product(spark, marts):
+    many = spark.range(100_000).select(
+        F.col("id").cast("string").alias("request_id"),
+        F.lit("NEW").alias("segment_code"),
+        F.lit("A").alias("product_code"),
+        F.lit(1.05).alias("min_lift"),
+        F.lit(10).alias("max_results"),
+    )
+    found = recommend.recommend(marts, many)
+    assert found.count() == 200_000 and found.filter("request_id = '99999'").count() == 2
 
 
 def test_predictions_answer_last(spark, marts):

@@ -12,8 +12,6 @@ class RfmConfig:
     score_bins: int = 5
     snapshot_frequency: str = "ME"
     minimum_history_days: int = 30
-    # Up to this many customers one task may rank a snapshot; beyond it ranks come from a range sort.
-    max_customers_per_rank_task: int = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -24,9 +22,10 @@ class BasketConfig:
     min_lift: float = 1.05
     min_basket_size: int = 2
     min_segment_baskets: int = 200
-    max_products: int = 500
     max_itemset_length: int = 3
-    top_rules_per_scope: int = 5000
+    # Limits that leave results out; none by default. Support alone bounds the products that are mined.
+    max_products: int | None = None
+    top_rules_per_scope: int | None = None
 
 
 @dataclass(frozen=True)
@@ -47,8 +46,9 @@ class AugmentationConfig:
     target_rows: int = 60_000
     synthetic_customers: int = 600
     top_anchors: int = 100
-    relation_products: int = 350
-    max_products_per_basket: int = 20
+    # Limits on what co-occurrence is counted over; none by default.
+    relation_products: int | None = None
+    max_products_per_basket: int | None = None
     min_pair_baskets: int = 4
     min_basket_size: int = 3
     max_basket_size: int = 6

@@ -6,22 +6,21 @@ pass. A small table of scopes holds what belongs to a scope: its segment and its
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.config import BasketConfig
-from tillroll.fixed_values import ALL_SCOPE, ALL_SCOPE_NAME, SEGMENT_NAMES, UNNAMED_IN_RULES
+from tillroll.fixed_values import ALL_SCOPE, ALL_SCOPE_NAME, UNNAMED_IN_RULES
 from tillroll.functions import rules as fn
 from tillroll.functions.numbers import round_ratio
 from tillroll.operators.warehouse import merchandise
 from tillroll.sources.stage import materialise
 
-# Broadcast hints are given only to frames whose configured row bound stays below this.
+# Broadcast hints are given only to frames with at most this many counted rows, each a few dozen bytes wide.
 MAX_BROADCAST_ROWS = 500_000
-# Scopes of one pass: all customers and the fixed segments.
-MAX_SCOPES = len(SEGMENT_NAMES) + 1
 
 RULE_COLUMNS = [
     "rule_id",
@@ -42,9 +41,12 @@ RULE_COLUMNS = [
 ]
 
 
-def small(df: DataFrame, row_bound: int) -> DataFrame:
-    """Broadcast hint when the bound on the rows proves the frame small; else the planner decides."""
-    return F.broadcast(df) if row_bound <= MAX_BROADCAST_ROWS else df
+def small(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """Broadcast hint for a frame of few rows; else the planner decides.
+
+    `rows` is a count of rows that bounds this frame's; without it a stored frame is counted.
+    """
+    return F.broadcast(df) if (df.count() if rows is None else rows) <= MAX_BROADCAST_ROWS else df
 
 
 # --- preparation ----------------------------------------------------------------------------------
@@ -78,7 +80,7 @@ def expand_scopes(lines: DataFrame, segments: DataFrame | None) -> DataFrame:
 
 
 def scope_table(df: DataFrame, segments: DataFrame | None, cfg: BasketConfig) -> DataFrame:
-    """Scope, segment code and name, and minimum support: one row per segment and one for all customers."""
+    """Scope, segment code and name, and minimum support, stored: one row per segment and one for all customers."""
     everyone = df.sparkSession.range(1).select(
         F.lit(ALL_SCOPE).alias("scope"),
         F.lit(ALL_SCOPE).alias("segment_code"),
@@ -88,53 +90,51 @@ def scope_table(df: DataFrame, segments: DataFrame | None, cfg: BasketConfig) ->
     if segments is None:
         return everyone
     named = segments.groupBy("segment_code").agg(F.min("segment_name").alias("segment_name"))
-    return everyone.unionByName(
-        named.select(F.col("segment_code").alias("scope"), "*", F.lit(cfg.segment_min_support).alias("min_support"))
-    )
+    named = named.select(F.col("segment_code").alias("scope"), "*", F.lit(cfg.segment_min_support).alias("min_support"))
+    return materialise(everyone.unionByName(named), "scopes")
 
 
 def scope_sizes(lines: DataFrame, scopes: DataFrame) -> DataFrame:
     """Scopes with their number of baskets."""
     sizes = lines.groupBy("scope").agg(F.count_distinct("invoice_no").alias("baskets"))
-    return sizes.join(small(scopes, MAX_SCOPES), "scope")
+    return sizes.join(small(scopes), "scope")
 
 
-def drop_small_scopes(lines: DataFrame, min_segment_baskets: int) -> DataFrame:
-    """Lines of the scope of all customers and of segments with enough baskets."""
-    sizes = lines.groupBy("scope").agg(F.count_distinct("invoice_no").alias("baskets"))
-    large = sizes.filter((F.col("scope") == ALL_SCOPE) | (F.col("baskets") >= min_segment_baskets))
-    return lines.join(small(large, MAX_SCOPES), "scope", "left_semi")
+def drop_small_segments(lines: DataFrame, segments: DataFrame, min_segment_baskets: int) -> DataFrame:
+    """Customers' segments that have enough baskets among prepared lines."""
+    picked = one_segment(segments)
+    sizes = lines.join(picked, "customer_id").groupBy("segment_code").agg(F.count_distinct("invoice_no").alias("_baskets"))
+    large = materialise(sizes.filter(F.col("_baskets") >= min_segment_baskets).select("segment_code"), "large-segments")
+    return picked.join(small(large), "segment_code", "left_semi")
 
 
 def scoped_lines(items: DataFrame, segments: DataFrame | None, cfg: BasketConfig) -> DataFrame:
     """Prepared lines under every scope that is mined."""
-    lines = expand_scopes(prepare(items, cfg.min_basket_size), segments)
+    lines = prepare(items, cfg.min_basket_size)
     if segments is None:
-        return lines
-    return drop_small_scopes(materialise(lines, "scoped-lines"), cfg.min_segment_baskets)
+        return expand_scopes(lines, None)
+    lines = materialise(lines, "prepared-lines")
+    return expand_scopes(lines, drop_small_segments(lines, segments, cfg.min_segment_baskets))
 
 
 def scope_products(lines: DataFrame, sizes: DataFrame, cfg: BasketConfig) -> DataFrame:
-    """Most covered products per scope that reach the minimum coverage, numbered in code order."""
+    """Products per scope that reach the minimum coverage, numbered in code order.
+
+    The coverage bounds them: at most mean basket width over minimum support, so a window per scope is short.
+    """
     needed = F.greatest(F.lit(2), F.ceil(F.col("baskets") * F.col("min_support")))
     coverage = lines.groupBy("scope", "stock_code").agg(F.count("*").alias("coverage"))
-    enough = coverage.join(small(sizes, MAX_SCOPES), "scope").filter(
-        (F.col("baskets") >= 2) & (F.col("coverage") >= needed)
-    )
-    popular = Window.partitionBy("scope").orderBy(F.desc("coverage"), "stock_code")
-    top = enough.withColumn("_rank", F.row_number().over(popular)).filter(F.col("_rank") <= cfg.max_products)
+    enough = coverage.join(sizes, "scope").filter((F.col("baskets") >= 2) & (F.col("coverage") >= needed))
+    if cfg.max_products is not None:
+        popular = Window.partitionBy("scope").orderBy(F.desc("coverage"), "stock_code")
+        enough = enough.withColumn("_rank", F.row_number().over(popular)).filter(F.col("_rank") <= cfg.max_products)
     by_code = Window.partitionBy("scope").orderBy("stock_code")
-    return top.select("scope", "stock_code", "coverage", F.row_number().over(by_code).alias("item"))
-
+    return enough.select("scope", "stock_code", "coverage", F.row_number().over(by_code).alias("item"))
 
-def scope_baskets(lines: DataFrame, products: DataFrame, cfg: BasketConfig) -> DataFrame:
-    """Baskets that hold at least two kept products, as arrays of (item number, name) in code order.
 
-    Only kept products enter, so an array has at most `max_products` entries.
-    """
-    numbered = lines.join(
-        small(products.select("scope", "stock_code", "item"), cfg.max_products * MAX_SCOPES), ["scope", "stock_code"]
-    )
+def scope_baskets(lines: DataFrame, products: DataFrame) -> DataFrame:
+    """Baskets that hold at least two of the stored kept products, as arrays of (item number, name) in code order."""
+    numbered = lines.join(small(products.select("scope", "stock_code", "item")), ["scope", "stock_code"])
     content = F.sort_array(F.collect_list(F.struct("item", "product_name"))).alias("content")
     return numbered.groupBy("scope", "invoice_no").agg(content).filter(F.size("content") >= 2)
 
@@ -153,7 +153,7 @@ def basket_sizes(baskets: DataFrame, scopes: DataFrame) -> DataFrame:
     """Scopes with the baskets that are left and the count an itemset needs there."""
     sizes = baskets.groupBy("scope").agg(F.count("*").alias("baskets")).filter(F.col("baskets") >= 2)
     needed = F.ceil(F.col("baskets") * F.col("min_support")).alias("needed")
-    return sizes.join(small(scopes, MAX_SCOPES), "scope").select("scope", "baskets", needed)
+    return sizes.join(small(scopes), "scope").select("scope", "baskets", needed)
 
 
 def itemsets(baskets: DataFrame, sizes: DataFrame, cfg: BasketConfig) -> DataFrame:
@@ -161,14 +161,15 @@ def itemsets(baskets: DataFrame, sizes: DataFrame, cfg: BasketConfig) -> DataFra
 
     Level by level. A basket becomes one row per (first item, later items), so a wide basket does not
     stay in one row. Each level keeps, per row, only the later items that form a frequent pair with
-    every item chosen so far; the neighbour lists for this hold at most max_products² numbers per
-    scope. Counting combines on the map side, so distinct itemsets are shuffled and not occurrences.
+    every item chosen so far; an item has at most mean basket width over minimum support of those.
+    Counting combines on the map side, so distinct itemsets are shuffled and not occurrences. `sizes` is stored.
     """
     c = F.col
+    few_sizes = small(sizes)
 
     def frequent(occurrences: DataFrame, itemset: Column, label: str) -> DataFrame:
         counts = occurrences.groupBy("scope", itemset.alias("itemset")).agg(F.count("*").alias("support_count"))
-        enough = counts.join(small(sizes, MAX_SCOPES), "scope").filter(c("support_count") >= c("needed"))
+        enough = counts.join(few_sizes, "scope").filter(c("support_count") >= c("needed"))
         return materialise(enough.select("scope", "itemset", "support_count", "baskets"), label)
 
     def step(rows: DataFrame, *chosen: str) -> DataFrame:
@@ -188,7 +189,7 @@ def itemsets(baskets: DataFrame, sizes: DataFrame, cfg: BasketConfig) -> DataFra
     if cfg.max_itemset_length >= 3:
         pairs = short.filter(F.size("itemset") == 2)
         near = pairs.groupBy("scope", c("itemset")[0].alias("item")).agg(F.collect_list(c("itemset")[1]).alias("near"))
-        near = small(near, MAX_SCOPES * cfg.max_products * max(1, cfg.max_products // 50))
+        near = small(near, pairs.count())
         grown = starts.join(near, ["scope", "item"]).select(
             "scope", F.array("item").alias("chosen"), F.array_intersect("later", "near").alias("later")
         )
@@ -203,20 +204,26 @@ def itemsets(baskets: DataFrame, sizes: DataFrame, cfg: BasketConfig) -> DataFra
     return reduce(DataFrame.unionByName, found)
 
 
-def _scope_texts(catalog: DataFrame) -> DataFrame:
-    """Per scope, maps from item number to code and to name; at most max_products entries each."""
-    return catalog.groupBy("scope").agg(
-        F.map_from_entries(F.collect_list(F.struct("item", "stock_code"))).alias("codes"),
-        F.map_from_entries(F.collect_list(F.struct("item", "product_name"))).alias("names"),
+def with_texts(frequent: DataFrame, catalog: DataFrame) -> DataFrame:
+    """Itemsets with their products' codes and names, each joined by '|' in code order."""
+    c = F.col
+    apart = frequent.select("scope", "itemset", F.posexplode("itemset").alias("at", "item"))
+    texts = apart.join(catalog, ["scope", "item"]).groupBy("scope", "itemset")
+    texts = texts.agg(F.sort_array(F.collect_list(F.struct("at", "stock_code", "product_name"))).alias("of"))
+    texts = texts.select(
+        "scope",
+        "itemset",
+        F.array_join(c("of")["stock_code"], "|").alias("codes"),
+        F.array_join(c("of")["product_name"], "|").alias("names"),
     )
+    return frequent.join(texts, ["scope", "itemset"])
 
 
 def named_itemsets(frequent: DataFrame, catalog: DataFrame) -> DataFrame:
     """Itemsets with product codes joined by '|' in code order."""
-    named = frequent.join(small(_scope_texts(catalog), MAX_SCOPES), "scope")
-    return named.select(
+    return with_texts(frequent, catalog).select(
         "scope",
-        fn.joined(F.col("itemset"), F.col("codes")).alias("codes"),
+        "codes",
         F.size("itemset").alias("length"),
         "support_count",
         F.col("baskets").alias("scope_basket_count"),
@@ -227,7 +234,7 @@ def named_itemsets(frequent: DataFrame, catalog: DataFrame) -> DataFrame:
 
 
 def rules(frequent: DataFrame, cfg: BasketConfig) -> DataFrame:
-    """Rules from every split of every itemset, with metrics, above the confidence and lift limits."""
+    """Rules from every split of every itemset with texts, with metrics, above the confidence and lift limits."""
     c = F.col
     whole = frequent.filter(F.size("itemset") >= 2)
     masks = F.sequence(F.lit(1), (F.pow(F.lit(2), F.size("itemset")) - 2).cast("int"))
@@ -238,29 +245,31 @@ def rules(frequent: DataFrame, cfg: BasketConfig) -> DataFrame:
         fn.masked(c("itemset"), c("mask"), 1).alias("antecedent"),
         fn.masked(c("itemset"), c("mask"), 0).alias("consequent"),
     )
-    left = frequent.select("scope", c("itemset").alias("antecedent"), c("support_count").alias("antecedent_count"))
-    right = frequent.select("scope", c("itemset").alias("consequent"), c("support_count").alias("consequent_count"))
+    left, right = (
+        frequent.select(
+            "scope",
+            c("itemset").alias(side),
+            c("support_count").alias(f"{side}_count"),
+            c("codes").alias(f"{side}_codes"),
+            c("names").alias(f"{side}_names"),
+        )
+        for side in ("antecedent", "consequent")
+    )
     confident = splits.join(left, ["scope", "antecedent"]).filter(
         fn.confidence(c("support_count"), c("antecedent_count"), c("baskets")) >= cfg.min_confidence
     )
     return fn.with_metrics(confident.join(right, ["scope", "consequent"])).filter(c("lift") >= cfg.min_lift)
 
 
-def top_rules(measured: DataFrame, catalog: DataFrame, scopes: DataFrame, limit: int) -> DataFrame:
-    """Best rules per scope in the mart layout, with `scope`; equal ranks in code order."""
+def top_rules(measured: DataFrame, scopes: DataFrame, limit: int | None = None) -> DataFrame:
+    """Rules in the mart layout, with `scope`: all, or the best `limit` per scope, equal ranks in code order."""
     c = F.col
-    texts = _scope_texts(catalog).join(small(scopes, MAX_SCOPES), "scope")
-    named = measured.join(small(texts, MAX_SCOPES), "scope").select(
-        "*",
-        fn.joined(c("antecedent"), c("codes")).alias("antecedent_codes"),
-        fn.joined(c("antecedent"), c("names")).alias("antecedent_names"),
-        fn.joined(c("consequent"), c("codes")).alias("consequent_codes"),
-        fn.joined(c("consequent"), c("names")).alias("consequent_names"),
-    )
-    best = Window.partitionBy("scope").orderBy(
-        F.desc("rank_score"), F.desc("lift"), F.desc("support_count"), "antecedent_codes", "consequent_codes"
-    )
-    kept = named.withColumn("_position", F.row_number().over(best)).filter(c("_position") <= limit)
+    kept = measured.join(small(scopes), "scope")
+    if limit is not None:
+        best = Window.partitionBy("scope").orderBy(
+            F.desc("rank_score"), F.desc("lift"), F.desc("support_count"), "antecedent_codes", "consequent_codes"
+        )
+        kept = kept.withColumn("_position", F.row_number().over(best)).filter(c("_position") <= limit)
     metrics = ["support", "confidence", "lift", "leverage", "conviction", "rank_score"]
     identifier = fn.rule_id(c("segment_code"), c("antecedent_codes"), c("consequent_codes"))
     return kept.withColumns(
@@ -276,10 +285,11 @@ def top_rules(measured: DataFrame, catalog: DataFrame, scopes: DataFrame, limit:
 def mine_lines(lines: DataFrame, scopes: DataFrame, cfg: BasketConfig, limit: int | None = None) -> DataFrame:
     """Rules of every scope of prepared lines."""
     products = materialise(scope_products(lines, scope_sizes(lines, scopes), cfg), "scope-products")
-    baskets = materialise(scope_baskets(lines, products, cfg), "scope-baskets")
+    baskets = materialise(scope_baskets(lines, products), "scope-baskets")
     sizes = materialise(basket_sizes(baskets, scopes), "basket-sizes")
-    measured = rules(itemsets(baskets, sizes, cfg), cfg)
-    return top_rules(measured, product_catalog(baskets, products), scopes, limit or cfg.top_rules_per_scope)
+    frequent = with_texts(itemsets(baskets, sizes, cfg), product_catalog(baskets, products))
+    measured = rules(materialise(frequent, "named-itemsets"), cfg)
+    return top_rules(measured, scopes, cfg.top_rules_per_scope if limit is None else limit)
 
 
 def mine(
@@ -295,11 +305,15 @@ def mine(
 
 
 def mine_periods(previous: DataFrame, current: DataFrame, cfg: BasketConfig | None = None) -> tuple[DataFrame, DataFrame]:
-    """Rules of all customers in two periods, mined in one pass with the period as scope."""
+    """All rules of all customers in two periods, mined in one pass with the period as scope.
+
+    A limit per scope would show a rule beyond it as new or dropped, so none is applied here.
+    """
     cfg = cfg or BasketConfig()
     periods = {"previous": previous, "current": current}
     both = [df.withColumn("scope", F.lit(name)) for name, df in periods.items()]
     lines = prepare(reduce(DataFrame.unionByName, both), cfg.min_basket_size, ("scope", "invoice_no"))
+    cfg = replace(cfg, top_rules_per_scope=None)
     everyone = scope_table(previous, None, cfg)
     scopes = everyone.withColumn("scope", F.explode(F.array(*[F.lit(name) for name in periods])))
     found = materialise(mine_lines(materialise(lines, "period-lines"), scopes, cfg), "period-rules")

@@ -24,7 +24,6 @@ from tillroll.sources.stage import materialise
 # A draw looks at this many candidates that are left; relations after the first offer this many.
 _DRAW_FROM = 30
 _OTHER_RELATIONS = 9
-_MAX_SEGMENTS = len(fixed.SEGMENT_NAMES)
 _POOL_CHUNK = 10_000
 
 
@@ -131,7 +130,8 @@ def _candidates(
     """Per anchor and segment: the products every basket starts with, and fillers in order of preference.
 
     A draw never reaches beyond the first candidates that are left, so keeping the first
-    `30 + basket size` fillers loses nothing.
+    `30 + basket size` fillers loses nothing. The best sellers at the end of the list fill it up to
+    that number wherever there are so many products.
     """
     c = F.col
     known = goods.select("stock_code", _product().alias("product"))
@@ -148,7 +148,7 @@ def _candidates(
         .agg(F.sort_array(F.collect_list(F.struct("product_rank", "product")))["product"].alias("popular"))
     )
     fallback = (
-        pf.best_sellers(goods, cfg.relation_products)
+        pf.best_sellers(goods, _DRAW_FROM + cfg.max_basket_size + 2)
         .select("sales_rank", _product().alias("product"))
         .agg(F.sort_array(F.collect_list(F.struct("sales_rank", "product")))["product"].alias("products"))
         .scalar()
@@ -171,6 +171,13 @@ def _candidates(
     )
 
 
+def _with_running_share(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """Adds `upto`: share of the keys' weight up to and including each row."""
+    group = Window.partitionBy(*keys)
+    upto = F.sum("weight").over(group.orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
+    return df.withColumn("upto", upto / F.sum("weight").over(group))
+
+
 def prepare_context(items: DataFrame, segments: DataFrame, cfg: AugmentationConfig) -> Context:
     """Profiles, relations, segment pools and budgets for the generator."""
     c = F.col
@@ -178,7 +185,7 @@ def prepare_context(items: DataFrame, segments: DataFrame, cfg: AugmentationConf
     product_count = goods.count()
     if min(cfg.max_basket_size, product_count) < 2:
         raise ValueError("not enough merchandise products for a valid basket")
-    pairs, counts = pf.pair_counts(items, pf.best_sellers(goods, cfg.relation_products), cfg)
+    pairs, counts = pf.pair_counts(items, goods, cfg)
     related = materialise(pf.relations(pairs, counts, items, cfg), "relations")
     anchors = materialise(pf.anchors(goods, related, cfg.top_anchors), "anchors")
     anchor_count = anchors.count()
@@ -209,30 +216,35 @@ def prepare_context(items: DataFrame, segments: DataFrame, cfg: AugmentationConf
         customers.select("segment_code", "bucket", "order_count", "place", "customer_id", "budget"), "customers"
     )
     strata = customers.groupBy("segment_code", "bucket", "order_count").agg(F.count("*").alias("members"))
-    strata = strata.withColumn("weight", c("members") * F.sqrt("order_count"))
+    strata = _with_running_share(strata.withColumn("weight", c("members") * F.sqrt("order_count")), ["segment_code", "bucket"], "order_count")
     per_bucket = strata.groupBy("segment_code", "bucket").agg(
-        F.sort_array(F.collect_list(F.struct("order_count", "members", "weight"))).alias("strata"),
+        F.sort_array(F.collect_list(F.struct("order_count", "members", "upto"))).alias("strata"),
         F.sum("weight").alias("weight"),
     )
     per_bucket = materialise(per_bucket, "customer-buckets")
-    bucket_shares = per_bucket.groupBy("segment_code").agg(
-        F.sort_array(F.collect_list(F.struct("bucket", "weight"))).alias("buckets")
+    bucket_shares = _with_running_share(per_bucket, ["segment_code"], "bucket").groupBy("segment_code").agg(
+        F.sort_array(F.collect_list(F.struct("bucket", "upto"))).alias("buckets")
     )
     segment_rows = (
         sizes.join(synthetic_pool(sizes, cfg.synthetic_customers), "segment_code")
         .join(bucket_shares, "segment_code")
         .join(segment_budget.select("segment_code", c("budget").alias("segment_budget")), "segment_code", "left")
-        .select("segment_code", "pool_first", "pool_size", "segment_budget", rnd.running_shares(c("buckets"), "weight").alias("buckets"))
+        .select("segment_code", "pool_first", "pool_size", "segment_budget", "buckets")
     )
+    candidates = materialise(_candidates(anchors, choices, related, best, goods, cfg), "candidates")
+    largest = min(cfg.max_basket_size, product_count)
+    least = candidates.agg(F.min(F.size("start") + F.size("fillers"))).first()[0]
+    if least is None or least < largest:
+        raise ValueError(f"baskets of {largest} products cannot be drawn from {least or 0} candidates")
     return Context(
         anchor_count=anchor_count,
         product_count=product_count,
         choices=choices,
-        candidates=materialise(_candidates(anchors, choices, related, best, goods, cfg), "candidates"),
+        candidates=candidates,
         segments=materialise(segment_rows, "segment-rows"),
-        customer_strata=per_bucket.select("segment_code", "bucket", rnd.running_shares(c("strata"), "weight").alias("strata")),
+        customer_strata=per_bucket.select("segment_code", "bucket", "strata"),
         customers=customers,
-        max_basket_size=min(cfg.max_basket_size, product_count),
+        max_basket_size=largest,
         last_day=items.agg(F.max(c("invoice_ts").cast("date"))).scalar(),
     )
 
@@ -260,10 +272,10 @@ def generate_lines(spark: SparkSession, context: Context, cfg: AugmentationConfi
     baskets = basket_numbers(spark, plan, seed).withColumn(
         "anchor_index", ((number - 1) % context.anchor_count).cast("int")
     )
-    baskets = baskets.join(small(context.choices, cfg.top_anchors), "anchor_index").withColumn(
+    baskets = baskets.join(small(context.choices, context.anchor_count), "anchor_index").withColumn(
         "segment_code", rnd.pick(c("choices"), rnd.uniform(seed, "segment", number))["segment_code"]
     )
-    baskets = baskets.drop("choices").join(small(context.segments, _MAX_SEGMENTS), "segment_code")
+    baskets = baskets.drop("choices").join(small(context.segments), "segment_code")
     is_new = (c("pool_size") > 0) & (rnd.uniform(seed, "new-customer", number) < 0.2)
     new_id = _synthetic_id(c("pool_first") + rnd.below(c("pool_size"), seed, "pool", number))
     shared = ["number", "first_line", "size", "anchor_index", "segment_code"]
@@ -272,7 +284,7 @@ def generate_lines(spark: SparkSession, context: Context, cfg: AugmentationConfi
     drawn = baskets.filter(~is_new).select(
         *shared, "segment_budget", rnd.pick(c("buckets"), rnd.uniform(seed, "bucket", number))["bucket"].alias("bucket")
     )
-    drawn = drawn.join(small(context.customer_strata, _MAX_SEGMENTS * cfg.customer_buckets), ["segment_code", "bucket"])
+    drawn = drawn.join(small(context.customer_strata), ["segment_code", "bucket"])
     drawn = drawn.withColumn("stratum", rnd.pick(c("strata"), rnd.uniform(seed, "stratum", number)))
     drawn = drawn.select(
         *shared,
@@ -286,7 +298,7 @@ def generate_lines(spark: SparkSession, context: Context, cfg: AugmentationConfi
     )
 
     filled = fresh.unionByName(known).join(
-        small(context.candidates, cfg.top_anchors * _MAX_SEGMENTS), ["anchor_index", "segment_code"]
+        small(context.candidates), ["anchor_index", "segment_code"]
     )
     filled = filled.withColumn("products", _draw_products(cfg))
     pieces = F.transform(

@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.config import AugmentationConfig
-from tillroll.fixed_values import SEGMENT_NAMES, UNNAMED_IN_PROFILES
+from tillroll.fixed_values import UNNAMED_IN_PROFILES
 from tillroll.operators.basket import one_segment, small
 from tillroll.operators.medians import exact_median
 from tillroll.operators.warehouse import merchandise
+from tillroll.sources.stage import materialise
 
 # Unit prices are compared in millionths, amounts in ten-thousandths.
 _PRICE_UNITS = 1_000_000.0
@@ -55,26 +56,27 @@ def profiles(items: DataFrame) -> DataFrame:
 
 def best_sellers(product_profiles: DataFrame, limit: int) -> DataFrame:
     """Products with the largest sales and their rank; equal sales by baskets, then code."""
-    top = product_profiles.orderBy(F.desc("sales_amount"), F.desc("basket_count"), "stock_code").limit(limit)
+    by_sales = [F.desc("sales_amount"), F.desc("basket_count"), F.asc("stock_code")]
+    top = product_profiles.orderBy(*by_sales).limit(limit)
     # At most `limit` rows, so ranking them in one task is fine.
-    order = Window.orderBy(F.desc("sales_amount"), F.desc("basket_count"), "stock_code")
-    return top.withColumn("sales_rank", F.row_number().over(order))
+    return top.withColumn("sales_rank", F.row_number().over(Window.orderBy(*by_sales)))
 
 
-def _popular_baskets(items: DataFrame, best: DataFrame, cfg: AugmentationConfig) -> DataFrame:
-    """Per invoice, its most popular best sellers as codes in code order."""
-    ranked = items.select("invoice_no", "stock_code").join(
-        small(best.select("stock_code", "sales_rank"), cfg.relation_products), "stock_code"
-    )
-    # Only best sellers enter, so an invoice's set has at most `relation_products` entries.
-    content = F.sort_array(F.collect_set(F.struct("sales_rank", "stock_code")))
-    popular = F.slice(content, 1, cfg.max_products_per_basket)
-    return ranked.groupBy("invoice_no").agg(F.sort_array(popular["stock_code"]).alias("codes"))
+def _popular_baskets(items: DataFrame, goods: DataFrame, cfg: AugmentationConfig) -> DataFrame:
+    """Per invoice, its profiled products as codes in code order, or the most popular of them."""
+    known = goods.select("stock_code", F.struct(-F.col("sales_amount"), -F.col("basket_count"), "stock_code").alias("_place"))
+    if cfg.relation_products is not None:
+        known = known.orderBy("_place").limit(cfg.relation_products)
+    places = items.select("invoice_no", "stock_code").join(known, "stock_code")
+    if cfg.max_products_per_basket is None:
+        return places.groupBy("invoice_no").agg(F.sort_array(F.collect_set("stock_code")).alias("codes"))
+    popular = F.slice(F.sort_array(F.collect_set("_place")), 1, cfg.max_products_per_basket)
+    return places.groupBy("invoice_no").agg(F.sort_array(popular["stock_code"]).alias("codes"))
 
 
-def pair_counts(items: DataFrame, best: DataFrame, cfg: AugmentationConfig) -> tuple[DataFrame, DataFrame]:
-    """Baskets per pair (left < right) and per product, over the most popular products of each basket."""
-    baskets = _popular_baskets(items, best, cfg)
+def pair_counts(items: DataFrame, goods: DataFrame, cfg: AugmentationConfig) -> tuple[DataFrame, DataFrame]:
+    """Baskets per pair (left < right) and per product, over the profiled products of each basket."""
+    baskets = _popular_baskets(items, goods, cfg)
     single = baskets.select(F.explode("codes").alias("stock_code"))
     counts = single.groupBy("stock_code").agg(F.count("*").alias("basket_count"))
     apart = baskets.select(F.posexplode("codes").alias("at", "left_code"), "codes")
@@ -84,7 +86,7 @@ def pair_counts(items: DataFrame, best: DataFrame, cfg: AugmentationConfig) -> t
 
 
 def relations(pairs: DataFrame, counts: DataFrame, items: DataFrame, cfg: AugmentationConfig) -> DataFrame:
-    """Directed relations with rank per anchor. Lift refers to all source invoices, counts to cut baskets."""
+    """Directed relations with rank per anchor. Lift refers to all source invoices."""
     c = F.col
     baskets = items.agg(F.count_distinct("invoice_no")).scalar()
     both = F.array(
@@ -92,10 +94,9 @@ def relations(pairs: DataFrame, counts: DataFrame, items: DataFrame, cfg: Augmen
         F.struct(c("right_code").alias("anchor_code"), c("left_code").alias("companion_code")),
     )
     directed = pairs.filter(c("pair_count") >= cfg.min_pair_baskets).select(F.inline(both), "pair_count")
-    known = small(counts, cfg.relation_products)
-    directed = directed.join(known.select(c("stock_code").alias("anchor_code"), c("basket_count").alias("_a")), "anchor_code")
+    directed = directed.join(counts.select(c("stock_code").alias("anchor_code"), c("basket_count").alias("_a")), "anchor_code")
     directed = directed.join(
-        known.select(c("stock_code").alias("companion_code"), c("basket_count").alias("_c")), "companion_code"
+        counts.select(c("stock_code").alias("companion_code"), c("basket_count").alias("_c")), "companion_code"
     )
     measured = directed.withColumn("confidence", c("pair_count") / c("_a")).withColumn(
         "lift", c("pair_count") * baskets / (c("_a") * c("_c"))
@@ -146,9 +147,10 @@ def with_segment(items: DataFrame, segments: DataFrame) -> DataFrame:
 def customer_weights(segment_items: DataFrame) -> DataFrame:
     """Share of each customer in a segment's draws: square root of orders over the segment's sum."""
     orders = segment_items.groupBy("segment_code", "customer_id").agg(F.count_distinct("invoice_no").alias("order_count"))
+    orders = materialise(orders, "customer-orders")
     root = F.sqrt("order_count")
-    totals = orders.groupBy("segment_code").agg(F.sum(root).alias("_total"))
-    return orders.join(small(totals, len(SEGMENT_NAMES)), "segment_code").select(
+    totals = materialise(orders.groupBy("segment_code").agg(F.sum(root).alias("_total")), "segment-totals")
+    return orders.join(small(totals), "segment_code").select(
         "segment_code", "customer_id", "order_count", (root / F.col("_total")).alias("weight")
     )
 

@@ -5,83 +5,65 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillroll.operators.basket import small
 from tillroll.sources.stage import materialise
 
 
-def score_of_rank(rank: Column, rows: Column, bins: int) -> Column:
-    """Quantile bin 1..min(bins, rows) of a rank 1..rows, in whole numbers."""
-    used = F.least(F.lit(bins), rows)
-    step = F.ceil(((rank - 1) * used).cast("decimal(38,0)") / (rows - 1).cast("decimal(38,0)"))
-    return F.when(rows <= 1, 1).otherwise(F.greatest(F.lit(1), step)).cast("int")
-
-
 def _directed(score: Column, rows: Column, bins: int, higher_better: bool) -> Column:
     return score if higher_better else (F.least(F.lit(bins), rows) + 1 - score).cast("int")
 
 
-def score_in_window(
-    df: DataFrame, metrics: dict[str, tuple[str, bool]], bins: int, by: str, tie: str
-) -> DataFrame:
-    """Add one score per entry `score: (metric, higher_better)`; a group of `by` is sorted by one task.
-
-    For groups of known, moderate size. All windows share one shuffle on `by`.
-    """
-    group = Window.partitionBy(by)
-    df = df.withColumn("_rows", F.count("*").over(group))
-    for name, (metric, higher_better) in metrics.items():
-        rank = F.row_number().over(group.orderBy(metric, tie))
-        score = _directed(score_of_rank(rank, F.col("_rows"), bins), F.col("_rows"), bins, higher_better)
-        df = df.withColumn(name, score.cast("int"))
-    return df.drop("_rows")
-
-
-def ranked_by_range(df: DataFrame, by: str, order: list[str]) -> tuple[DataFrame, DataFrame]:
+def ranked_by_range(df: DataFrame, by: list[str], order: list[str]) -> tuple[DataFrame, DataFrame]:
     """Rows with their exact `rank` per group of `by`, and group sizes, through one range sort.
 
     Rows are spread over tasks by value ranges of (by, order), so neither a large group nor a run of
     equal values meets in one task as long as `order` is unique. The sorted rows are written out:
     counting and numbering must see the same ranges, also after a lost executor.
     """
-    keys = [by, *order]
+    keys = [*by, *order]
     rows = df.select(*keys).repartitionByRange(*keys).sortWithinPartitions(*keys)
     rows = materialise(rows.withColumn("_position", F.monotonically_increasing_id()), "ranked")
     rows = rows.withColumn("_range", F.shiftright("_position", 33))
-    ranges = rows.groupBy(by, "_range").agg(F.count("*").alias("_count"), F.min("_position").alias("_first"))
+    ranges = rows.groupBy(*by, "_range").agg(F.count("*").alias("_count"), F.min("_position").alias("_first"))
     # One row per (group, task range): small whatever the number of rows.
-    earlier = Window.partitionBy(by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = ranges.withColumn("_offset", F.coalesce(F.sum("_count").over(earlier), F.lit(0)))
-    sizes = ranges.groupBy(by).agg(F.sum("_count").alias("rows"))
-    ranked = rows.join(offsets, [by, "_range"]).withColumn(
+    offsets = materialise(offsets, "range-offsets")
+    sizes = offsets.groupBy(*by).agg(F.sum("_count").alias("rows"))
+    ranked = rows.join(small(offsets), [*by, "_range"]).withColumn(
         "rank", F.col("_offset") + F.col("_position") - F.col("_first") + 1
     )
     return ranked.select(*keys, "rank"), sizes
 
 
-def score_by_range(
-    df: DataFrame, metrics: dict[str, tuple[str, bool]], bins: int, by: str, tie: str
-) -> DataFrame:
-    """Same result as `score_in_window` for groups of any size.
+def score(df: DataFrame, metrics: dict[str, tuple[str, bool]], bins: int, by: str, tie: str) -> DataFrame:
+    """Add one quantile score per entry `score: (metric, higher_better)`, per group of `by` of any size.
 
-    Per metric, narrow rows are range-sorted once and only the last row of each bin is kept. Scoring
-    compares every row with its group's few bin ends, so the wide rows are never shuffled.
+    Narrow rows of all metrics are range-sorted together and only the last row of each bin is kept. Every
+    row of `df` is then compared with its group's few bin ends, of which there are groups × metrics × bins.
     """
-    result = df
-    for name, (metric, higher_better) in metrics.items():
-        ranked, sizes = ranked_by_range(df, by, [metric, tie])
-        used = F.least(F.lit(bins), F.col("rows"))
-        last_of_bin = F.transform(
-            F.sequence(F.lit(1), F.lit(bins)),
-            lambda j: F.floor((j * (F.col("rows") - 1)).cast("decimal(38,0)") / used.cast("decimal(38,0)")) + 1,
-        )
-        wanted = sizes.select(by, "rows", F.explode(F.slice(last_of_bin, F.lit(1), used - 1)).alias("rank"))
-        ends = (
-            ranked.join(wanted.select(by, "rank"), [by, "rank"])
-            .groupBy(by)
-            .agg(F.collect_list(F.struct(metric, tie)).alias("_ends"))
-        )
-        ends = sizes.join(ends, by, "left")
-        row = F.struct(metric, tie)
-        passed = F.size(F.filter(F.coalesce("_ends", F.array().cast(ends.schema["_ends"].dataType)), lambda e: e < row))
-        score = _directed(passed + 1, F.col("rows"), bins, higher_better).cast("int")
-        result = result.join(ends, by).withColumn(name, score).drop("_ends", "rows")
-    return result
+    c = F.col
+    value = lambda metric: F.col(metric).cast("decimal(38,4)")
+    stacked = F.array(
+        *[F.struct(F.lit(at).alias("_metric"), value(m).alias("_value")) for at, (m, _) in enumerate(metrics.values())]
+    )
+    ranked, sizes = ranked_by_range(df.select(by, tie, F.inline(stacked)), [by, "_metric"], ["_value", tie])
+    used = F.least(F.lit(bins), c("rows"))
+    last_of_bin = F.transform(
+        F.sequence(F.lit(1), F.lit(bins)),
+        lambda j: F.floor((j * (c("rows") - 1)).cast("decimal(38,0)") / used.cast("decimal(38,0)")) + 1,
+    )
+    sizes = materialise(sizes, "group-sizes")
+    wanted = sizes.select(by, "_metric", F.explode(F.slice(last_of_bin, F.lit(1), used - 1)).alias("rank"))
+    ends = ranked.join(small(wanted, bins * sizes.count()), [by, "_metric", "rank"])
+    per_metric = [
+        F.sort_array(F.collect_list(F.when(c("_metric") == at, F.struct("_value", tie)))).alias(f"_ends{at}")
+        for at in range(len(metrics))
+    ]
+    groups = sizes.filter("_metric = 0").select(by, "rows").join(ends.groupBy(by).agg(*per_metric), by, "left")
+    scored = df.join(small(materialise(groups, "bin-ends")), by)
+    for at, (name, (metric, higher_better)) in enumerate(metrics.items()):
+        row = F.struct(value(metric).alias("_value"), tie)
+        passed = F.when(c(f"_ends{at}").isNull(), 0).otherwise(F.size(F.filter(f"_ends{at}", lambda e: e < row)))  # noqa: B023
+        scored = scored.withColumn(name, _directed(passed + 1, c("rows"), bins, higher_better).cast("int"))
+    return scored.drop("rows", *[f"_ends{at}" for at in range(len(metrics))])

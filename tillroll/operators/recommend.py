@@ -51,30 +51,34 @@ def _reason(form: str, confidence: Column, lift: Column, coverage: Column) -> Co
     )
 
 
-def match_rules(rules: DataFrame, requests: DataFrame, source: str, candidate_cap: int = 500) -> DataFrame:
-    """Rules of each request's scope with the product in the antecedent, best rank first.
-
-    As in the single-request report, only the `candidate_cap` best rules that name the product on
-    either side are looked at. A scope holds a bounded number of rules, so a request's window does too.
-    """
+def check_requests(requests: DataFrame) -> None:
+    """Refuse requests whose answers would be wrong or ambiguous."""
+    c = F.col
+    bad = {
+        "a request has no id": c("request_id").isNull(),
+        "a request names no product": F.trim(F.coalesce("product_code", F.lit(""))) == "",
+        "min_lift is below zero or absent": ~F.coalesce(c("min_lift") >= 0, F.lit(False)),
+        "max_results is not between 1 and 50": ~F.coalesce(c("max_results").between(1, 50), F.lit(False)),
+    }
+    found = requests.agg(*[F.count_if(condition).alias(text) for text, condition in bad.items()]).first()
+    problems = [text for text in bad if found[text]]
+    if not requests.groupBy("request_id").agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
+        problems.append("request ids repeat")
+    if problems:
+        raise ValueError("; ".join(problems))
+
+
+def match_rules(rules: DataFrame, requests: DataFrame, source: str) -> DataFrame:
+    """Rules of each request's scope with the product in the antecedent, best rank first."""
     c = F.col
-    left, right = F.split("antecedent_codes", r"\|"), F.split("consequent_codes", r"\|")
     numeric = {name: c(name).cast("double") for name in _METRICS}
     by_product = rules.withColumns(numeric).select(
-        "*", F.explode(F.array_distinct(F.concat(left, right))).alias("product_code")
+        "*", F.explode(F.array_distinct(F.split("antecedent_codes", r"\|"))).alias("product_code")
     )
-    by_product = by_product.withColumn("in_antecedent", F.array_contains(left, c("product_code")).cast("int"))
     found = requests.select(*REQUEST_COLUMNS).join(by_product, ["segment_code", "product_code"])
     best = Window.partitionBy("request_id").orderBy(F.desc("rank_score"), "rule_id")
-    numbered = found.filter(c("lift") >= c("min_lift")).withColumns(
-        {
-            "candidate": F.row_number().over(best),
-            "position": F.sum("in_antecedent").over(best.rowsBetween(Window.unboundedPreceding, 0)),
-        }
-    )
-    kept = numbered.filter(
-        (c("candidate") <= candidate_cap) & (c("in_antecedent") == 1) & (c("position") <= c("max_results"))
-    )
+    numbered = found.filter(c("lift") >= c("min_lift")).withColumn("position", F.row_number().over(best).cast("bigint"))
+    kept = numbered.filter(c("position") <= c("max_results"))
     strategy = F.when(c("lift") >= 2, fixed.STRATEGY_BUNDLE).otherwise(fixed.STRATEGY_CROSS_SELL)
     reason = _reason(fixed.RULE_REASON, c("confidence"), c("lift"), c("coverage_basket_count"))
     return kept.withColumns(
@@ -93,8 +97,7 @@ def companions(
     """Products that share generated baskets with each request's product.
 
     One aggregate over (scope, product, companion) limited to the requested products serves all
-    requests. Per request the max(5·n, 20) most frequent companions are looked at, as in the
-    single-request report.
+    requests. Companions that pass the limits are ranked by frequency.
     """
     c = F.col
     wanted = requests.select(c("segment_code").alias("scope"), c("product_code").alias("anchor")).distinct()
@@ -125,13 +128,10 @@ def companions(
     )
     asked = requests.select("*", c("segment_code").alias("scope"), c("product_code").alias("anchor"))
     frequent = Window.partitionBy("request_id").orderBy(F.desc("pair_baskets"), "stock_code", "product_name")
-    looked_at = (
-        asked.join(counted, ["scope", "anchor"])
-        .withColumn("candidate", F.row_number().over(frequent))
-        .filter(c("candidate") <= F.greatest(c("max_results") * 5, F.lit(20)))
-    )
     confidence, support = c("pair_baskets") / c("anchor_baskets"), c("pair_baskets") / c("total")
-    measured = looked_at.withColumns({"_confidence": confidence, "_lift": confidence / (c("baskets") / c("total"))})
+    measured = asked.join(counted, ["scope", "anchor"]).withColumns(
+        {"_confidence": confidence, "_lift": confidence / (c("baskets") / c("total"))}
+    )
     strong = measured.filter(
         (c("_lift") >= c("min_lift"))
         & (c("_confidence") >= min_confidence)
@@ -163,33 +163,38 @@ def companions(
 
 
 def recommend(
-    marts: Marts,
-    requests: DataFrame,
-    candidate_cap: int = 500,
-    min_prediction_confidence: float = MIN_PREDICTION_CONFIDENCE,
+    marts: Marts, requests: DataFrame, min_prediction_confidence: float = MIN_PREDICTION_CONFIDENCE
 ) -> DataFrame:
     """Answers in order of preference: segment rules, rules of all customers, predictions for the
-    segment, predictions for all customers. Each stage sees only requests without an answer so far.
+    segment, predictions for all customers. The first source with an answer serves the request.
+
+    Requests that ask the same are answered once and their answers joined back to the request ids.
     """
-    requests = requests.select(*REQUEST_COLUMNS)
+    check_requests(requests)
+    asked = [name for name in REQUEST_COLUMNS if name != "request_id"]
+    requests = materialise(requests.select("request_id", *asked), "requests")
+    questions = requests.select(*asked).distinct().withColumn("request_id", F.md5(F.to_json(F.struct(*asked))))
+    questions = materialise(questions, "questions")
     all_scope = F.lit(fixed.ALL_SCOPE)
+    narrow = questions.filter(F.coalesce(F.col("segment_code") != all_scope, F.lit(True)))
+    widened = narrow.withColumn("segment_code", all_scope)
     rules, lines = marts["association_rule"], marts.get("synthetic_transaction")
 
-    def unanswered(open_requests: DataFrame, answers: DataFrame) -> DataFrame:
-        return materialise(open_requests.join(answers.select("request_id"), "request_id", "left_anti"), "open-requests")
-
-    def widened(open_requests: DataFrame) -> DataFrame:
-        narrow = open_requests.filter(F.col("segment_code") != all_scope)
-        return narrow.withColumn("segment_code", all_scope)
-
-    own = materialise(match_rules(rules, requests, fixed.SOURCE_SEGMENT_RULE, candidate_cap), "answers-segment")
-    rest = unanswered(requests, own)
-    fallback = match_rules(rules, widened(rest), fixed.SOURCE_GLOBAL_RULE, candidate_cap)
-    fallback = materialise(fallback, "answers-all")
-    answers = own.unionByName(fallback)
-    if lines is None:
-        return answers
-    rest = unanswered(rest, fallback)
-    predicted = materialise(companions(lines, rest, min_prediction_confidence), "answers-predicted")
-    last = companions(lines, widened(unanswered(rest, predicted)), min_prediction_confidence)
-    return answers.unionByName(predicted).unionByName(last)
+    own = match_rules(rules, questions, fixed.SOURCE_SEGMENT_RULE).withColumn("_source", F.lit(1))
+    fallback = match_rules(rules, widened, fixed.SOURCE_GLOBAL_RULE).withColumn("_source", F.lit(2))
+    ruled = materialise(own.unionByName(fallback), "answers-rules")
+    answers = ruled
+    if lines is not None:
+        rest = materialise(questions.join(ruled.select("request_id"), "request_id", "left_anti"), "open-questions")
+        wider = rest.filter(F.coalesce(F.col("segment_code") != all_scope, F.lit(True))).withColumn("segment_code", all_scope)
+        both = rest.withColumn("_source", F.lit(3)).unionByName(wider.withColumn("_source", F.lit(4)))
+        # One pass over the lines serves both scopes of a question, told apart by a suffix of its id.
+        both = both.withColumn("request_id", F.concat_ws("/", "request_id", "_source"))
+        predicted = companions(lines, both.drop("_source"), min_prediction_confidence)
+        parts = F.split("request_id", "/")
+        predicted = predicted.withColumns({"_source": parts[1].cast("int"), "request_id": parts[0]})
+        answers = materialise(ruled.unionByName(predicted), "answers")
+    first = answers.groupBy("request_id").agg(F.min("_source").alias("_source"))
+    chosen = answers.join(first, ["request_id", "_source"]).drop("_source")
+    keyed = requests.select("request_id", F.md5(F.to_json(F.struct(*asked))).alias("_question"))
+    return keyed.join(chosen.withColumnRenamed("request_id", "_question"), "_question").select(*ANSWER_COLUMNS)

@@ -11,6 +11,7 @@ from tillroll.config import RfmConfig
 from tillroll.functions import rfm as fn
 from tillroll.functions.numbers import round_ratio
 from tillroll.operators import ranking
+from tillroll.sources.stage import materialise
 
 # Months per snapshot period.
 _MONTHS = {"ME": 1, "QE": 3, "YE": 12}
@@ -149,18 +150,11 @@ def snapshot_values(items: DataFrame, cfg: RfmConfig | None = None) -> DataFrame
     )
 
 
-def scored(values: DataFrame, cfg: RfmConfig | None = None, customer_bound: int | None = None) -> DataFrame:
-    """Scores, segments and rounded money for snapshot values.
-
-    `customer_bound` is a known upper limit of customers per snapshot; without it they are counted.
-    Snapshots within the configured size are ranked by one task each, larger ones by range sorts.
-    """
+def scored(values: DataFrame, cfg: RfmConfig | None = None) -> DataFrame:
+    """Scores, segments and rounded money for snapshot values."""
     cfg = cfg or RfmConfig()
-    if customer_bound is None:
-        per_snapshot = values.groupBy("snapshot_date").count()
-        customer_bound = per_snapshot.agg(F.max("count")).first()[0] or 0
-    score = ranking.score_in_window if customer_bound <= cfg.max_customers_per_rank_task else ranking.score_by_range
-    with_scores = score(values, SCORES, cfg.score_bins, "snapshot_date", "customer_id")
+    values = materialise(values, "snapshot-values")
+    with_scores = ranking.score(values, SCORES, cfg.score_bins, "snapshot_date", "customer_id")
     r, f, m = (F.col(name) for name in SCORES)
     return with_scores.withColumn("segment_code", fn.segment_code(r, f, m)).select(
         "snapshot_date",
@@ -178,13 +172,9 @@ def scored(values: DataFrame, cfg: RfmConfig | None = None, customer_bound: int
     )
 
 
-def snapshots(items: DataFrame, cfg: RfmConfig | None = None, customer_bound: int | None = None) -> DataFrame:
+def snapshots(items: DataFrame, cfg: RfmConfig | None = None) -> DataFrame:
     """Scored customers at every snapshot."""
-    cfg = cfg or RfmConfig()
-    if customer_bound is None:
-        # Sketch of one column with 2 % error, widened by 10 %: no extra shuffle of the items.
-        customer_bound = int(1.1 * (items.agg(F.approx_count_distinct("customer_id", 0.02)).first()[0] or 0))
-    return scored(snapshot_values(items, cfg), cfg, customer_bound)
+    return scored(snapshot_values(items, cfg), cfg)
 
 
 def latest(snapshot_rows: DataFrame) -> DataFrame:
@@ -193,7 +183,7 @@ def latest(snapshot_rows: DataFrame) -> DataFrame:
     return snapshot_rows.filter(F.col("snapshot_date") == last)
 
 
-def current(items: DataFrame, cfg: RfmConfig | None = None, customer_bound: int | None = None) -> DataFrame:
+def current(items: DataFrame, cfg: RfmConfig | None = None) -> DataFrame:
     """Scored customers at the last snapshot only, without building the earlier ones."""
     cfg = cfg or RfmConfig()
     day_after = items.agg(F.date_add(F.max(F.col("invoice_ts").cast("date")), 1)).scalar()
@@ -205,7 +195,7 @@ def current(items: DataFrame, cfg: RfmConfig | None = None, customer_bound: int
     values = base.withColumn("snapshot_date", day_after).withColumn(
         "recency_days", fn.recency(F.col("latest_purchase_ts"), F.col("snapshot_date"))
     )
-    return scored(values, cfg, customer_bound)
+    return scored(values, cfg)
 
 
 def summarize(snapshot_rows: DataFrame) -> DataFrame:

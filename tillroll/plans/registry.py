@@ -43,6 +43,8 @@ def query(name: str) -> Callable[[Query], Query]:
             df = build(spark, sf_dir)
             return df.select(*[_portable(field.name, field.dataType) for field in df.schema.fields])
 
+        if name in QUERIES:
+            raise ValueError(f"there is a query {name} already")
         QUERIES[name] = run
         return run
 
@@ -211,8 +213,8 @@ def positive_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _on_items("kpi_overview", kpi.kpi_overview)
 _on_items("kpi_monthly", kpi.kpi_monthly)
-_on_items("top_products", kpi.top_products, product="part")
 _on_items("top_products", kpi.top_products)
+_on_items("top_products_by_part", kpi.top_products, product="part")
 
 
 # --- customer value -------------------------------------------------------------------------------
@@ -237,9 +239,7 @@ def year_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The customer table's row count, read from file footers, bounds the customers of any snapshot.
-    bound = sample.table(spark, sf_dir, "customer").count()
-    return rfm.snapshots(_items(spark, sf_dir), customer_bound=bound)
+    return rfm.snapshots(_items(spark, sf_dir))
 
 
 def _on_snapshots(name: str, operator: Callable[[DataFrame], DataFrame]) -> None:
@@ -274,8 +274,7 @@ def _on_stored_items(name: str, operator: Callable[[DataFrame], DataFrame], prod
 
 
 def _segments(spark: SparkSession, sf_dir: str, items: DataFrame) -> DataFrame:
-    bound = sample.table(spark, sf_dir, "customer").count()
-    scored = rfm.current(items, customer_bound=bound)
+    scored = rfm.current(items)
     return materialise(scored.select("customer_id", "segment_code", "segment_name"), "segments")
 
 
@@ -311,14 +310,14 @@ def scope_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _baskets(spark: SparkSession, sf_dir: str) -> Mining:
     lines, scopes, products = _mining(spark, sf_dir)
     products = materialise(products, "scope-products")
-    return materialise(basket.scope_baskets(lines, products, _RULES), "scope-baskets"), scopes, products
+    return materialise(basket.scope_baskets(lines, products), "scope-baskets"), scopes, products
 
 
 @query("scope_baskets")
 def scope_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
     baskets, _, products = _baskets(spark, sf_dir)
     wide = baskets.select("scope", "invoice_no", F.explode("content.item").alias("item"))
-    codes = basket.small(products.select("scope", "item", "stock_code"), basket.MAX_SCOPES * _RULES.max_products)
+    codes = basket.small(products.select("scope", "item", "stock_code"))
     grouped = wide.join(codes, ["scope", "item"]).groupBy("scope", "invoice_no")
     by_code = F.sort_array(F.collect_list("stock_code"))
     return grouped.agg(F.array_join(by_code, "|").alias("codes"), F.count("*").alias("width"))
@@ -327,7 +326,7 @@ def scope_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("frequent_itemsets")
 def frequent_itemsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     baskets, scopes, products = _baskets(spark, sf_dir)
-    found = basket.itemsets(baskets, basket.basket_sizes(baskets, scopes), _RULES)
+    found = basket.itemsets(baskets, materialise(basket.basket_sizes(baskets, scopes), "basket-sizes"), _RULES)
     return basket.named_itemsets(found, basket.product_catalog(baskets, products))
 
 
@@ -404,7 +403,7 @@ _on_marts("q_drift", "rule_drift", _drift, lambda marts: serving.drift(marts, st
 @query("mart_key_duplicates")
 def mart_key_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = _items(spark, sf_dir)
-    rows = materialise(rfm.snapshots(items, customer_bound=sample.table(spark, sf_dir, "customer").count()), "snapshots")
+    rows = materialise(rfm.snapshots(items), "snapshots")
     frames = {
         "monthly_sale": kpi.kpi_monthly(items),
         "top_product": kpi.top_products(items),
@@ -450,16 +449,13 @@ def recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- profiles and scenario lines ------------------------------------------------------------------
 
-# Limits below the sample tables' 25 brands and 13 lines per order, so that every limit takes effect.
-_SCENARIO = AugmentationConfig(
-    relation_products=20, max_products_per_basket=5, top_anchors=12, segment_products=15, batch_id=sample.SCENARIO_BATCH
-)
+_SCENARIO = AugmentationConfig(batch_id=sample.SCENARIO_BATCH)
 
 
 def _relations(items: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Product profiles and directed relations."""
     goods = materialise(profiles.profiles(warehouse.positive_rows(items)), "profiles")
-    pairs, counts = profiles.pair_counts(items, profiles.best_sellers(goods, _SCENARIO.relation_products), _SCENARIO)
+    pairs, counts = profiles.pair_counts(items, goods, _SCENARIO)
     return goods, profiles.relations(pairs, counts, items, _SCENARIO)
 
 
@@ -473,8 +469,7 @@ _on_stored_items("product_profiles", lambda items: profiles.profiles(warehouse.p
 @query("cooccurrence_pairs")
 def cooccurrence_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = _items(spark, sf_dir)
-    best = profiles.best_sellers(profiles.profiles(items), _SCENARIO.relation_products)
-    return profiles.pair_counts(items, best, _SCENARIO)[0]
+    return profiles.pair_counts(items, profiles.profiles(items), _SCENARIO)[0]
 
 
 _on_stored_items(
