@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import zlib
 from bisect import bisect_left, insort
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import pandas as pd
@@ -19,28 +19,64 @@ WIDTH = 4  # bytes of a token id
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _STORED = f"{_PIECES}, ids binary, closed boolean, home long"
 _SPACE = re.compile(r"(?<=\S) (?=\S)")
+_MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
+_PLAIN = re.compile(rf"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+[{re.escape(_MARKS)}]*")
 _encoders: dict[str, ChunkEncoder] = {}
 
 
+class _Known(dict):
+    """Values computed when first asked for; a full store is emptied."""
+
+    def __init__(self, compute: Callable[[str], bytes], keep: int):
+        super().__init__()
+        self.compute, self.keep = compute, keep
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.compute(key)
+        if len(self) >= self.keep:
+            self.clear()
+        self[key] = value
+        return value
+
+
+class _Blank(Exception):
+    """A chunk that starts or ends in white space, where cutting at single spaces is wrong."""
+
+
 class ChunkEncoder:
-    """Token ids of whole texts, with the ids of frequent chunks kept.
+    """Token ids of whole texts, with the ids of frequent parts kept.
 
     The vocabulary's split pattern always starts a new piece at a single space between two visible characters, so a
-    text is cut there and the ids of its chunks are joined. `keep` bounds the kept chunks; a full store is emptied.
+    text is cut there and the ids of its chunks are joined. Letters, marks after them and single line ends are pieces
+    of their own too; a chunk of those is made from its pieces, which only the merges see. Any other chunk is left to
+    the tokenizer as a whole. `keep` bounds the kept chunks and the kept pieces.
     """
 
-    def __init__(self, path: str, keep: int = 600_000):
+    def __init__(self, path: str, keep: int = 1_000_000):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.keep = Tokenizer.from_file(path), keep
+        self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
-
-    def _learn(self, chunks: list[str]) -> None:
-        if len(self.known) + len(chunks) > self.keep:
-            self.known.clear()
-        for chunk, got in zip(chunks, self.tokenizer.encode_batch_fast([f" {c}" for c in chunks], add_special_tokens=False), strict=True):
-            self.known[chunk] = pa.array(got.ids, pa.uint32()).buffers()[1].to_pybytes()[: WIDTH * len(got.ids)]
+        self.chunks, self.pieces = _Known(self._spaced, keep), _Known(self._piece, keep)
+        self.letters = str.maketrans(_byte_letters())
+
+    def _piece(self, piece: str) -> bytes:
+        spelled = piece.encode().decode("latin-1").translate(self.letters)
+        return b"".join(t.id.to_bytes(WIDTH, "little") for t in self.tokenizer.model.tokenize(spelled))
+
+    def _spaced(self, chunk: str) -> bytes:
+        if not chunk or chunk[0].isspace() or chunk[-1].isspace():
+            raise _Blank
+        return self._chunk(f" {chunk}")
+
+    def _chunk(self, chunk: str) -> bytes:
+        parts = []
+        for line in chunk.split("\n"):
+            if not _PLAIN.fullmatch(line, 0 if parts else chunk.startswith(" ")):
+                return self._whole(chunk)
+            word = line.rstrip(_MARKS)
+            parts += ["\n", word, line[len(word) :]]
+        return b"".join([self.pieces[p] for p in parts[1:] if p])
 
     def _whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -50,17 +86,21 @@ class ChunkEncoder:
         """Ids as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
-        chunks = text.split(" ")
-        if any(not c or c[0].isspace() or c[-1].isspace() for c in chunks):
-            chunks = _SPACE.split(text)
-        first, rest, known = chunks[0], chunks[1:], self.known
-        if new := [c for c in dict.fromkeys(rest) if c not in known]:
-            self._learn(new)
-            known = self.known
+        first, *rest = text.split(" ")
         try:
-            return self._whole(first) + b"".join(map(known.__getitem__, rest))
-        except KeyError:  # the store was emptied for the new chunks
-            return self._whole(text)
+            if not first or first[-1].isspace():
+                raise _Blank
+            return self._chunk(first) + b"".join(map(self.chunks.__getitem__, rest))
+        except _Blank:
+            first, *rest = _SPACE.split(text)
+            return self._chunk(first) + b"".join([self._chunk(f" {c}") for c in rest])
+
+
+def _byte_letters() -> dict[int, str]:
+    """The visible character that stands for each byte in a byte-level vocabulary: itself, or the next one from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
 def encoder(path: str) -> ChunkEncoder:
