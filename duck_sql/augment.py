@@ -9,7 +9,7 @@ MIN_PAIR, TOP_ANCHORS, SEGMENT_PRODUCTS = 4, 100, 150
 
 _PROFILES = f"""
     goods AS (
-        SELECT *, (2 * CAST(item_amount * 10000 AS BIGINT) * 100 + item_quantity) // (2 * item_quantity) AS price_units
+        SELECT *, CAST(item_amount AS DOUBLE) / item_quantity AS unit_price
         FROM items WHERE upper(stock_code) NOT IN {SERVICE_CODES} AND item_quantity > 0 AND item_amount > 0
     ),
     name_counts AS (
@@ -18,11 +18,11 @@ _PROFILES = f"""
     ),
     profiles AS (
         SELECT g.stock_code, coalesce(max(n.product_name), 'UNKNOWN PRODUCT') AS product_name,
-               median(price_units) / 1e6 AS median_unit_price,
+               median(unit_price) AS median_unit_price,
                greatest(1.0::DOUBLE, least(72.0::DOUBLE, median(item_quantity))) AS median_quantity,
                count(DISTINCT invoice_no) AS basket_count, sum(item_amount) AS sales_amount
         FROM goods g LEFT JOIN name_counts n ON n.stock_code = g.stock_code AND n.pos = 1
-        GROUP BY g.stock_code HAVING median(price_units) > 0
+        GROUP BY g.stock_code HAVING median(unit_price) > 0
     ),
     ranked_profiles AS (
         SELECT *, row_number() OVER (ORDER BY sales_amount DESC, basket_count DESC, stock_code) AS sales_rank FROM profiles
@@ -70,7 +70,11 @@ def statements() -> dict[str, str]:
     sql: dict[str, str] = {}
     context = (*rfm.SNAPSHOT_PARTS, basket.SEGMENTS, _SEGMENT_ITEMS.format(limit=SEGMENT_PRODUCTS))
     sql["product_profiles"] = items_sql(
-        "SELECT * REPLACE (CAST(sales_amount AS DOUBLE) AS sales_amount) FROM profiles", "part", _PROFILES
+        f"""
+        SELECT * REPLACE (CAST(sales_amount AS DOUBLE) AS sales_amount, {rnd("median_unit_price", 9)} AS median_unit_price)
+        FROM profiles""",
+        "part",
+        _PROFILES,
     )
     sql["cooccurrence_pairs"] = items_sql("SELECT * FROM pair_counts", "brand", _PROFILES, _PAIRS)
     sql["product_relations"] = items_sql(

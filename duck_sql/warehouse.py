@@ -40,7 +40,7 @@ def statements() -> dict[str, str]:
                CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || '00' AS exponent_up,
                (cents // 100) || '.' || lpad(CAST(cents % 100 AS VARCHAR), 2, '0') AS exponent_down,
                (cents // 100) || '.' || lpad(CAST(cents % 100 AS VARCHAR), 2, '0') || '0' AS kept_scale,
-               '' AS blank
+               '' AS blank, CAST(l_extendedprice * 1e6 AS VARCHAR) AS from_double
         FROM (SELECT *, CAST(round(l_extendedprice * 100) AS BIGINT) AS cents FROM lineitem)"""
     sql["std_timestamp"] = """
         SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS from_timestamp,
@@ -94,7 +94,8 @@ def statements() -> dict[str, str]:
         """
         SELECT invoice_no, customer_id, invoice_ts, stock_code,
                CASE WHEN CAST(invoice_no AS BIGINT) % 19 = 0 THEN NULL ELSE product_name END AS product_name,
-               CASE WHEN CAST(invoice_no AS BIGINT) % 13 = 0 THEN NULL ELSE item_quantity END AS item_quantity,
+               CASE WHEN CAST(invoice_no AS BIGINT) % 13 > 0 AND CAST(invoice_no AS BIGINT) % 11 > 0 THEN item_quantity END
+                   AS item_quantity,
                CAST(item_amount AS DOUBLE) AS item_amount, 'REAL' AS data_origin,
                CAST(NULL AS VARCHAR) AS source_segment_code, 1.0::DOUBLE AS generation_confidence,
                CAST(NULL AS VARCHAR) AS generation_batch_id
@@ -259,7 +260,8 @@ def statements() -> dict[str, str]:
     sql["positive_transactions"] = items_sql(
         """
         SELECT invoice_no, customer_id, stock_code, item_quantity, CAST(item_amount AS DOUBLE) AS item_amount
-        FROM items WHERE CAST(invoice_no AS BIGINT) % 13 <> 0 AND CAST(invoice_no AS BIGINT) % 17 <> 0"""
+        FROM items
+        WHERE CAST(invoice_no AS BIGINT) % 13 > 0 AND CAST(invoice_no AS BIGINT) % 11 > 0 AND CAST(invoice_no AS BIGINT) % 17 > 0"""
     )
     sql["kpi_overview"] = items_sql(
         """

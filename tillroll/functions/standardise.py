@@ -73,10 +73,17 @@ def _write_out(text: Column) -> Column:
     return F.transform(F.array(part), move)[0]
 
 
-def norm_decimal(value: Column, on_error: str = "raise") -> Column:
-    """Blank to '', numbers to plain notation; other text fails the job, or gives null with 'null'."""
+def norm_decimal(value: Column, on_error: str = "raise", data_type: T.DataType | None = None) -> Column:
+    """Blank to '', numbers to plain notation; other text fails the job, or gives null with 'null'.
+
+    Floating numbers get their shortest digits; whole ones below 1e16 end in '.0', larger ones do not.
+    """
     if on_error not in ("raise", "null"):
         raise ValueError("on_error must be 'raise' or 'null'")
+    if isinstance(data_type, _FLOATING):
+        shortest = F.regexp_replace(value.cast("string"), r"\.0(E|$)", "$1")
+        plain = norm_decimal(shortest, on_error)
+        return F.when((value == F.rint(value)) & (F.abs(value) < 1e16), F.concat(plain, F.lit(".0"))).otherwise(plain)
     text = F.coalesce(strip(value.cast("string")), F.lit(""))
     bad = (
         F.lit(None).cast("string")

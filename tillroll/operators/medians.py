@@ -9,16 +9,18 @@ from pyspark.sql import functions as F
 _FINE_BITS = 18
 
 
-def exact_median(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
-    """Median of a whole-number column per group, as double.
+def exact_median(df: DataFrame, keys: list[str], value: str, name: str, per_unit: int | None = None) -> DataFrame:
+    """Median of a column per group, as double.
 
     The built-in median keeps all distinct values of a group in one task. Here a group is first counted
     per coarse bucket; only the one or two buckets that hold the middle are then counted per value. So
-    no task sees more than the buckets of a group, or the 2^18 values of a bucket.
+    no task sees more than the buckets of a group, or the values of a bucket: 2^18 of a whole-number column,
+    those within 1 / `per_unit` of a floating one.
     """
     c = F.col
     counts = df.filter(c(value).isNotNull()).groupBy(*keys, c(value).alias("_value")).agg(F.count("*").alias("_count"))
-    counts = counts.withColumn("_bucket", F.shiftright("_value", _FINE_BITS))
+    bucket = F.shiftright("_value", _FINE_BITS) if per_unit is None else F.floor(c("_value") * per_unit)
+    counts = counts.withColumn("_bucket", bucket)
     buckets = counts.groupBy(*keys, "_bucket").agg(F.sum("_count").alias("_rows"))
     group = Window.partitionBy(*keys)
     upto = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)

@@ -12,18 +12,15 @@ from tillroll.operators.medians import exact_median
 from tillroll.operators.warehouse import merchandise
 from tillroll.sources.stage import materialise
 
-# Unit prices are compared in millionths, amounts in ten-thousandths.
-_PRICE_UNITS = 1_000_000.0
+# Basket amounts are compared in ten-thousandths.
 _AMOUNT_UNITS = 10_000.0
 
 
 def profiles(items: DataFrame) -> DataFrame:
     """Per product: most frequent name, median price and quantity, baskets and sales; priced products only."""
     c = F.col
-    amount = (c("item_amount") * 10_000).cast("bigint")
-    # Amount over quantity in millionths, rounded half up in whole numbers.
-    price = F.expr("(2 * _amount * 100 + item_quantity) DIV (2 * item_quantity)")
-    goods = merchandise(items).withColumn("_amount", amount).withColumn("_price", price)
+    price = c("item_amount").cast("double") / c("item_quantity").cast("double")
+    goods = merchandise(items).withColumn("_price", price)
     totals = goods.groupBy("stock_code").agg(
         F.count_distinct("invoice_no").alias("basket_count"), F.sum("item_amount").alias("sales_amount")
     )
@@ -36,9 +33,10 @@ def profiles(items: DataFrame) -> DataFrame:
     # Both medians come from one pass over (product, measure, value) rows.
     measures = F.array(
         F.struct(F.lit("price").alias("measure"), c("_price").alias("value")),
-        F.struct(F.lit("quantity").alias("measure"), c("item_quantity").cast("bigint").alias("value")),
+        F.struct(F.lit("quantity").alias("measure"), c("item_quantity").cast("double").alias("value")),
     )
-    medians = exact_median(goods.select("stock_code", F.inline(measures)), ["stock_code", "measure"], "value", "median")
+    values = goods.select("stock_code", F.inline(measures))
+    medians = exact_median(values, ["stock_code", "measure"], "value", "median", per_unit=100)
     medians = medians.groupBy("stock_code").agg(
         F.max(F.when(c("measure") == "price", c("median"))).alias("median_price"),
         F.max(F.when(c("measure") == "quantity", c("median"))).alias("median_quantity"),
@@ -47,7 +45,7 @@ def profiles(items: DataFrame) -> DataFrame:
     return joined.select(
         "stock_code",
         F.coalesce("product_name", F.lit(UNNAMED_IN_PROFILES)).alias("product_name"),
-        (c("median_price") / _PRICE_UNITS).alias("median_unit_price"),
+        c("median_price").alias("median_unit_price"),
         F.greatest(F.lit(1.0), F.least(F.lit(72.0), c("median_quantity"))).alias("median_quantity"),
         "basket_count",
         "sales_amount",

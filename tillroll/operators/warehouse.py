@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.functions.numbers import whole
 from tillroll.functions import quality as q
 from tillroll.schemas import FACT
 
@@ -46,11 +47,14 @@ def merchandise(df: DataFrame) -> DataFrame:
 
 
 def positive_rows(items: DataFrame) -> DataFrame:
-    """Items with all keys and with quantity and amount above zero; unreadable numbers count as absent."""
+    """Items with all keys and with quantity and amount above zero.
+
+    Unreadable numbers and quantities that are not whole count as absent: pieces are counted, not measured.
+    """
     typed = items.withColumns(
         {
             "invoice_ts": F.col("invoice_ts").try_cast("timestamp_ntz"),
-            "item_quantity": F.col("item_quantity").try_cast("decimal(38,10)").try_cast("bigint"),
+            "item_quantity": whole(F.col("item_quantity")),
             "item_amount": F.col("item_amount").try_cast("decimal(20,4)"),
         }
     )

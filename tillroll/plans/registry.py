@@ -95,6 +95,7 @@ def std_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
         std.norm_decimal(F.concat("cents", F.lit("e-2"))).alias("exponent_down"),
         std.norm_decimal(F.concat("cents", F.lit("0e-3"))).alias("kept_scale"),
         std.norm_decimal(F.lit(" ")).alias("blank"),
+        std.norm_decimal(F.col("l_extendedprice") * 1e6, data_type=T.DoubleType()).alias("from_double"),
     )
 
 
@@ -133,6 +134,14 @@ query("source_profile")(lambda spark, sf_dir: audit.source_profile(sample.raw_li
 query("top_countries")(lambda spark, sf_dir: audit.top_countries(sample.raw_lines(spark, sf_dir, faults=True)))
 
 
+def _broken_quantity(number: Column) -> Column:
+    """Quantity as text, unreadable on some lines and with half a piece on others."""
+    text = F.col("item_quantity").cast("string")
+    return F.when(number % 13 == 0, "n/a").when(number % 11 == 0, F.concat(text, F.lit(".5"))).otherwise(
+        F.concat(text, F.lit(".0"))
+    )
+
+
 @query("load_basket_items")
 def load_basket_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = F.col("invoice_no").cast("bigint")
@@ -143,7 +152,7 @@ def load_basket_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("invoice_ts").cast("string").alias("invoice_ts"),
         "stock_code",
         F.when(number % 19 == 0, "").otherwise(F.col("product_name")).alias("product_name"),
-        F.when(number % 13 == 0, "n/a").otherwise(F.col("item_quantity").cast("string")).alias("item_quantity"),
+        _broken_quantity(number).alias("item_quantity"),
         F.when(number % 17 == 0, "").otherwise(F.col("item_amount").cast("string")).alias("item_amount"),
         *[
             F.lit(None).cast("string").alias(name)
@@ -203,7 +212,7 @@ def positive_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = F.col("invoice_no").cast("bigint")
     items = sample.basket_items(spark, sf_dir).withColumns(
         {
-            "item_quantity": F.when(number % 13 == 0, "n/a").otherwise(F.col("item_quantity").cast("string")),
+            "item_quantity": _broken_quantity(number),
             "item_amount": F.when(number % 17 == 0, -F.col("item_amount")).otherwise(F.col("item_amount")),
         }
     )
@@ -463,7 +472,11 @@ def _rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
     return df.withColumns({name: round_ratio(F.col(name), digits) for name in names})
 
 
-_on_stored_items("product_profiles", lambda items: profiles.profiles(warehouse.positive_rows(items)), product="part")
+_on_stored_items(
+    "product_profiles",
+    lambda items: _rounded(profiles.profiles(warehouse.positive_rows(items)), 9, "median_unit_price"),
+    product="part",
+)
 
 
 @query("cooccurrence_pairs")

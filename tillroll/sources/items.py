@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.fixed_values import ORIGIN_REAL
+from tillroll.functions.numbers import whole
 from tillroll.schemas import BASKET_ITEM_COLUMNS, SEGMENTS
 
 # Fixed value: how the delimited files write a null.
@@ -21,8 +22,8 @@ def _present(name: str) -> Column:
 def type_basket_items(texts: DataFrame) -> DataFrame:
     """Typed basket items from eleven text columns.
 
-    Numbers that cannot be read become null; origin and confidence get their defaults; rows without
-    invoice, customer, time, product or amount are left out.
+    Numbers that cannot be read become null, and so do quantities that are not whole; origin and confidence
+    get their defaults; rows without invoice, customer, time, product or amount are left out.
     """
     typed = texts.select(
         _present("invoice_no").alias("invoice_no"),
@@ -30,7 +31,7 @@ def type_basket_items(texts: DataFrame) -> DataFrame:
         F.col("invoice_ts").try_cast("timestamp_ntz").alias("invoice_ts"),
         _present("stock_code").alias("stock_code"),
         _present("product_name").alias("product_name"),
-        F.col("item_quantity").try_cast("decimal(38,10)").try_cast("bigint").alias("item_quantity"),
+        whole(F.col("item_quantity")).alias("item_quantity"),
         F.col("item_amount").try_cast("decimal(20,4)").alias("item_amount"),
         F.coalesce(_present("data_origin"), F.lit(ORIGIN_REAL)).alias("data_origin"),
         _present("source_segment_code").alias("source_segment_code"),

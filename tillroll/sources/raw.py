@@ -9,6 +9,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll.fixed_values import SOURCE_HEADERS
 from tillroll.functions.standardise import norm_decimal, norm_id, norm_text, norm_ts
@@ -31,9 +32,16 @@ def with_batch_id(df: DataFrame, identifier: str) -> DataFrame:
     return df.withColumn("ingest_batch_id", F.lit(identifier))
 
 
-def read_period_csv(spark: SparkSession, path: str) -> DataFrame:
-    """One period's source lines from CSV; all columns stay text."""
-    return spark.read.csv(path, header=True, quote='"', escape='"', inferSchema=False, multiLine=True)
+def read_period_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """One period's source lines from CSV files; all columns stay text.
+
+    The columns are those of one file, which `check_header` judges. Reading fails on a file whose header is another.
+    `multi_line` allows line ends in quoted texts, at the price of one task per file.
+    """
+    options = {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line}
+    found = spark.read.csv(path, inferSchema=False, **options)
+    texts = T.StructType([T.StructField(name, T.StringType()) for name in found.columns])
+    return spark.read.schema(texts).csv(path, enforceSchema=False, **options)
 
 
 def standardise(df: DataFrame, on_error: str = "raise") -> DataFrame:
@@ -45,9 +53,9 @@ def standardise(df: DataFrame, on_error: str = "raise") -> DataFrame:
         norm_id(F.col("Invoice"), kind["Invoice"]).alias("invoice_no"),
         norm_id(F.col("StockCode"), kind["StockCode"]).alias("stock_code"),
         norm_text(F.col("Description")).alias("description"),
-        norm_decimal(F.col("Quantity"), on_error).alias("quantity"),
+        norm_decimal(F.col("Quantity"), on_error, kind["Quantity"]).alias("quantity"),
         norm_ts(F.col("InvoiceDate"), kind["InvoiceDate"]).alias("invoice_ts"),
-        norm_decimal(F.col("Price"), on_error).alias("unit_price"),
+        norm_decimal(F.col("Price"), on_error, kind["Price"]).alias("unit_price"),
         norm_id(F.col("Customer ID"), kind["Customer ID"]).alias("customer_id"),
         norm_text(F.col("Country")).alias("country"),
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillroll.schemas import FACT
 
@@ -19,7 +20,9 @@ def write_fact(df: DataFrame, path: str, fmt: str = "orc") -> None:
 
 
 def read_fact(spark: SparkSession, path: str, fmt: str = "orc") -> DataFrame:
-    return spark.read.schema(FACT).format(fmt).load(path)
+    """Fact table; a blank month, which a folder name cannot hold, is '' again."""
+    fact = spark.read.schema(FACT).format(fmt).load(path)
+    return fact.withColumn("invoice_month", F.coalesce("invoice_month", F.lit("")))
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "orc") -> None:
