@@ -137,6 +137,23 @@ def statements() -> dict[str, str]:
         "brand",
         *snapshots,
     )
+    sql["q_customers_total"] = items_sql(
+        """
+        SELECT (SELECT CAST(max(snapshot_date) AS VARCHAR) FROM final_snapshot) AS snapshot_date, count(*) AS total_count,
+               CAST(ceil(count(*) / 25.0) AS BIGINT) AS total_pages
+        FROM final_snapshot WHERE segment_code = 'LOYAL'""",
+        "brand",
+        *snapshots,
+    )
+    sql["q_customers_after"] = items_sql(
+        """
+        SELECT CAST(snapshot_date AS VARCHAR) AS snapshot_date, customer_id, latest_purchase_ts, recency_days, frequency,
+               CAST(monetary AS DOUBLE) AS monetary, r_score, f_score, m_score, rfm_score, segment_code, segment_name
+        FROM final_snapshot WHERE (-final_snapshot.monetary, customer_id) > (-500000.00, '0')
+        ORDER BY final_snapshot.monetary DESC, customer_id LIMIT 50""",
+        "brand",
+        *snapshots,
+    )
     sql["q_migrations"] = items_sql(
         """
         SELECT * REPLACE (CAST(from_snapshot_date AS VARCHAR) AS from_snapshot_date,

@@ -28,7 +28,7 @@ CFG = AugmentationConfig(
     batch_id="TEST-BATCH",
     customer_buckets=4,
 )
-SEGMENTS = [("C1", "CHAMPIONS"), ("C2", "LOYAL"), ("C3", "LOYAL")]
+SEGMENTS = [("K1", "CHAMPIONS"), ("K2", "LOYAL"), ("K3", "LOYAL")]
 
 
 @pytest.fixture(scope="module")
@@ -140,6 +140,43 @@ def test_augmented_rows_keep_their_origin(spark, scenario_items, segments, tmp_p
     assert read_manifest(spark, folder)["generation_batch_id"] == "TEST-BATCH"
 
 
+def test_too_few_candidates_are_refused(scenario_items, segments):
+    with pytest.raises(ValueError, match="cannot be drawn|not enough"):
+        only_one = scenario_items.filter("stock_code IN ('E', 'D')")
+        generate.generate(only_one, segments, CFG)
+
+
+def test_row_target_holds_with_short_candidate_lists(spark, sf_dir):
+    items = _items(spark, sf_dir)
+    segments = items.select("customer_id", F.lit("LOYAL").alias("segment_code"), F.lit("x").alias("segment_name")).distinct()
+    cfg = replace(CFG, relation_products=2, segment_products=1, max_basket_size=6)
+    lines, _ = generate.generate(items, segments, cfg)
+    assert lines.count() == cfg.target_rows
+
+
+def test_failed_runs_leave_the_last_one_and_no_intermediates(spark, sf_dir, tmp_path, monkeypatch):
+    from pathlib import Path
+
+    from tillroll.session import ensure_checkpoint_dir
+
+    items = _items(spark, sf_dir)
+    outputs = str(tmp_path / "outputs")
+    folder = Path(ensure_checkpoint_dir(spark).removeprefix("file:"))
+    before = set(folder.iterdir())
+    cfg = AnalyticsConfig(basket=BasketConfig(min_confidence=0.05, min_segment_baskets=50))
+    manifest = jobs.run_analytics(items, outputs, cfg)
+    assert set(folder.iterdir()) == before
+
+    def fail(*_):
+        raise RuntimeError("half-way")
+
+    monkeypatch.setattr(jobs.kpi, "kpi_monthly", fail)
+    with pytest.raises(RuntimeError):
+        jobs.run_analytics(items, outputs, cfg)
+    assert read_manifest(spark, outputs)["outputs"] == manifest["outputs"]
+    assert set(folder.iterdir()) == before
+
+
 def test_analytics_job_feeds_the_marts(spark, sf_dir, tmp_path):
     items = _items(spark, sf_dir)
     export_tsv(items, str(tmp_path / "items"))
@@ -157,5 +194,5 @@ def test_analytics_job_feeds_the_marts(spark, sf_dir, tmp_path):
     assert counts["association_rule"] == manifest["association_rule_count"] > 0
     assert set(read_marts(spark, marts)) == set(counts) == set(MARTS) - {"synthetic_transaction"}
     path = tmp_path / "segments.csv"
-    spark.read.parquet(f"{outputs}/rfm_customers").coalesce(1).write.csv(str(path), header=True)
+    spark.read.parquet(manifest["outputs"]["rfm_customers"]).coalesce(1).write.csv(str(path), header=True)
     assert read_segments(spark, str(path)).count() == manifest["rfm_customer_count"]

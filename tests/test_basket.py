@@ -65,13 +65,12 @@ def to_items(make_items, content):
 def test_frequent_pair_becomes_a_rule(basket_items):
     found = basket.mine(basket_items, cfg=CFG).collect()
     rules = {(r.antecedent_codes, r.consequent_codes): r for r in found}
-    assert ("A", "B") in rules and all(len(r.rule_id) == 16 for r in found)
-    rule = rules["A", "B"]
-    assert (rule.coverage_basket_count, rule.antecedent_names) == (4, "Product A")
-    expected = hashlib.sha1(b"ALL:A>B").hexdigest()[:16]
-    assert rule.rule_id == expected == "4173288525a12b0d"
-    # B always comes with A, so the conviction is infinite and left empty.
-    assert rules["B", "A"].confidence == 1.0 and rules["B", "A"].conviction is None
+    rule = rules["P", "Q"]
+    assert (rule.coverage_basket_count, rule.scope_basket_count, rule.antecedent_names) == (5, 8, "Item P")
+    assert rule.confidence == pytest.approx(5 / 7, abs=1e-6)
+    assert rule.rule_id == hashlib.sha1(b"ALL:P>Q").hexdigest()[:16]
+    # Q always comes with P, so the conviction is infinite and left empty.
+    assert rules["Q", "P"].confidence == 1.0 and rules["Q", "P"].conviction is None
 
 
 def test_metrics_follow_their_definitions(basket_items):

@@ -18,19 +18,19 @@ D = dt.datetime
 
 
 def test_scores_at_one_snapshot(value_items):
-    scored = rfm.scored(rfm.rfm_base(value_items, "2021-05-01"))
+    scored = rfm.scored(rfm.rfm_base(value_items, "2022-07-15"))
     found = {r.customer_id: r for r in scored.collect()}
-    assert len(found) == 10
+    assert len(found) == 12
     assert {r.r_score for r in found.values()} == {r.f_score for r in found.values()} == {1, 2, 3, 4, 5}
-    assert found["C10"].m_score == 5
-    assert found["C10"].frequency == 10 and float(found["C10"].monetary) == 1000.0
+    assert (found["K12"].m_score, found["K01"].m_score) == (5, 1)
+    assert found["K12"].frequency == 12 and float(found["K12"].monetary) == 720.0
     assert all(r.segment_name for r in found.values())
 
 
 def test_summary_reconciles(value_items):
-    scored = rfm.scored(rfm.rfm_base(value_items, "2021-05-01"))
+    scored = rfm.scored(rfm.rfm_base(value_items, "2022-07-15"))
     summary = rfm.summarize(scored).collect()
-    assert sum(r.customer_count for r in summary) == 10
+    assert sum(r.customer_count for r in summary) == 12
     assert sum(r.customer_share for r in summary) == pytest.approx(1.0, abs=1e-5)
     assert sum(r.monetary_share for r in summary) == pytest.approx(1.0, abs=1e-5)
     assert sum(r.total_monetary for r in summary) == sum(r.monetary for r in scored.collect())

@@ -117,6 +117,22 @@ def test_rules_of_all_customers_answer_next(spark, marts):
     assert {r.source_type for r in ask(spark, marts, "A")} == {"SEGMENT_RULE"}
 
 
+def test_totals_survive_a_page_past_the_end(marts):
+    total = serving.customers_total(marts, size=2).first()
+    seen, after = [], None
+    while page := serving.customers_after(marts, after, size=2).collect():
+        seen += [(r.monetary, r.customer_id) for r in page]
+        after = seen[-1]
+    first_pages = [serving.customers(marts, page=p, size=2).collect() for p in range(1, total.total_pages + 1)]
+    assert seen == [(r.monetary, r.customer_id) for page in first_pages for r in page]
+    assert len(seen) == total.total_count
+    assert serving.customers(marts, page=99, size=2).count() == 0
+    nobody = serving.customers_total(marts, segment="NOBODY").first()
+    assert (nobody.total_count, nobody.total_pages) == (0, 0) and nobody.snapshot_date is not None
+    with pytest.raises(ValueError, match="size"):
+        serving.customers_total(marts, size=0)
+
+
 def test_rules_that_end_in_the_product_take_no_place(spark, marts):
     # The best rule naming A has it as its consequent; the next one still answers a request for one rule.
     found = recommend.match_rules(marts["association_rule"], recommend.request(spark, "A", max_results=1), "S").collect()

@@ -11,22 +11,25 @@ from tests.conftest import ITEM_SCHEMA, rows
 from tillroll.fixed_values import SOURCE_HEADERS
 from tillroll.functions import standardise as std
 from tillroll.operators import audit, warehouse
+from tillroll.plans import jobs
 from tillroll.schemas import FACT, RAW
 from tillroll.sources import items as item_files
 from tillroll.sources import raw as raw_files
 from tillroll.sources import tables
+from tillroll.sources.marts import read_manifest
 
 SOURCE = "Invoice string, StockCode string, Description string, Quantity int, InvoiceDate timestamp_ntz, Price double, `Customer ID` double, Country string"
 
 
 @pytest.fixture(scope="module")
 def periods(spark):
-    first = [
-        ("489434", "85048", "  15CM   CHRISTMAS GLASS BALL ", 12, dt.datetime(2009, 12, 1, 7, 45), 6.95, 13085.0, "United Kingdom"),
-        ("C489449", "22087", "PAPER BUNTING", -1, dt.datetime(2009, 12, 1, 10, 33), 2.95, None, "Australia"),
+    """One cancelled line without a customer among three, in two seasons."""
+    spring = [
+        ("700001", "11042", "  Blue   enamel  MUG ", 4, dt.datetime(2015, 3, 2, 9, 10), 3.2, 4411.0, "Norway"),
+        ("C700002", "30517", "Linen towel", -3, dt.datetime(2015, 3, 4, 16, 5), 7.75, None, "Chile"),
     ]
-    second = [("536365", "85123A", None, 6, dt.datetime(2010, 12, 1, 8, 26), 2.55, 17850.0, "United Kingdom")]
-    return {"Year 2009-2010": spark.createDataFrame(first, SOURCE), "Year 2010-2011": spark.createDataFrame(second, SOURCE)}
+    autumn = [("810003", "44871B", None, 9, dt.datetime(2015, 9, 21, 12, 0), 0.85, 9127.0, "Norway")]
+    return {"Spring 2015": spark.createDataFrame(spring, SOURCE), "Autumn 2015": spark.createDataFrame(autumn, SOURCE)}
 
 
 def apply(spark, expression, value, kind):
@@ -37,12 +40,12 @@ def apply(spark, expression, value, kind):
     ("value", "kind", "expected"),
     [
         (None, T.StringType(), ""),
-        ("\t 85123A ", T.StringType(), "85123A"),
-        (13085.0, T.DoubleType(), "13085"),
+        ("\t 44871B ", T.StringType(), "44871B"),
+        (4411.0, T.DoubleType(), "4411"),
         (1e20, T.DoubleType(), "100000000000000000000"),
         (12345678.5, T.DoubleType(), "12345678.5"),
         (0.25, T.DoubleType(), "0.25"),
-        (489434, T.LongType(), "489434"),
+        (700001, T.LongType(), "700001"),
         (True, T.BooleanType(), "True"),
     ],
 )
@@ -120,15 +123,15 @@ def test_ingest_round_trip_and_audit(spark, periods, tmp_path):
     back = raw_files.read_raw(spark, str(tmp_path / "raw"))
     assert rows(back) == rows(raw)
     line = {r.invoice_no: r for r in back.collect()}
-    assert line["489434"].customer_id == "13085"
-    assert line["489434"].description == "15CM CHRISTMAS GLASS BALL"
-    assert line["C489449"].customer_id == "" and line["536365"].description == ""
-    assert line["536365"].invoice_ts == "2010-12-01 08:26:00"
+    assert line["700001"].customer_id == "4411"
+    assert line["700001"].description == "Blue enamel MUG"
+    assert line["C700002"].customer_id == "" and line["810003"].description == ""
+    assert line["810003"].invoice_ts == "2015-09-21 12:00:00"
     counts = {r.source_year: r for r in audit.ingest_audit(back).collect()}
     total = counts["ALL"]
     assert (total.row_count, total.missing_customer_rows, total.cancelled_rows) == (3, 1, 1)
     assert (total.non_positive_quantity_rows, total.non_positive_price_rows) == (1, 0)
-    assert counts["Year 2009-2010"].row_count == 2 and len(counts) == 3
+    assert counts["Spring 2015"].row_count == 2 and len(counts) == 3
 
 
 def test_period_csv_is_read_as_text(spark, tmp_path):
@@ -140,6 +143,54 @@ def test_period_csv_is_read_as_text(spark, tmp_path):
     assert raw_files.ingest({"P": df}, "B").first().customer_id == "007"
 
 
+@pytest.mark.parametrize(
+    ("value", "expected"),
+    [(1e7, "10000000.0"), (12345678.0, "12345678.0"), (12345678.9, "12345678.9"), (1e15, "1000000000000000.0"), (1e16, "10000000000000000"), (0.0001, "0.0001"), (-2.5e-5, "-0.000025"), (3.0, "3.0"), (None, "")],
+)
+def test_doubles_keep_their_shortest_digits(spark, value, expected):
+    assert apply(spark, lambda c: std.norm_decimal(c, data_type=T.DoubleType()), value, T.DoubleType()) == expected
+
+
+def test_every_file_of_a_period_needs_the_same_header(spark, tmp_path):
+    folder = tmp_path / "period"
+    folder.mkdir()
+    (folder / "a.csv").write_text(",".join(SOURCE_HEADERS) + "\nA,1,x,2,2010-01-01 00:00:00,1.50,007,UK\n")
+    swapped = [SOURCE_HEADERS[1], SOURCE_HEADERS[0], *SOURCE_HEADERS[2:]]
+    (folder / "b.csv").write_text(",".join(swapped) + "\n2,B,x,2,2010-01-01 00:00:00,1.50,007,UK\n")
+    with pytest.raises(Exception, match="header"):
+        raw_files.ingest({"P": raw_files.read_period_csv(spark, str(folder))}, "B").collect()
+    with pytest.raises(Exception, match="header|unexpected"):
+        jobs.run_ingest(spark, {"P": str(folder)}, str(tmp_path / "landing"))
+
+
+def test_ingest_job_writes_landing_files_and_audit(spark, tmp_path):
+    paths = {}
+    for name, rows_ in {"P1": ["C1,A,x,-2,2010-01-01 00:00:00,1.50,,UK"], "P2": ["2,B,y,2,2010-01-01 00:00:00,0,7,UK", "3,B,y,2,2010-01-01 00:00:00,1,7,UK"]}.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "lines.csv").write_text("\n".join([",".join(SOURCE_HEADERS), *rows_]) + "\n")
+        paths[name] = str(tmp_path / name)
+    folder = str(tmp_path / "landing")
+    manifest = jobs.run_ingest(spark, paths, folder, "B1")
+    assert read_manifest(spark, folder) == manifest
+    counts = {r["source_year"]: r["row_count"] for r in manifest["audit"]}
+    assert counts == {"ALL": 3, "P1": 1, "P2": 2}
+    landed = raw_files.read_raw(spark, manifest["raw"])
+    assert {r.ingest_batch_id for r in landed.collect()} == {"B1"} and landed.count() == 3
+
+
+def test_fractional_quantities_are_no_piece_counts(spark, make_items):
+    items = make_items([("1", "C", dt.datetime(2020, 1, 1), "A", "a", 1, 1)]).drop("item_quantity")
+    given = items.join(spark.createDataFrame([("0.5",), ("2.7",), ("2.0",), ("3",), ("1e2",)], "item_quantity string"), how="cross")
+    assert sorted(r.item_quantity for r in warehouse.positive_rows(given).collect()) == [2, 3, 100]
+
+
+def test_blank_month_survives_the_fact_table(spark, tmp_path):
+    values = ("p", "1", "A", "d", "1", "", "2.5", "C1", "UK", "b")
+    fact = warehouse.clean(spark.createDataFrame([values], RAW))
+    tables.write_fact(fact, str(tmp_path / "fact"), "parquet")
+    assert tables.read_fact(spark, str(tmp_path / "fact"), "parquet").first().invoice_month == fact.first().invoice_month == ""
+
+
 def test_basket_file_defaults_and_dropped_rows(spark, tmp_path):
     path = tmp_path / "items.tsv"
     path.write_text(

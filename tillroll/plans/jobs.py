@@ -1,20 +1,26 @@
-"""The four jobs: warehouse, analytics, mart load and scenario augmentation."""
+"""The jobs: ingest, warehouse, analytics, mart load and scenario augmentation.
+
+Ingest, analytics and augmentation write into a folder of their own run and the run's manifest last, so readers never
+meet the outputs of a run that failed. Intermediate tables are deleted when a job ends.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import asdict
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.config import AnalyticsConfig, AugmentationConfig
-from tillroll.operators import basket, checks, generate, kpi, rfm
+from tillroll.operators import audit, basket, checks, generate, kpi, rfm
 from tillroll.operators import warehouse as wh
 from tillroll.operators.warehouse import positive_rows
 from tillroll.schemas import MARTS
 from tillroll.sources.items import export_tsv
-from tillroll.sources.marts import publish_marts, publish_outputs, read_manifest, store_output, to_contract, write_manifest
-from tillroll.sources.stage import materialise
+from tillroll.sources.marts import new_run, publish_marts, read_manifest, store_output, to_contract, write_manifest
+from tillroll.sources.raw import batch_id, ingest, read_period_csv, read_raw, write_raw
+from tillroll.sources.stage import scratch
 from tillroll.sources.tables import read_fact, read_table, write_fact, write_table
 
 # Warehouse tables after the fact table, in build order.
@@ -44,6 +50,26 @@ _OUTPUT_MARTS = {
 }
 
 
+def run_ingest(
+    spark: SparkSession, periods: Mapping[str, str], folder: str, identifier: str | None = None, multi_line: bool = False
+) -> dict:
+    """Landing files from the CSV files of each period, with their audit.
+
+    Every file's header is checked. The manifest has the batch, the landing path and the audit per period and in all.
+    """
+    run, identifier = new_run(folder), identifier or batch_id()
+    sources = {tag: read_period_csv(spark, path, multi_line) for tag, path in periods.items()}
+    write_raw(ingest(sources, identifier), f"{run}/raw")
+    counted = store_output(audit.ingest_audit(read_raw(spark, f"{run}/raw")), run, "audit")
+    manifest = {
+        "ingest_batch_id": identifier,
+        "raw": f"{run}/raw",
+        "audit": [row.asDict() for row in counted.orderBy("source_year").collect()],
+    }
+    write_manifest(spark, run, manifest)
+    return manifest
+
+
 def build_warehouse(raw: DataFrame, folder: str, fmt: str = "orc") -> dict[str, DataFrame]:
     """Write the fact table, then all dimensions, aggregates and summaries from it; return them read back.
 
@@ -70,10 +96,13 @@ def export_warehouse(frames: dict[str, DataFrame], folder: str) -> None:
 
 
 def run_analytics(items: DataFrame, folder: str, cfg: AnalyticsConfig | None = None) -> dict:
-    """All analytic outputs of basket items, each written once and read back where it feeds another."""
-    cfg = cfg or AnalyticsConfig()
+    """All analytic outputs of stored basket items, each written once and read back where it feeds another."""
+    with scratch(items.sparkSession):
+        return _run_analytics(items, new_run(folder), cfg or AnalyticsConfig())
+
+
+def _run_analytics(items: DataFrame, folder: str, cfg: AnalyticsConfig) -> dict:
     spark = items.sparkSession
-    items = materialise(items, "items")
     out: dict[str, DataFrame] = {}
 
     def store(name: str, df: DataFrame) -> DataFrame:
@@ -106,9 +135,9 @@ def run_analytics(items: DataFrame, folder: str, cfg: AnalyticsConfig | None = N
 
 
 def load_marts(spark: SparkSession, outputs: str, marts: str, synthetic: str | None = None) -> dict[str, int]:
-    """Publish the marts from a finished analytics folder and, if given, generated lines."""
-    read_manifest(spark, outputs)
-    frames = {mart: spark.read.parquet(f"{outputs}/{name}") for name, mart in _OUTPUT_MARTS.items()}
+    """Publish the marts from the newest finished analytics run and, if given, generated lines."""
+    paths = read_manifest(spark, outputs)["outputs"]
+    frames = {mart: spark.read.parquet(paths[name]) for name, mart in _OUTPUT_MARTS.items()}
     if synthetic:
         frames["synthetic_transaction"] = spark.read.schema(MARTS["synthetic_transaction"].schema).parquet(synthetic)
     return publish_marts(frames, marts)
@@ -122,7 +151,11 @@ def run_augmentation(
     `real_row_count` counts the rows as given, `clean_row_count` those that were positive and complete;
     `augmented_row_count` is the latter plus the generated lines.
     """
-    cfg = cfg or AugmentationConfig()
+    with scratch(items.sparkSession):
+        return _run_augmentation(items, segments, new_run(folder), cfg or AugmentationConfig())
+
+
+def _run_augmentation(items: DataFrame, segments: DataFrame, folder: str, cfg: AugmentationConfig) -> dict:
     spark = items.sparkSession
     lines, context = generate.generate(items, segments, cfg)
     lines = store_output(to_contract(lines, MARTS["synthetic_transaction"]), folder, "synthetic_transactions")
@@ -148,7 +181,7 @@ __all__ = [
     "build_warehouse",
     "export_warehouse",
     "load_marts",
-    "publish_outputs",
     "run_analytics",
     "run_augmentation",
+    "run_ingest",
 ]

@@ -399,6 +399,8 @@ _on_marts("q_top_products", "top_product", kpi.top_products, serving.top_product
 _on_snapshot_marts("q_latest_snapshot", serving.latest_snapshot)
 _on_snapshot_marts("q_segments", serving.segments)
 _on_snapshot_marts("q_customers_page", lambda marts: serving.customers(marts, segment="LOYAL", page=2, size=25))
+_on_snapshot_marts("q_customers_total", lambda marts: serving.customers_total(marts, segment="LOYAL", size=25))
+_on_snapshot_marts("q_customers_after", lambda marts: serving.customers_after(marts, ("500000.00", "0"), size=50))
 _on_snapshot_marts("q_migrations", serving.migrations)
 _on_marts(
     "q_rules",

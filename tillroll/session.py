@@ -17,7 +17,7 @@ SETTINGS = {
 
 
 def build_session(app_name: str = "tillroll", master: str | None = None, **overrides: str) -> SparkSession:
-    """Session with the settings above; `overrides` use `_` for `.` or full names through `**{}`."""
+    """Session with the settings above; `overrides` are full names of settings, through `**{}`."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)

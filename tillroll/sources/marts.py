@@ -92,29 +92,23 @@ def read_marts(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {name: spark.read.schema(MARTS[name].schema).parquet(f"{base}/{name}") for name in manifest["counts"]}
 
 
-def store_output(df: DataFrame, folder: str, name: str) -> DataFrame:
+def new_run(folder: str) -> str:
+    """Folder of a new run under `folder`; run names sort by start."""
+    return f"{folder}/runs/{datetime.now(UTC).strftime('%Y%m%dT%H%M%S%f')}-{uuid4().hex[:8]}"
+
+
+def store_output(df: DataFrame, run: str, name: str) -> DataFrame:
     """Write one output as Parquet and return it read back, so later steps start from the stored rows."""
-    df.write.mode("overwrite").parquet(f"{folder}/{name}")
-    return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
+    df.write.parquet(f"{run}/{name}")
+    return df.sparkSession.read.schema(df.schema).parquet(f"{run}/{name}")
 
 
-def write_manifest(spark: SparkSession, folder: str, manifest: Mapping[str, object]) -> None:
-    """Write the manifest; a folder without one is an unfinished run."""
-    text = json.dumps(manifest, ensure_ascii=False, default=str)
-    spark.range(1).select(F.lit(text).alias("value")).coalesce(1).write.mode("overwrite").text(f"{folder}/manifest")
+def write_manifest(spark: SparkSession, run: str, manifest: Mapping[str, object]) -> None:
+    """Write a run's manifest, last of all: a run without one is unfinished and nobody reads it."""
+    folder, _, name = run.rpartition("/runs/")
+    _write_text(spark, json.dumps(manifest, ensure_ascii=False, default=str), f"{folder}/manifests/run={name}")
 
 
 def read_manifest(spark: SparkSession, folder: str) -> dict:
-    return json.loads(spark.read.text(f"{folder}/manifest").first()["value"])
-
-
-def publish_outputs(frames: Mapping[str, DataFrame], folder: str, extra: Mapping[str, object] | None = None) -> dict:
-    """Write every output and, last, a manifest with row counts, paths and `extra`."""
-    stored = {name: store_output(df, folder, name) for name, df in frames.items()}
-    manifest = {
-        **(extra or {}),
-        "counts": {name: df.count() for name, df in stored.items()},
-        "outputs": {name: f"{folder}/{name}" for name in stored},
-    }
-    write_manifest(next(iter(frames.values())).sparkSession, folder, manifest)
-    return manifest
+    """Manifest of the newest finished run."""
+    return json.loads(spark.read.text(f"{folder}/manifests").orderBy(F.desc("run")).first()["value"])
