@@ -52,7 +52,7 @@ class ChunkEncoder:
     the tokenizer as a whole. `keep` bounds the kept chunks and the kept pieces.
     """
 
-    def __init__(self, path: str, keep: int = 1_000_000):
+    def __init__(self, path: str, keep: int = 300_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
