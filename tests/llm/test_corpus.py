@@ -73,6 +73,23 @@ def test_mixed_rows_keep_columns_and_order(make_docs):
     assert mixing.mixed_rows(make_docs([])).count() == 0
 
 
+def test_every_prefix_of_a_mix_follows_the_given_weights():
+    hot = {f"s{i}": math.sqrt(1 + i) for i in range(20)} | {"hot": 0.5 * math.sqrt(210)}
+    for weights, n in ((hot, 20_000), ({f"s{i}": 0.5 / 99 for i in range(99)} | {"half": 0.5}, 5_000), ({"a": 1e-4, "b": 1.0}, 30_000)):
+        names, whole = list(weights), mixing._integers(list(weights.values()))
+        had, total = [0] * len(names), sum(weights.values())
+        for t, (s, block) in zip(range(1, n + 1), mixing.slots(whole, [n + 1] * len(names)), strict=False):
+            assert block == had[s]
+            had[s] += 1
+            assert all(abs(h - w * t / total) < 1 + 1e-6 for h, w in zip(had, weights.values(), strict=True))
+
+
+def test_mix_of_more_sources_than_any_period(make_docs):
+    rows = [(i, f"t{i}", "en", f"s{i % 1100}") for i in range(1300)]
+    placed = mixing.interleave(make_docs(rows), block=1).collect()
+    assert sorted(r.slot for r in placed) == list(range(1300)) and len({r.source for r in placed}) == 1100
+
+
 def test_mix_refuses_unknown_sources(make_docs):
     with pytest.raises(ValueError, match="without a weight"):
         mixing.interleave(make_docs([(1, "t", "en", "x")]), weights={"y": 1})

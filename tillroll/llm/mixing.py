@@ -3,81 +3,107 @@
 from __future__ import annotations
 
 import heapq
-from collections.abc import Mapping
-from functools import reduce
+from collections.abc import Iterator, Mapping
+from fractions import Fraction
+from functools import partial, reduce
+from itertools import islice
+from math import lcm
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tillroll.llm.common import materialise
+from tillroll.llm.common import materialise, ship
+
+_ROWS = 50_000  # of the schedule, in a batch
+
+
+def _checked(weights: Mapping[str | None, float]) -> None:
+    if any(not 0 < w < float("inf") for w in weights.values()):
+        raise ValueError("every source needs a finite weight above zero")
 
 
 def whole_weights(weights: Mapping[str | None, float], parts: int) -> dict[str | None, int]:
-    """Shares of `parts` for each source, one at least, by largest remainders."""
-    if any(not w > 0 for w in weights.values()):
-        raise ValueError("every source needs a weight above zero")
+    """Shares of `parts` for each source by largest remainders, but one at least."""
+    _checked(weights)
     if len(weights) > parts:
-        raise ValueError(f"{len(weights)} sources need as many parts of the period at least, not {parts}")
-    total, free = sum(weights.values()), parts - len(weights)
-    exact = {s: w / total * free for s, w in weights.items()}
-    shares = {s: 1 + int(x) for s, x in exact.items()}
-    left = parts - sum(shares.values())
-    for s in sorted(exact, key=lambda s: (int(exact[s]) - exact[s], s is not None, s))[:left]:
-        shares[s] += 1
+        raise ValueError(f"{len(weights)} sources need as many parts at least, not {parts}")
+    total = sum(weights.values())
+    exact = {s: w / total * parts for s, w in weights.items()}
+    shares = {s: max(1, int(x)) for s, x in exact.items()}
+    while (left := parts - sum(shares.values())) > 0:
+        for s in sorted(exact, key=lambda s: (shares[s] - exact[s], s is not None, s))[:left]:
+            shares[s] += 1
+    while sum(shares.values()) > parts:  # taken where most is over
+        shares[max((s for s in shares if shares[s] > 1), key=lambda s: shares[s] - exact[s])] -= 1
     return shares
 
 
-def period(shares: Mapping[str | None, int]) -> dict[str | None, list[int]]:
-    """Slots of each source in one period of sum(shares) slots.
+def _integers(weights: list[float]) -> list[int]:
+    """Whole numbers in exactly the given proportions."""
+    exact = [Fraction(w) for w in weights]
+    scale = lcm(*(x.denominator for x in exact))
+    return [int(x * scale) for x in exact]
+
+
+def slots(weights: list[int], blocks: list[int]) -> Iterator[tuple[int, int]]:
+    """(source, block) of each slot, for sources 0, 1, … with whole `weights` and `blocks` above zero.
 
-    Block j (from 0) of a source with weight w = share / period is released at floor(j / w) and due at
-    ceil((j + 1) / w). Each slot goes to the released block that is due first, ties to the source that sorts first. As the
-    weights add up to one, no block misses its deadline: before and after every slot, each source has had less than
-    one block more or less than its weight times the slots so far. After a period every source stands at zero again.
+    Sources with blocks left take part in a phase, with weights w scaled to add up to one. Block j (from 0) of a source in
+    the phase is released at its slot floor(j / w) and due at ceil((j + 1) / w); each slot goes to the released block that is
+    due first. As the weights add up to one, no block misses its deadline: before and after every slot of the phase, each
+    source has had less than one block more or less than its weight times the slots so far. The phase ends when a source
+    has no block left.
+
+    Weights are used as they are, in whole-number arithmetic. Sources that have had no block in a phase are due in order
+    of their weights, whatever the phase, so a new phase costs nothing for them; a slot costs a few heap operations.
     """
-    slots = sum(shares.values())
+    order = sorted(range(len(weights)), key=lambda s: (-weights[s], s))
+    had = [0] * len(weights)
+    total = sum(weights)
+    while order:
+        taken: dict[int, int] = {}  # blocks of sources that have had any in this phase
+        waiting: list[tuple[int, int]] = []  # (release, source)
+        ready: list[tuple[int, int]] = []  # (deadline, source)
+        fresh, slot, ended = 0, 0, None
+        while ended is None:
+            while waiting and waiting[0][0] <= slot:
+                s = heapq.heappop(waiting)[1]
+                heapq.heappush(ready, (-((taken[s] + 1) * total // -weights[s]), s))
+            if fresh < len(order) and (not ready or (-(total // -weights[order[fresh]]), order[fresh]) < ready[0]):
+                s, fresh = order[fresh], fresh + 1
+            else:
+                s = heapq.heappop(ready)[1]
+            yield s, had[s]
+            had[s] += 1
+            slot += 1
+            j = taken[s] = taken.get(s, 0) + 1
+            heapq.heappush(waiting, (j * total // weights[s], s))
+            if had[s] == blocks[s]:
+                ended = s
+        order.remove(ended)
+        total -= weights[ended]
+
+
+def period(shares: Mapping[str | None, int]) -> dict[str | None, list[int]]:
+    """Slots of each source in one period of sum(shares) slots; after it every source stands at zero again."""
     names = sorted(shares, key=lambda s: (s is not None, s))
     out: dict[str | None, list[int]] = {s: [] for s in names}
-    waiting = [(0, n) for n in range(len(names))]  # (release, source)
-    ready: list[tuple[int, int]] = []  # (deadline, source)
-    for slot in range(slots):
-        while waiting and waiting[0][0] <= slot:
-            _, n = heapq.heappop(waiting)
-            share, j = shares[names[n]], len(out[names[n]])
-            heapq.heappush(ready, (-((j + 1) * slots // -share), n))
-        _, n = heapq.heappop(ready)
+    forever = [shares[s] + 1 for s in names]
+    for slot, (n, _) in enumerate(islice(slots([shares[s] for s in names], forever), sum(shares.values()))):
         out[names[n]].append(slot)
-        share, j = shares[names[n]], len(out[names[n]])
-        if j < share:
-            heapq.heappush(waiting, (j * slots // share, n))
     return out
 
 
-def schedule(weights: Mapping[str | None, float], blocks: Mapping[str | None, int], parts: int) -> tuple[list[tuple], list[tuple]]:
-    """Phases (phase, source, first, end, share, start) and places (phase, source, nth, slot).
-
-    All sources with blocks left take part in a phase, with their weights scaled to add up to one; it ends when one
-    of them has no block left. Within a phase, block b of a source stands at
-    start + (b - first) div share · period + slot of ((b - first) mod share).
-    """
-    left, phases, places, start = {s: n for s, n in blocks.items() if n > 0}, [], [], 0
-    done = dict.fromkeys(left, 0)
-    phase = 0
-    while left:
-        shares = whole_weights({s: weights[s] for s in left}, parts)
-        table = period(shares)
-        size = sum(shares.values())
-        slot_of = lambda s, b: b // shares[s] * size + table[s][b % shares[s]]  # noqa: E731, B023
-        length = min(slot_of(s, n - 1) for s, n in left.items()) + 1
-        for s, n in left.items():
-            rounds, rest = divmod(length, size)
-            taken = rounds * shares[s] + sum(x < rest for x in table[s])
-            phases.append((phase, s, done[s], done[s] + taken, shares[s], start))
-            places += [(phase, s, i, x) for i, x in enumerate(table[s])]
-            done[s] += taken
-            left[s] = n - taken
-        left = {s: n for s, n in left.items() if n}
-        start, phase = start + length, phase + 1
-    return phases, places
+def _schedule(stream: Iterator[pa.RecordBatch], names: list, weights: list[int], blocks: list[int]) -> Iterator[pa.RecordBatch]:
+    for batch in stream:
+        if not batch.num_rows:
+            continue
+        rows, at = slots(weights, blocks), 0
+        while some := list(islice(rows, _ROWS)):
+            sources, numbers = zip(*some, strict=True)
+            of = pa.array([names[s] for s in sources], pa.string())
+            yield pa.record_batch([of, pa.array(numbers, pa.int64()), pa.array(range(at, at + len(some)), pa.int64())], names=["of", "its_block", "slot"])
+            at += len(some)
 
 
 def _numbered(rows: DataFrame, source: Column, order: list[str], per_bucket: int) -> DataFrame:
@@ -101,7 +127,7 @@ def interleave(
     docs: DataFrame,
     weights: Mapping[str | None, float] | None = None,
     block: int = 16,
-    parts: int = 1000,
+    parts: int | None = None,
     temperature: float = 0.5,
     per_bucket: int = 50_000,
 ) -> DataFrame:
@@ -110,8 +136,9 @@ def interleave(
     Blocks of `block` rows of one source are interleaved to the target `weights`; before and after each slot every
     source is less than one block from its weight. Sorting by (slot, place) gives the mix. Without `weights`, a source
     counts by its number of rows to the power `temperature`. When a source ends, the others go on with their weights
-    scaled up, so every row is in the mix once and none is repeated. The table of the schedule has at most
-    sources × sources × parts rows and sources are at most `parts`; more is an error, and so is a source without a weight.
+    scaled up, so every row is in the mix once and none is repeated. Any number of sources will do; one without a weight is
+    an error. The schedule, a row for each block, is written by one task that keeps a few numbers for each source. `parts`
+    has no effect: weights are not rounded.
 
     Null is a source like others. Null ids and repeated rows are rows each; rows equal in id, source and text share
     their places in either order. Other columns are ignored; an empty table gives no rows.
@@ -120,27 +147,25 @@ def interleave(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.xxhash64(F.col("text").cast("string")).alias("text_hash")
     )
     numbered = _numbered(rows, F.col("source"), ["doc_id", "source", "text_hash"], per_bucket).drop("source_key")
-    return _placed(numbered, weights, block, parts, temperature)
+    return _placed(numbered, weights, block, temperature)
 
 
-def _placed(numbered: DataFrame, weights: Mapping | None, block: int, parts: int, temperature: float) -> DataFrame:
+def _placed(numbered: DataFrame, weights: Mapping | None, block: int, temperature: float) -> DataFrame:
     spark = numbered.sparkSession
+    ship(spark)
     numbered = materialise(numbered, "numbered")
-    sizes = numbered.groupBy("source").agg(F.count("*").alias("n")).limit(parts + 1).collect()
-    if len(sizes) > parts:
-        raise ValueError(f"over {parts} sources: raise parts")
-    weights = {r["source"]: r["n"] ** temperature for r in sizes} if weights is None else dict(weights)
-    if missing := [r["source"] for r in sizes if r["source"] not in weights]:
+    sizes = numbered.groupBy("source").agg(F.count("*").alias("n")).collect()
+    sizes = {r["source"]: r["n"] for r in sorted(sizes, key=lambda r: (r["source"] is not None, r["source"]))}
+    weights = {s: n**temperature for s, n in sizes.items()} if weights is None else dict(weights)
+    if missing := [s for s in sizes if s not in weights]:
         raise ValueError(f"sources without a weight: {missing}")
-    phases, places = schedule(weights, {r["source"]: -(-r["n"] // block) for r in sizes}, parts)
-    table = spark.createDataFrame(phases, "phase int, of string, first long, end long, share long, start long")
-    slots = spark.createDataFrame(places, "in_phase int, in_source string, turn long, slot_in_period long")
+    _checked(weights)
+    blocks = [-(-n // block) for n in sizes.values()]
+    plan = partial(_schedule, names=list(sizes), weights=_integers([weights[s] for s in sizes]), blocks=blocks)
+    table = materialise(spark.range(0, 1, 1, 1).mapInArrow(plan, "of string, its_block long, slot long"), "schedule")
     rows = numbered.withColumns({"block": F.floor(F.col("nth") / block), "place": (F.col("nth") % block).cast("int")})
-    met = rows.join(F.broadcast(table), rows["source"].eqNullSafe(table["of"]) & F.col("block").between(F.col("first"), F.col("end") - 1))
-    met = met.withColumns({"_turn": (F.col("block") - F.col("first")) % F.col("share"), "_round": F.floor((F.col("block") - F.col("first")) / F.col("share"))})
-    met = met.join(F.broadcast(slots), (met["phase"] == slots["in_phase"]) & met["of"].eqNullSafe(slots["in_source"]) & (met["_turn"] == slots["turn"]))
-    slot = F.col("start") + F.col("_round") * parts + F.col("slot_in_period")
-    return met.select("doc_id", "source", "text_hash", "block", slot.alias("slot"), "place")
+    met = rows.join(table, rows["source"].eqNullSafe(table["of"]) & (rows["block"] == table["its_block"]))
+    return met.select("doc_id", "source", "text_hash", "block", "slot", "place")
 
 
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
