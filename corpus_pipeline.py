@@ -1,12 +1,12 @@
 """From documents to packed sequences: STAGES in order, `run` for all of them.
 
 A stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept; `run` writes each result and reads it
-again. All stages but the last return the columns of documents:
+again. All stages but the last return the columns of documents; mix adds the key that the mix sorts by:
 
 quality  rows whose text is too surprising for their language go
 near     of each group of near copies, one row stays
 repeats  passages of 50 words are cut out wherever they come again; texts that end up empty go
-mix      rows stand in the order of the mix, every row once
+mix      every row once, with its position in the mix; files keep no order across each other, so the next stage sorts
 pack     pieces of the documents in sequences of 1024 tokens, packed in that order
 """
 
@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tillroll.llm import mixing, near, packing, quality, suffix
 from tillroll.llm.common import materialise, table, vocabulary
 
+POSITION = "mix_position"
+
 
 def rate_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.kept(docs, table(spark, sf_dir, "labels"))
@@ -31,11 +33,11 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mixed_rows(docs, block=16, temperature=0.5)
+    return mixing.mixed_rows(docs, position=POSITION, block=16, temperature=0.5)
 
 
 def pack_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, vocabulary("byte_bpe_50k.json"), size=1024)
+    return packing.pack(docs.orderBy(POSITION), vocabulary("byte_bpe_50k.json"), size=1024)
 
 
 STAGES = [

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillroll.llm.common import materialise, ship
 
+BLOCK = 16
 _ROWS = 50_000  # of the schedule, in a batch
 
 
@@ -126,7 +127,7 @@ def _numbered(rows: DataFrame, source: Column, order: list[str], per_bucket: int
 def interleave(
     docs: DataFrame,
     weights: Mapping[str | None, float] | None = None,
-    block: int = 16,
+    block: int = BLOCK,
     parts: int | None = None,
     temperature: float = 0.5,
     per_bucket: int = 50_000,
@@ -168,12 +169,19 @@ def _placed(numbered: DataFrame, weights: Mapping | None, block: int, temperatur
     return met.select("doc_id", "source", "text_hash", "block", "slot", "place")
 
 
-def mixed_rows(docs: DataFrame, **options) -> DataFrame:
-    """Rows of `docs`, with all columns, in the order of the mix: files and rows of a table written from it follow it."""
+def mixed_rows(docs: DataFrame, position: str | None = None, **options) -> DataFrame:
+    """Rows of `docs`, with all columns, in the order of the mix.
+
+    That order is lost when a table of several files is read again, as Spark deals files out by size. With `position`, rows
+    come in any order instead and carry their rank key under that name: unique, and sorting by it gives the mix.
+    """
+    if position in docs.columns:
+        raise ValueError(f"the documents have a column {position} already")
+    block = options.get("block", BLOCK)
     same = ["doc_id", "source", "text_hash"]
     number = lambda order: F.row_number().over(Window.partitionBy(*same).orderBy(*order))
-    placed = interleave(docs, **options)
-    placed = placed.withColumn("copy", number(["slot", "place"])).select(*[F.col(c).alias(f"its_{c}") for c in (*same, "copy")], "slot", "place")
+    placed = interleave(docs, **options).withColumn("at", F.col("slot") * block + F.col("place"))
+    placed = placed.withColumn("copy", number(["at"])).select(*[F.col(c).alias(f"its_{c}") for c in (*same, "copy")], "at")
     keys = {
         "doc_id": F.col("row.doc_id").cast("long"),
         "source": F.col("row.source").cast("string"),
@@ -181,4 +189,5 @@ def mixed_rows(docs: DataFrame, **options) -> DataFrame:
     }
     keyed = docs.select(F.struct("*").alias("row")).withColumns(keys).withColumn("copy", number([F.lit(0)]))
     met = [F.col(c).eqNullSafe(F.col(f"its_{c}")) for c in (*same, "copy")]
-    return keyed.join(placed, reduce(Column.__and__, met)).orderBy("slot", "place").select("row.*")
+    rows = keyed.join(placed, reduce(Column.__and__, met))
+    return rows.orderBy("at").select("row.*") if position is None else rows.select("row.*", F.col("at").alias(position))
