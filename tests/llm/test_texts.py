@@ -164,3 +164,15 @@ def test_licences(spark, make_docs, words):
 
 def test_licences_of_no_documents(make_docs):
     assert licences.scan(make_docs([])).count() == 0
+
+
+def test_unlisted_licences_in_the_smallest_ids_come_out(make_docs, words):
+    unlisted = [
+        "Licensed to the public under the Zorp terms, see the file for the permission.",
+        "You have permission to redistribute and use this under the Quux Public License.",
+    ]
+    rows = [(i, f"{words(30)}.\n{unlisted[i % 2]}") for i in range(40)]
+    rows += [(i, words(30) + ".\n" + words(20)) for i in range(40, 600)]
+    rows += [(i, f"{words(30)}.\n{unlisted[i % 2]}") for i in range(600, 640)]
+    got = {r.doc_id: r.family for r in licences.scan(make_docs(rows)).collect()}
+    assert got == dict.fromkeys([*range(40), *range(600, 640)], "unknown")

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import CountVectorizerModel, NGram
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from tillroll.llm.common import materialise
 
@@ -47,6 +47,11 @@ TEMPLATES = {
 FAMILIES = sorted(TEMPLATES)
 NONE = float(len(FAMILIES))
 _WINDOW, _STEP = 64, 40
+# Words that ordinary text may have too, but few statements lack: a piece with one is no example of ordinary text.
+_TELLING = sorted({
+    *("licence", "licences", "licenced", "license", "licenses", "licensed", "licensee", "licensing", "copyright", "copyrighted", "copyleft", "spdx"),
+    *("redistribute", "redistributed", "redistribution", "permission", "permissions", "permitted", "reserved", "warranty"),
+})
 _LEAST_ANY = 0.02  # a piece is a licence statement with this probability at least
 
 
@@ -104,20 +109,24 @@ def _chances() -> tuple[Column, Column]:
     return chances, F.aggregate(chances, F.lit(0.0), lambda a, b: a + b)
 
 
-def fit(docs: DataFrame, sample_docs: int = 400, sample_pieces: int = 6000) -> tuple[LogisticRegressionModel, float]:
-    """The classifier, and the probability of any licence that ordinary text stays under.
+def _plain(words: Column, grams: Column) -> Column:
+    """Whether a window counts as ordinary text: unlike every template, and without a word that statements turn on."""
+    return (_any_likeness(grams) < 0.5) & ~F.arrays_overlap(words, F.array(*map(F.lit, _TELLING)))
 
-    Families are learned from their templates, ordinary text from at most `sample_pieces` pieces of the `sample_docs`
-    documents with the smallest ids, those like a template left out; ordinary text has four times the weight of all
-    templates. Every second piece is held out, and the limit is the probability that one in a thousand of those exceeds.
+
+def fit(docs: DataFrame, sample_docs: int = 400, sample_pieces: int = 6000) -> LogisticRegressionModel:
+    """The classifier.
+
+    Families are learned from their templates, ordinary text from at most `sample_pieces` different windows of
+    `sample_docs` documents that a hash picks from the whole table; windows like a template or with a telling word, which may be
+    statements of a licence without template, are left out. Ordinary text has four times the weight of all templates.
     """
     spark = docs.sparkSession
-    some = docs.select("doc_id", "text").orderBy("doc_id", "text").limit(sample_docs)
-    place = ["doc_id", "piece", "word"]
-    windows = materialise(_windows(pieces(some)).orderBy(F.xxhash64(*place), *place).limit(sample_pieces), "windows")
-    plain = _featured(windows.repartition(8)).filter(_any_likeness(F.col("grams")) < 0.5)
-    plain = materialise(plain.select("features", (F.xxhash64("word", "piece", "doc_id") % 2 == 0).alias("held_out")), "ordinary")
-    ordinary = plain.filter("NOT held_out")
+    some = docs.select("doc_id", "text").orderBy(F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")), "doc_id", "text").limit(sample_docs)
+    windows = _windows(pieces(some)).select("words").distinct().orderBy(F.xxhash64("words"), "words").limit(sample_pieces)
+    windows = materialise(windows, "windows").withColumn("own", F.col("words"))
+    plain = _featured(windows.repartition(8)).filter(_plain(F.col("own"), F.col("grams")))
+    ordinary = materialise(plain.select("features"), "ordinary")
     weight = 4.0 * sum(map(len, TEMPLATES.values())) / max(1, ordinary.count())
     known = _featured(_windows(_templates(spark))).select("features", "label", F.lit(1.0).alias("weight"))
     rows = known.unionByName(ordinary.select("features", F.lit(NONE).alias("label"), F.lit(weight).alias("weight")))
@@ -125,26 +134,45 @@ def fit(docs: DataFrame, sample_docs: int = 400, sample_pieces: int = 6000) -> t
     classes = LogisticRegression(family="multinomial", weightCol="weight", regParam=1e-4, maxIter=60).fit(rows)
     # One expression per row instead of a chain of three.
     classes.setRawPredictionCol("").setPredictionCol("")
-    usual = classes.transform(plain.filter("held_out")).agg(F.percentile_approx(_chances()[1], 0.999, 100_000)).first()[0]
-    return classes, max(_LEAST_ANY, usual or 0.0)
+    return classes
+
+
+def _limit(scored: DataFrame, below: int, quantile: float = 0.999) -> float:
+    """The probability that a piece has to pass.
+
+    One in a thousand windows of ordinary text is above it, of all in the table: the `below` that have less than `_LEAST_ANY`
+    and those in `scored`. It never exceeds one half, so what is more likely a statement than not always comes out,
+    however common it is.
+    """
+    usual = scored.filter("plain")
+    above = usual.count()
+    rank = quantile * (below + above) - below
+    if rank <= 0:
+        return _LEAST_ANY
+    return min(0.5, usual.agg(F.percentile_approx("any", rank / above, 100_000)).first()[0])
 
 
 def scan(docs: DataFrame, least_likeness: float = 0.6, **options) -> DataFrame:
     """(doc_id, piece, word, family, probability, likeness) for each piece of text that reads like a licence statement.
 
-    A piece counts as one where the probability of all families together is above that of held-out ordinary text.
+    A piece counts as one where the probability of all families together is above that of ordinary text (see `_limit`).
     `family` is the most probable where it is more likely than not and a template of the family has at least
     `least_likeness` of its words and pairs in the piece; else it is "unknown".
 
     Null or empty text has no pieces. Null ids and repeated rows are scanned each. Other columns are ignored; an
     empty table gives no rows.
     """
-    classes, limit = fit(docs, **options)
+    classes = fit(docs, **options)
     chances, any_licence = _chances()
-    scored = classes.transform(_featured(_windows(pieces(docs)))).withColumn("chances", chances).filter(any_licence > limit)
+    windows = _windows(pieces(docs)).withColumn("own", F.col("words"))
+    scored = classes.transform(_featured(windows)).select("doc_id", "piece", "word", "own", "grams", chances.alias("chances"), any_licence.alias("any"))
+    low = Observation()
+    scored = scored.observe(low, F.count(F.when(F.col("any") <= _LEAST_ANY, 1)).alias("n")).filter(F.col("any") > _LEAST_ANY)
     guess = F.element_at(F.array(*map(F.lit, FAMILIES)), F.array_position("chances", F.array_max("chances")).cast("int"))
-    rows = scored.select("doc_id", "piece", "word", "grams", guess.alias("guess"), F.array_max("chances").alias("probability"))
+    rows = scored.select("doc_id", "piece", "word", "own", "grams", "any", guess.alias("guess"), F.array_max("chances").alias("probability"))
     alike = reduce(lambda so_far, f: so_far.when(F.col("guess") == f, likeness(F.col("grams"), f)), FAMILIES, F)
-    rows = rows.withColumn("likeness", alike)
+    rows = rows.withColumns({"likeness": alike, "plain": _plain(F.col("own"), F.col("grams"))}).drop("own", "grams")
+    rows = materialise(rows, "scored")
+    rows = rows.filter(F.col("any") > _limit(rows, low.get["n"]))
     family = F.when((F.col("probability") > 0.5) & (F.col("likeness") >= least_likeness), F.col("guess")).otherwise("unknown")
     return rows.select("doc_id", F.col("piece").cast("int").alias("piece"), "word", family.alias("family"), "probability", "likeness")
