@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import textwrap
 import zlib
 
 import numpy as np
@@ -166,6 +167,30 @@ def test_licences_of_no_documents(make_docs):
     assert licences.scan(make_docs([])).count() == 0
 
 
+@pytest.mark.parametrize("width", [40, 72])
+def test_licences_in_wrapped_comments(make_docs, words, width):
+    """Each template, wrapped, as a block of comments or plain lines after other lines without an end of sentence."""
+    templates = [(f, t) for f in licences.FAMILIES for t in licences.TEMPLATES[f]]
+    gnu = (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+        "published by the Free Software Foundation, either version 3 of the License, or any later version."
+    )
+    templates.append(("gpl", gnu))
+    rows, wanted = [(1000 + i, words(30) + ".\n" + words(20)) for i in range(60)], {}
+    for i, (family, text) in enumerate(templates):
+        lines = textwrap.wrap(text, width)
+        shapes = [lines, [f"# {x}" for x in lines], ["/*", *(f" * {x}" for x in lines), " */"], [f"// {x}\r" for x in lines]]
+        for j, shape in enumerate(shapes):
+            blank = ["", "#", "", "//\r"][j]
+            rows.append((10 * i + j, "\n".join([words(12), blank, *shape, blank, words(12)])))
+            wanted[str(10 * i + j)] = family
+    got = {}
+    for r in licences.scan(make_docs(rows)).collect():
+        got.setdefault(str(r.doc_id), set()).add(r.family)
+    assert {d: f for d, f in wanted.items() if f not in got.get(d, set())} == {}
+    assert set(got) == set(wanted) and "unknown" not in set.union(*got.values())
+
+
 def test_unlisted_licences_in_the_smallest_ids_come_out(make_docs, words):
     unlisted = [
         "Licensed to the public under the Zorp terms, see the file for the permission.",

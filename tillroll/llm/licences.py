@@ -53,11 +53,18 @@ _TELLING = sorted({
     *("redistribute", "redistributed", "redistribution", "permission", "permissions", "permitted", "reserved", "warranty"),
 })
 _LEAST_ANY = 0.02  # a piece is a licence statement with this probability at least
+# What comment blocks put before and after the text of a line.
+_MARKS = r"(?m)^[ \t]*(?:<!--+|/\*+!?|//+!?|\*+/?|#+|;+|--+|%+|>+|\"{3}|'{3})?[ \t]*|[ \t]*(?:\*+/|--+>|[*#]+)?[ \t]*$"
 
 
 def pieces(docs: DataFrame) -> DataFrame:
-    """(doc_id, piece, text): lines of each document, cut after sentences; numbered from 0, blank ones left out."""
-    parts = F.split(F.col("text").cast("string"), r"\n+|(?<=[.!?]) +(?=\p{Lu})")
+    """(doc_id, piece, text): sentences of each document's paragraphs; numbered from 0, those without letters left out.
+
+    Paragraphs end at blank lines, also at lines of a comment's mark alone; the lines of a paragraph are one text, so a
+    statement may be wrapped anywhere. A sentence ends at a mark and white space before a capital letter.
+    """
+    text = F.regexp_replace(F.regexp_replace(F.col("text").cast("string"), r"\r\n?", "\n"), _MARKS, "")
+    parts = F.split(text, r"\n{2,}|(?<=[.!?])\s+(?=\p{Lu})")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(parts).alias("piece", "text"))
     return rows.filter(F.col("text").rlike(r"\p{L}"))
 
