@@ -1,4 +1,4 @@
-"""Similarity join of documents on word shingles through a MinHash LSH forest, with exact verification."""
+"""Similarity join of documents on word shingles through MinHash banding, with exact verification."""
 
 from __future__ import annotations
 
@@ -17,7 +17,7 @@ _SOLID = 1 << 22  # cells of an incidence tile
 
 
 def prefix_length(longest: int, trees: int, similarity: float, recall: float) -> int:
-    """Signature values that two documents must share in a tree.
+    """Signature values that two documents must share in a tree, a band of the signature. It depends on the parameters alone.
 
     Starts from the longest prefix and shortens it until a pair at the threshold meets in one tree at least with
     probability `recall`; more similar pairs meet with a higher one.
