@@ -1,4 +1,7 @@
-"""Repeated passages through a sparse suffix array: suffixes at minimiser positions, sorted and compared with neighbours."""
+"""Repeated passages through a sparse suffix array: suffixes at minimiser positions.
+
+Hashes stand in for texts: suffixes are sorted by the hash of their first words, and matches extended as hashed windows.
+"""
 
 from __future__ import annotations
 
