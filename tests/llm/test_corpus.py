@@ -307,3 +307,21 @@ def test_quality_without_labels_keeps_all(spark, make_docs):
     docs = make_docs([(1, "text"), (1, "text"), (None, "x"), (2, None)])
     assert sorted(map(str, quality.kept(docs, none).collect())) == sorted(map(str, docs.collect()))
     assert quality.kept(make_docs([]), none).count() == 0
+
+
+def test_small_and_unlabelled_languages_are_judged_around_their_own_centre(spark, sf_dir):
+    root = sf_dir.replace("sf0.001", "sf0.01")
+    docs, labels = (spark.read.parquet(f"{root}/{t}.parquet") for t in ("documents", "labels"))
+    greek = F.translate("text", "abcdefghijklmnopqrstuvwxyz", "αβγδεζηθικλμνξοπρστυφχψωϊϋ")
+    moved = docs.filter("lang = 'en'").withColumns({"doc_id": F.col("doc_id") + 1_000_000, "lang": F.lit("el"), "text": greek})
+    both = docs.unionByName(moved)
+    judged = quality.judge(both, labels).join(labels.select(F.col("doc_id").alias("id"), "quality"), F.col("id") == F.col("doc_id") % 1_000_000).collect()
+    kept = {}
+    for r in judged:
+        if r.quality is not None:
+            kept.setdefault((r.lang, r.quality), []).append(r.keep)
+    for (lang, good), keeps in kept.items():
+        share = sum(keeps) / len(keeps)
+        assert share >= (0.9 if lang == "el" else 0.98) if good else share <= (0.5 if lang == "el" else 0.06), (lang, good, share)
+    assert {r.doc_id for r in judged if r.doc_id in (413, 971, 499, 730) and r.keep} == set()
+    print({k: (round(sum(v) / len(v), 3), len(v)) for k, v in sorted(kept.items())})

@@ -160,37 +160,50 @@ def scores(docs: DataFrame, labels: DataFrame, chars: int = 2_000_000) -> DataFr
     return scored.join(known, "doc_id", "left").withColumn("trusted", F.coalesce("trusted", F.lit(False)))
 
 
+def _drawn(own: Column, to: Column, docs: Column, weight: float) -> Column:
+    """`own`, null without any of its `docs`, drawn towards `to` with the weight of so many documents."""
+    return (docs * F.coalesce(own, F.lit(0.0)) + weight * to) / (docs + weight)
+
+
 def judge(
-    docs: DataFrame, labels: DataFrame, prior_chars: int = 100, quantile: float = 0.99, spread: float = 3.0, least_trusted: int = 50
+    docs: DataFrame, labels: DataFrame, prior_chars: int = 100, quantile: float = 0.99, prior_docs: int = 50, centre_docs: int = 10
 ) -> DataFrame:
     """(doc_id, lang, row_key, perplexity, threshold, keep) for each row of `docs`, perplexity per character.
 
     A document's rate of surprise is drawn towards its language's mean with the weight of `prior_chars` characters,
-    so that a few rare letters in a short text do not decide. The threshold is the language's median among trusted documents
-    plus `spread` times the distance from there to the `quantile`; languages with under `least_trusted` trusted documents (null
-    is a language too) take the figures of all trusted documents.
+    so that a few rare letters in a short text do not decide. Each language (null is one too) has a centre and a spread of
+    its own: the median of its trusted documents, drawn with the weight of `centre_docs` to that of all its documents, and
+    the distance from its lower quartile to its median. The threshold is the centre plus the `quantile` of the trusted
+    documents' distance from it, drawn with the weight of `prior_docs` documents to the quantile that all languages' trusted
+    documents have together in units of their spreads. So a language without trusted documents is judged around its own
+    centre, by its own spread, and no number of documents changes the rule.
 
     Null text counts as empty; its perplexity is that of a text that ends at once, drawn to the mean. Without any
     trusted text every document is kept, with null threshold. Rows with equal id, language and text get one decision
     each, the same. Null ids are judged, but never trusted. Other columns are ignored; an empty table gives no rows.
     """
     scored = materialise(scores(docs, labels), "scores")
-    good = scored.filter("trusted")
-    mean = (F.sum("nats") / F.sum("n")).alias("mean")
-    per_lang = good.groupBy("lang").agg(mean, F.count("*").alias("docs")).filter(F.col("docs") >= least_trusted).drop("docs")
-    overall = good.agg(mean).first()[0]
-    means = per_lang.select(F.col("lang").alias("of"), "mean")
+    trusted = F.count(F.when(F.col("trusted"), 1))
+    known = lambda c: F.when(F.col("trusted"), F.col(c))
+    at = lambda c, q: F.percentile_approx(c, q, 10_000)
+    mean = _drawn(F.sum(known("nats")) / F.sum(known("n")), at(F.col("nats") / F.col("n"), 0.5), trusted, centre_docs)
+    means = scored.groupBy(F.col("lang").alias("of")).agg(mean.alias("mean"))
     own = scored.join(means, scored["lang"].eqNullSafe(means["of"]), "left").drop("of")
-    own = own.withColumn("mean", F.coalesce("mean", F.lit(overall).cast("double")))
-    rate = (F.col("nats") + prior_chars * F.col("mean")) / (F.col("n") + prior_chars)
-    rated = own.withColumn("rate", F.coalesce(rate, F.col("nats") / F.col("n")))
-    middle, high = (F.percentile_approx("rate", q, 10_000) for q in (0.5, quantile))
-    limit = (middle + spread * (high - middle)).alias("limit")
-    limits = rated.filter("trusted").groupBy("lang").agg(limit, F.count("*").alias("docs")).filter(F.col("docs") >= least_trusted)
-    limits = limits.select(F.col("lang").alias("of"), "limit")
-    fallback = rated.filter("trusted").agg(limit).first()[0]
+    rated = own.withColumn("rate", (F.col("nats") + prior_chars * F.col("mean")) / (F.col("n") + prior_chars))
+    middle = at("rate", 0.5)
+    figures = rated.groupBy(F.col("lang").alias("of")).agg(
+        _drawn(at(known("rate"), 0.5), middle, trusted, centre_docs).alias("centre"),
+        (middle - at("rate", 0.25)).alias("spread"),
+        at(known("rate"), quantile).alias("high"),
+        trusted.alias("docs"),
+    )
+    figures = materialise(figures, "figures")
+    good = rated.filter("trusted").join(figures, rated["lang"].eqNullSafe(figures["of"]))
+    pooled = good.filter("spread > 0").agg(at((F.col("rate") - F.col("centre")) / F.col("spread"), quantile)).first()[0]
+    any_trusted = figures.agg(F.sum("docs")).first()[0]
+    beyond = _drawn(F.col("high") - F.col("centre"), F.lit(pooled or 0.0) * F.col("spread"), F.col("docs"), prior_docs)
+    limits = figures.select("of", F.when(F.lit(bool(any_trusted)), F.col("centre") + beyond).alias("limit"))
     out = rated.join(limits, rated["lang"].eqNullSafe(limits["of"]), "left")
-    out = out.withColumn("limit", F.coalesce("limit", F.lit(fallback).cast("double")))
     return out.select(
         "doc_id",
         "lang",
