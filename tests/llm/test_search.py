@@ -103,6 +103,23 @@ def test_empty_tables_and_few_candidates(spark):
 def test_blocks_hold_every_vector_once(spark):
     table = vectors.usable(embeddings(spark, odd_rows()))
     blocks = vectors.blocks(table.repartition(3), 32).collect()
-    ids = np.concatenate([vectors.opened(b.asDict())[0] for b in blocks])
+    ids = np.concatenate([vectors.opened(b.asDict()).ids for b in blocks])
     assert sorted(ids) == sorted(r.vec_id for r in table.collect())
     assert table.filter(F.col("vec_id").isNull()).count() == 0
+
+
+@pytest.mark.parametrize(("side", "least"), [(65_536, 64), (65_536, 1), (40, 1)])
+def test_units_let_every_block_meet_every_query_block_once(spark, side, least):
+    """Also when both sides are cut into parts; with one part of queries, candidates are copied once."""
+    table = vectors.usable(embeddings(spark, odd_rows()))
+    held, asked = vectors.blocks(table.repartition(3), 16), vectors.blocks(table.repartition(2), 9)
+    held, asked = (spark.createDataFrame(t.collect(), t.schema) for t in (held, asked))
+    rows = vectors.units(held, asked, side, least).drop("data").collect()
+    units: dict[tuple, tuple[list, list]] = {}
+    for r in rows:
+        units.setdefault((r.dim, r.family, r.c_part, r.q_part), ([], []))[r.kind].append(r.block)
+    met = sorted((dim, c, q) for (dim, *_), (asked_here, held_here) in units.items() for c in held_here for q in asked_here)
+    by_dim = lambda t: {(r.dim, r.block) for r in t.collect()}
+    assert met == sorted((d, c, q) for d, c in by_dim(held) for e, q in by_dim(asked) if d == e)
+    if side > 1000:
+        assert sum(r.kind == 1 for r in rows) == held.count()

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillroll.llm import chat, licences, mixing, near, packing, quality, suffix, tokens, topk, vptree
+from tillroll.llm import chat, licences, mixing, near, negatives, packing, projections, quality, spelling, suffix, tokens, topk, vptree
 from tillroll.llm.common import table, vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,3 +124,107 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence statements in all documents, with their family."""
     return licences.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_projection_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors of one label at a cosine of 0.98 or more: links, components and who stays."""
+    return projections.near_vectors(table(spark, sf_dir, "embeddings"), similarity=0.98)
+
+
+SQL["op11_projection_near_vectors"] = """
+WITH RECURSIVE whole AS (
+  SELECT vec_id, label, [CAST(x AS DOUBLE) FOR x IN embedding] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0 AND len([1 FOR x IN embedding IF x <> 0]) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM whole a JOIN whole b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.98
+), reach(a, b) AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), roots AS (SELECT a, least(a, min(b)) AS root FROM reach GROUP BY a),
+degrees AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(root, vec_id) AS component_id, coalesce(root, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN degrees d ON d.a = vec_id LEFT JOIN roots r ON r.a = vec_id
+"""
+
+
+@query
+def op12_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with the more frequent word one edit away, and the end of that chain."""
+    return spelling.spelling_groups(table(spark, sf_dir, "documents"))
+
+
+# The statement has no trie: it meets words where they are equal without one letter.
+SQL["op12_spelling_groups"] = r"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM documents
+), by_document AS (
+  SELECT doc_id, run, count(*) AS n FROM runs GROUP BY doc_id, run
+), table_256 AS (
+  SELECT list(v ORDER BY c) AS t FROM (
+    SELECT c, list_reduce([c, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v
+    FROM (SELECT unnest(range(256)) AS c))
+), hashed AS (
+  SELECT run, n, 4294967295 - list_reduce(
+    list_concat([4294967295], flatten([CASE WHEN ord(x) < 128 THEN [ord(x)::BIGINT] ELSE [192 + (ord(x) >> 6), 128 + (ord(x) & 63)] END
+                                       FOR x IN regexp_extract_all(doc_id || ':' || run, '.')])),
+    lambda a, b: xor(a >> 8, t[1 + xor(a & 255, b)])) AS h
+  FROM by_document, table_256
+), spelled AS (
+  SELECT CASE WHEN h % 97 = 0 THEN left(run, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) AS BIGINT) + 2) ELSE run END AS word, n
+  FROM hashed
+), words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM spelled WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), less AS (
+  SELECT word, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)
+), shorter AS (
+  SELECT DISTINCT l.word AS longer, w.word AS shorter FROM less l JOIN words w ON l.rest = w.word
+), near AS (
+  SELECT longer AS word, shorter AS near FROM shorter UNION SELECT shorter, longer FROM shorter
+  UNION SELECT a.word, b.word FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+), chosen AS (
+  SELECT p.word, count(*) AS n_near, first(p.near ORDER BY w.n DESC, encode(p.near)) AS best, max(w.n) AS best_n
+  FROM near p JOIN words w ON w.word = p.near GROUP BY p.word
+), forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 2 * w.n THEN best END AS form, CASE WHEN best_n >= 2 * w.n THEN best_n END AS form_n
+  FROM words w LEFT JOIN chosen c USING (word)
+), steps(word, place) AS (
+  SELECT word, word FROM forms UNION ALL SELECT s.word, f.form FROM steps s JOIN forms f ON f.word = s.place WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.form, s.place AS root, f.n, f.n_near, f.form_n
+FROM forms f JOIN steps s ON s.word = f.word JOIN forms l ON l.word = s.place AND l.form IS NULL
+"""
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each hundredth vector and its five best of the same label: the best of other labels just below them."""
+    rows = table(spark, sf_dir, "embeddings")
+    rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return negatives.hard_negatives(rows, rows.filter("vec_id % 100 = 0"), positives=5, negatives=5, share=80, scale=256)
+
+
+SQL["op13_hard_negatives"] = """
+WITH whole AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+         CAST(list_sum([x[1] * x[2] FOR x IN list_zip(a.v, c.v)]) AS BIGINT) AS score
+  FROM whole a JOIN whole c ON a.vec_id <> c.vec_id AND len(a.v) = len(c.v) WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM (
+  SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+         row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM positives p JOIN scored s USING (anchor_id)
+  WHERE NOT same AND 80 * positive_score <= 100 * s.score AND s.score <= positive_score
+) WHERE rank <= 5
+"""

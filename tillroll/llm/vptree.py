@@ -94,13 +94,28 @@ def in_order(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return total
 
 
+class _Trees:
+    """The nearest found for a unit's queries in the shards offered; each shard's tree is built once and asked in steps."""
+
+    def __init__(self, rows: list[dict], k: int, factor: float, step: int):
+        self.asked, self.k, self.factor, self.step = vectors.opened(*rows), k, factor, step
+        self.lists = vectors.Lists(len(self.asked.ids), k)
+
+    def offer(self, shard: vectors.Block) -> None:
+        tree = Tree(shard.data)
+        for at in range(0, len(self.asked.ids), self.step):
+            ids, queries = self.asked.ids[at : at + self.step], self.asked.data[at : at + self.step]
+            place, row = tree.search(shard.ids, ids, queries, self.k, self.factor)
+            self.lists.offer(at + place, shard.ids[row], in_order(queries[place], shard.data[row]))
+
+
 def nearest(
     table: DataFrame, queries: DataFrame, k: int = 20, factor: float = 1.0, shard: int = 16384, query_block: int = 1024
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): for each query up to k candidates with the largest inner products.
 
     `table` and `queries` have vec_id and embedding. Rows are cut into shards of about `shard` vectors where they lie;
-    each pair of a shard and a block of queries builds the shard's tree and searches it. With `factor` over one,
+    a task builds the tree of each of its shards and asks it for its queries, up to 65,536 of them. With `factor` over one,
     subtrees are skipped earlier: faster, with less than full recall. A query meets every vector of its own
     length but those with its id. Scores are computed again on the original vectors in double precision.
 
@@ -110,17 +125,7 @@ def nearest(
     """
     ship(table.sparkSession)
 
-    def search(row: dict, q_ids: np.ndarray, asked: np.ndarray, k: int):
-        ids, data = vectors.opened(row)
-        place, at = Tree(data).search(ids, q_ids, asked, k, factor)
-        scores = in_order(asked[place], data[at])
-        order = np.lexsort((ids[at], -scores, place))
-        place, at, scores = place[order], at[order], scores[order]
-        first = np.arange(len(place)) - np.searchsorted(place, place) < k
-        return place[first], ids[at[first]], scores[first]
-
     asked = vectors.usable(queries, zero=False).groupBy("vec_id").agg(F.min("vector").alias("vector"))
     shards = materialise(vectors.blocks(vectors.usable(table, zero=False), shard), "shards")
     query_blocks = materialise(vectors.blocks(asked, query_block), "queries")
-    found = vectors.search_pairs(vectors.pairs(shards, query_blocks), search, k, "double")
-    return vectors.best(found, k)
+    return vectors.best_of_units(vectors.units(shards, query_blocks), lambda rows: _Trees(rows, k, factor, query_block), k, "double")
