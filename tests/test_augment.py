@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import statistics
 from collections import Counter
 from dataclasses import replace
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tillroll.config import AnalyticsConfig, AugmentationConfig, BasketConfig
+from tillroll.functions import random
 from tillroll.operators import generate, medians, profiles
 from tillroll.plans import jobs
 from tillroll.plans.registry import _items
@@ -26,7 +28,6 @@ CFG = AugmentationConfig(
     max_basket_size=4,
     seed=42,
     batch_id="TEST-BATCH",
-    customer_buckets=4,
 )
 SEGMENTS = [("K1", "CHAMPIONS"), ("K2", "LOYAL"), ("K3", "LOYAL")]
 
@@ -105,11 +106,19 @@ def test_impossible_sizes_and_settings_are_refused(scenario_items, segments):
 
 def test_synthetic_pool_splits_all_customers_by_size(spark):
     sizes = spark.createDataFrame([("A", 1), ("B", 5), ("C", 0), ("D", 4)], "segment_code string, customer_count int")
-    pool = generate.synthetic_pool(sizes, 25)
-    people = generate.pool_customers(pool).collect()
-    assert sorted(r.customer_id for r in people) == [f"SYN-C{n:06d}" for n in range(1, 26)]
-    counts = Counter(r.segment_code for r in people)
-    assert counts["C"] == 0 and abs(counts["B"] - 12.5) <= 1 and abs(counts["A"] - 2.5) <= 1
+    pool = {r.segment_code: (r.pool_first, r.pool_size) for r in generate.synthetic_pool(sizes, 25).collect()}
+    numbers = sorted(n for first, size in pool.values() for n in range(first, first + size))
+    assert numbers == list(range(1, 26))
+    assert pool["C"][1] == 0 and abs(pool["B"][1] - 12.5) <= 1 and abs(pool["A"][1] - 2.5) <= 1
+
+
+def test_draws_are_digests_that_any_engine_can_state(spark):
+    expected = int(hashlib.md5(b"42|place|7|x").hexdigest()[:13], 16) / 2**52
+    frame = spark.range(1000).withColumn("text", F.lit("x"))
+    drawn = [r[0] for r in frame.select(random.uniform(42, "place", F.col("id"), F.col("text"))).collect()]
+    assert drawn[7] == expected and len(set(drawn)) == 1000
+    assert all(0 <= u < 1 for u in drawn) and abs(statistics.mean(drawn) - 0.5) < 0.05
+    assert [r[0] for r in frame.select(random.below(F.lit(10), 42, "place", F.col("id"), F.col("text"))).collect()] == [int(u * 10) for u in drawn]
 
 
 def test_exact_median_equals_statistics(spark):

@@ -56,8 +56,6 @@ class AugmentationConfig:
     seed: int = 20_260_721
     batch_id: str = "AUG-20260721-01"
     segment_products: int = 150
-    # Buckets that split a segment's customers for the weighted draw.
-    customer_buckets: int = 256
 
     def validate(self) -> None:
         if self.target_rows < 10_000:

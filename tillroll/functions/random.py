@@ -1,6 +1,7 @@
 """Random numbers that depend only on a seed, a purpose and row keys.
 
-They are the same however rows are spread over tasks and however often a task runs again.
+They are the same however rows are spread over tasks and however often a task runs again, and any engine with md5 can
+state them: a number is the first 13 hexadecimal digits of the digest of "seed|purpose|key|…", over 2^52.
 """
 
 from __future__ import annotations
@@ -10,13 +11,14 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_MANTISSA = (1 << 53) - 1
+_DIGITS = 13
 
 
 def uniform(seed: int, purpose: str, *keys: Column) -> Column:
     """Number in [0, 1)."""
-    bits = F.xxhash64(F.lit(seed), F.lit(purpose), *keys).bitwiseAND(F.lit(_MANTISSA))
-    return bits.cast("double") / float(_MANTISSA + 1)
+    text = F.concat_ws("|", F.lit(f"{seed}|{purpose}"), *[key.cast("string") for key in keys])
+    bits = F.conv(F.substring(F.md5(text), 1, _DIGITS), 16, 10).cast("bigint")
+    return bits.cast("double") / float(1 << (4 * _DIGITS))
 
 
 def below(limit: Column, seed: int, purpose: str, *keys: Column) -> Column:

@@ -6,6 +6,7 @@ and any lost part is generated again unchanged.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -24,7 +25,6 @@ from tillroll.sources.stage import materialise
 # A draw looks at this many candidates that are left; relations after the first offer this many.
 _DRAW_FROM = 30
 _OTHER_RELATIONS = 9
-_POOL_CHUNK = 10_000
 
 
 @dataclass(frozen=True)
@@ -57,7 +57,7 @@ def basket_numbers(spark: SparkSession, plan: SizePlan, seed: int) -> DataFrame:
     per_block, per_block_baskets = sum(plan.sizes), len(plan.sizes)
     keyed = F.transform(
         F.array(*[F.lit(size) for size in plan.sizes]),
-        lambda size: F.struct(F.xxhash64(F.lit(seed), F.lit("size"), c("id"), size).alias("key"), size.alias("size")),
+        lambda size: F.struct(rnd.uniform(seed, "size", c("id"), size).alias("key"), size.alias("size")),
     )
     blocks = spark.range(plan.blocks).select("id", F.sort_array(keyed)["size"].alias("sizes"))
     before = F.aggregate(F.slice("sizes", F.lit(1), c("at")), F.lit(0).cast("bigint"), lambda a, s: a + s)
@@ -89,17 +89,6 @@ def synthetic_pool(sizes: DataFrame, customers: int) -> DataFrame:
     return ends.select("segment_code", (c("_start") + 1).alias("pool_first"), (c("_end") - c("_start")).alias("pool_size"))
 
 
-def pool_customers(pool: DataFrame) -> DataFrame:
-    """All new customers with their segment, written out in chunks so that no row holds a long array."""
-    c = F.col
-    filled = pool.filter(c("pool_size") > 0).withColumn("_last", c("pool_first") + c("pool_size") - 1)
-    chunks = filled.select("*", F.explode(F.sequence("pool_first", "_last", F.lit(_POOL_CHUNK))).alias("_start"))
-    chunks = chunks.repartition("segment_code", "_start")
-    numbers = F.sequence("_start", F.least(c("_start") + (_POOL_CHUNK - 1), c("_last")))
-    numbered = chunks.select("segment_code", F.explode(numbers).alias("_number"))
-    return numbered.select(_synthetic_id(c("_number")).alias("customer_id"), "segment_code")
-
-
 def _synthetic_id(number: Column) -> Column:
     return F.format_string("SYN-C%06d", number)
 
@@ -208,9 +197,11 @@ def prepare_context(items: DataFrame, segments: DataFrame, cfg: AugmentationConf
     choices = listed.select("anchor_index", rnd.running_shares(c("own"), "share").alias("choices"))
     best = pf.restrict(pf.segment_products(segment_items, cfg.segment_products), goods)
 
-    # Existing customers: bucket, then order count, then position, each drawn by its weight.
+    # Existing customers: bucket, then order count, then position, each drawn by its weight. With as many buckets
+    # as customers in one, neither the list of buckets nor a bucket's window grows with the customers themselves.
+    buckets = math.ceil(math.sqrt(weights.count()))
     place = Window.partitionBy("segment_code", "bucket", "order_count").orderBy("customer_id")
-    bucketed = weights.withColumn("bucket", F.pmod(F.xxhash64("customer_id"), F.lit(cfg.customer_buckets)))
+    bucketed = weights.withColumn("bucket", rnd.below(F.lit(buckets), cfg.seed, "customer", c("customer_id")))
     customers = bucketed.withColumn("place", F.row_number().over(place) - 1).join(customer_budget, "customer_id", "left")
     customers = materialise(
         customers.select("segment_code", "bucket", "order_count", "place", "customer_id", "budget"), "customers"
@@ -334,7 +325,7 @@ def generate_lines(spark: SparkSession, context: Context, cfg: AugmentationConfi
     lines = filled.select(
         "*", F.posexplode(F.arrays_zip("products", "pieces")).alias("at", "line")
     ).withColumn("quantity", F.greatest(F.lit(1.0), F.least(F.lit(96.0), F.rint(c("line.pieces") * c("scale")))))
-    amount = F.round(c("quantity") * c("line.products.median_unit_price"), 4)
+    amount = F.round(c("quantity").cast("decimal(10,0)") * c("line.products.median_unit_price").cast("decimal(20,6)"), 4)
     columns = {
         "synthetic_line_id": F.format_string(f"{cfg.batch_id}-%08d", c("first_line") + c("at") + 1),
         "invoice_no": F.format_string(f"SYN-{cfg.batch_id}-%07d", number),

@@ -544,7 +544,7 @@ def augmented_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("synthetic_transactions")
 def synthetic_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As many generated lines as observed ones; hashed draws have no SQL counterpart."""
+    """As many generated lines as observed ones."""
     items = _items(spark, sf_dir)
     cfg = replace(_SCENARIO, target_rows=max(10_000, items.count()))
     return generate.generate(items, _segments(spark, sf_dir, items), cfg)[0]
