@@ -7,13 +7,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tillroll.llm.common import materialise, ship
 from tillroll.llm.near import components
 from tillroll.llm.vectors import is_usable, usable
 from tillroll.llm.words import sorted_groups
-from tillroll.operators.ranking import ranked_by_range
+from tillroll.operators.basket import small
 
 _BITS = 62  # random hashes in a key
 _MARGIN = 1e-9
@@ -138,12 +138,31 @@ def _cells(stream: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.R
         yield pa.record_batch([pa.array(np.concatenate([ids[rim], ids[~rim]])), pa.array(np.concatenate([links, added]))], names=["class", "links"])
 
 
+def _ranked(df: DataFrame, by: list[str], order: list[str]) -> DataFrame:
+    """Rows with their exact `rank` per group of `by`, through one range sort.
+
+    Rows are spread over tasks by ranges of (by, order), so neither a large group nor a run of equal values meets in
+    one task as long as `order` is unique. The sorted rows are written out: counting and numbering must see the
+    same ranges, also after a lost executor.
+    """
+    keys = [*by, *order]
+    rows = df.select(*keys).repartitionByRange(*keys).sortWithinPartitions(*keys)
+    rows = materialise(rows.withColumn("position", F.monotonically_increasing_id()), "ranked")
+    rows = rows.withColumn("range", F.shiftright("position", 33))
+    ranges = rows.groupBy(*by, "range").agg(F.count("*").alias("held"), F.min("position").alias("first"))
+    # One row per group and task: few whatever the number of rows.
+    earlier = Window.partitionBy(*by).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = materialise(ranges.withColumn("offset", F.coalesce(F.sum("held").over(earlier), F.lit(0))), "range-offsets")
+    ranked = rows.join(small(offsets), [*by, "range"])
+    return ranked.select(*keys, (F.col("offset") + F.col("position") - F.col("first") + 1).alias("rank"))
+
+
 def _edges(classes: DataFrame, largest: int, window: int, similarity: float, recall: float, seed: int) -> DataFrame:
     """(a, b): pairs of classes found, enough to connect all that the passes link."""
     passes = passes_needed(largest, window, similarity, recall)
     narrow = classes.select("class", "label", "dim", "data")
     keys = narrow.mapInArrow(lambda stream: _keys(stream, passes, seed), "pass int, label string, dim int, key long, class long")
-    ranked, _ = ranked_by_range(keys, ["pass", "label", "dim"], ["key", "class"])
+    ranked = _ranked(keys, ["pass", "label", "dim"], ["key", "class"])
     step = 8 * window
     at = F.col("rank") - 1
     # The head of a stretch also ends the stretch before it, so every window lies whole in one of them.
