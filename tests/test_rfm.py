@@ -47,6 +47,29 @@ def test_scores_equal_quantile_cut_of_ranks(spark, rows_in_group):
     assert found == {k: (s, bins + 1 - s) for k, s in cut.items()}
 
 
+@pytest.mark.parametrize("most_ranked", [1, 7, 100_000])
+def test_runs_of_equal_values_are_cut_by_counts_of_ties(spark, most_ranked):
+    """Ties of unequal length, a bin end in every second run, and values below zero."""
+    values = [(g, (i * i) % 3 - 1, f"{'AB'[i % 2]}{i * 37 % 1000}") for g in (1, 2) for i in range(400 * g)]
+    df = spark.createDataFrame(values, "g int, v int, k string")
+    found = {(r.g, r.k): r.s for r in ranking.score(df, {"s": ("v", True)}, 5, "g", "k", most_ranked).collect()}
+    for g in (1, 2):
+        ordered = pd.Series({k: v for _, v, k in sorted((r for r in values if r[0] == g), key=lambda r: r[2])})
+        cut = pd.qcut(ordered.rank(method="first"), q=5, labels=False) + 1
+        assert {k: s for (h, k), s in found.items() if h == g} == cut.to_dict()
+
+
+def test_a_million_equal_values(spark):
+    df = spark.range(1_000_000).select(F.lit(1).alias("g"), F.lit(3).alias("v"), F.format_string("K%07d", "id").alias("k"))
+    scored = ranking.score(df, {"s": ("v", True)}, 5, "g", "k", most_ranked=5_000)
+    ends = {r.s: (r.low, r.high, r.n) for r in scored.groupBy("s").agg(F.min("k").alias("low"), F.max("k").alias("high"), F.count("*").alias("n")).collect()}
+    cut = [j * 999_999 // 5 + 1 for j in range(1, 5)]
+    first, last = [0, *cut], [*[c - 1 for c in cut], 999_999]
+    assert ends == {j + 1: (f"K{a:07d}", f"K{b:07d}", b - a + 1) for j, (a, b) in enumerate(zip(first, last, strict=True))}
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan
+
+
 def test_scores_of_snapshots_with_heavy_ties(spark, sf_dir):
     scored = rfm.snapshots(_items(spark, sf_dir)).toPandas()
     for _, day in scored.groupby("snapshot_date"):

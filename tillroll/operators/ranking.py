@@ -1,69 +1,112 @@
-"""Exact ranks and quantile scores without gathering a large group in one task."""
+"""Quantile scores by counted values, without sorting the rows or gathering a large group in one task."""
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.operators.basket import small
 from tillroll.sources.stage import materialise
 
+# Buckets of values per factor e; letters by which a run of equal values is cut at a time.
+_PER_E = 64
+_STEM = 3
+#: Rows of one value that a single window may rank.
+MOST_RANKED = 100_000
+
 
 def _directed(score: Column, rows: Column, bins: int, higher_better: bool) -> Column:
     return score if higher_better else (F.least(F.lit(bins), rows) + 1 - score).cast("int")
 
 
-def ranked_by_range(df: DataFrame, by: list[str], order: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Rows with their exact `rank` per group of `by`, and group sizes, through one range sort.
+def _bucket(value: Column) -> Column:
+    """Coarse place of a value; never falls as values rise."""
+    size = F.floor(F.log1p(F.abs(value).cast("double")) * _PER_E)
+    return F.when(value < 0, -size).otherwise(size).cast("int")
 
-    Rows are spread over tasks by value ranges of (by, order), so neither a large group nor a run of
-    equal values meets in one task as long as `order` is unique. The sorted rows are written out:
-    counting and numbering must see the same ranges, also after a lost executor.
-    """
-    keys = [*by, *order]
-    rows = df.select(*keys).repartitionByRange(*keys).sortWithinPartitions(*keys)
-    rows = materialise(rows.withColumn("_position", F.monotonically_increasing_id()), "ranked")
-    rows = rows.withColumn("_range", F.shiftright("_position", 33))
-    ranges = rows.groupBy(*by, "_range").agg(F.count("*").alias("_count"), F.min("_position").alias("_first"))
-    # One row per (group, task range): small whatever the number of rows.
-    earlier = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = ranges.withColumn("_offset", F.coalesce(F.sum("_count").over(earlier), F.lit(0)))
-    offsets = materialise(offsets, "range-offsets")
-    sizes = offsets.groupBy(*by).agg(F.sum("_count").alias("rows"))
-    ranked = rows.join(small(offsets), [*by, "_range"]).withColumn(
-        "rank", F.col("_offset") + F.col("_position") - F.col("_first") + 1
+
+def _holding(counts: DataFrame, keys: list[str], order: str, places: DataFrame) -> DataFrame:
+    """For each row of `places` (keys, `_bin`, `_place`) the row of `counts` (keys, order, `_n`) that holds that place
+    when counted in order; `_place` then counts within that row."""
+    upto = F.sum("_n").over(Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
+    ends = counts.withColumn("_upto", upto)
+    inside = (F.col("_place") <= F.col("_upto")) & (F.col("_place") > F.col("_upto") - F.col("_n"))
+    held = ends.join(places, keys).filter(inside)
+    return held.withColumn("_place", F.col("_place") - F.col("_upto") + F.col("_n")).drop("_upto")
+
+
+def _bin_ends(rows: DataFrame, counts: DataFrame, sizes: DataFrame, bins: int, tie: str, most: int, most_ranked: int) -> DataFrame:
+    """(by, `_metric`, `_bin`, `_value`, `_whole`, `_end`): the value that holds a bin's last row and, unless the bin
+    ends with all rows of that value, the tie of that last row. There are `most` at most."""
+    group = sizes.columns[:2]
+    used = F.least(F.lit(bins), F.col("_rows"))
+    last_of_bin = F.transform(
+        F.slice(F.sequence(F.lit(1), F.lit(bins)), F.lit(1), used - 1),
+        lambda j: F.floor((j * (F.col("_rows") - 1)).cast("decimal(38,0)") / used.cast("decimal(38,0)")) + 1,
     )
-    return ranked.select(*keys, "rank"), sizes
+    places = sizes.select(*group, F.posexplode(last_of_bin).alias("_bin", "_place"))
+    coarse = _holding(counts, group, "_bucket", places).drop("_n")
 
+    # A few buckets of each group are left, and of those the distinct values only.
+    kept = rows.join(small(coarse.select(*group, "_bucket").distinct(), most), [*group, "_bucket"])
+    counts = kept.groupBy(*group, "_bucket", "_value").agg(F.count("*").alias("_n"))
+    ends = _holding(counts, [*group, "_bucket"], "_value", coarse).drop("_bucket")
+    ends = materialise(ends, "bin-values")
+    whole = ends.filter("_place = _n").select(*group, "_bin", "_value", F.lit(True).alias("_whole"), F.lit(None).cast("string").alias("_end"))
 
-def score(df: DataFrame, metrics: dict[str, tuple[str, bool]], bins: int, by: str, tie: str) -> DataFrame:
+    # The other ends lie inside a run of equal values, counted by longer and longer beginnings of the tie.
+    split = ends.filter("_place < _n").withColumn("_stem", F.lit(""))
+    length, key = 0, [*group, "_value", "_stem"]
+    while True:
+        begun = rows.withColumn("_stem", F.substring(tie, 1, length))
+        run = begun.join(small(split.select(*key).distinct(), most), key)
+        if (split.agg(F.max("_n")).first()[0] or 0) <= most_ranked:
+            break
+        counts = run.select(*key, F.substring(tie, 1, length + _STEM).alias("_longer")).groupBy(*key, "_longer").agg(F.count("*").alias("_n"))
+        longer = _holding(counts, key, "_longer", split.drop("_n")).drop("_stem")
+        split = materialise(longer.withColumnRenamed("_longer", "_stem"), "bin-stems")
+        length += _STEM
+    nth = F.row_number().over(Window.partitionBy(*key).orderBy(tie))
+    found = run.select(*key, F.col(tie).alias("_end"), nth.alias("_place")).join(small(split.drop("_n"), most), [*key, "_place"])
+    return whole.unionByName(found.select(*group, "_bin", "_value", F.lit(False).alias("_whole"), "_end"))
+
+
+def score(
+    df: DataFrame, metrics: dict[str, tuple[str, bool]], bins: int, by: str, tie: str, most_ranked: int = MOST_RANKED
+) -> DataFrame:
     """Add one quantile score per entry `score: (metric, higher_better)`, per group of `by` of any size.
 
-    Narrow rows of all metrics are range-sorted together and only the last row of each bin is kept. Every
-    row of `df` is then compared with its group's few bin ends, of which there are groups × metrics × bins.
+    Metrics are numbers and not null, `tie` is a text that is unique in a group and breaks ties. The rows of a group are
+    counted by coarse bucket, then by value in the few buckets where a bin ends; only a run of equal values that a bin
+    cuts is ranked by `tie`, and counted by beginnings of it first where it has over `most_ranked` rows. Every row of
+    `df` is then compared with its group's few bin ends. Only counts are shuffled, never the rows of `df`.
     """
     c = F.col
     value = lambda metric: F.col(metric).cast("decimal(38,4)")
     stacked = F.array(
         *[F.struct(F.lit(at).alias("_metric"), value(m).alias("_value")) for at, (m, _) in enumerate(metrics.values())]
     )
-    ranked, sizes = ranked_by_range(df.select(by, tie, F.inline(stacked)), [by, "_metric"], ["_value", tie])
-    used = F.least(F.lit(bins), c("rows"))
-    last_of_bin = F.transform(
-        F.sequence(F.lit(1), F.lit(bins)),
-        lambda j: F.floor((j * (c("rows") - 1)).cast("decimal(38,0)") / used.cast("decimal(38,0)")) + 1,
-    )
-    sizes = materialise(sizes, "group-sizes")
-    wanted = sizes.select(by, "_metric", F.explode(F.slice(last_of_bin, F.lit(1), used - 1)).alias("rank"))
-    ends = ranked.join(small(wanted, bins * sizes.count()), [by, "_metric", "rank"])
+    rows = df.select(by, tie, F.inline(stacked)).withColumn("_bucket", _bucket(c("_value")))
+    counts = materialise(rows.groupBy(by, "_metric", "_bucket").agg(F.count("*").alias("_n")), "bucket-counts")
+    sizes = counts.groupBy(by, "_metric").agg(F.sum("_n").alias("_rows"))
+    most = bins * sizes.count()
+    ends = _bin_ends(rows, counts, sizes, bins, tie, most, most_ranked)
     per_metric = [
-        F.sort_array(F.collect_list(F.when(c("_metric") == at, F.struct("_value", tie)))).alias(f"_ends{at}")
+        F.sort_array(F.collect_list(F.when(c("_metric") == at, F.struct("_bin", "_value", "_whole", "_end")))).alias(f"_ends{at}")
         for at in range(len(metrics))
     ]
-    groups = sizes.filter("_metric = 0").select(by, "rows").join(ends.groupBy(by).agg(*per_metric), by, "left")
-    scored = df.join(small(materialise(groups, "bin-ends")), by)
+    groups = sizes.filter("_metric = 0").select(by, "_rows").join(ends.groupBy(by).agg(*per_metric), by, "left")
+    scored = df.join(small(materialise(groups, "bin-ends"), most), by)
     for at, (name, (metric, higher_better)) in enumerate(metrics.items()):
-        row = F.struct(value(metric).alias("_value"), tie)
-        passed = F.when(c(f"_ends{at}").isNull(), 0).otherwise(F.size(F.filter(f"_ends{at}", lambda e: e < row)))  # noqa: B023
-        scored = scored.withColumn(name, _directed(passed + 1, c("rows"), bins, higher_better).cast("int"))
-    return scored.drop("rows", *[f"_ends{at}" for at in range(len(metrics))])
+
+        def passed(j: int, at: int = at, metric: str = metric) -> Column:
+            end = F.get(c(f"_ends{at}"), F.lit(j))
+            beyond = (end["_value"] < value(metric)) | ((end["_value"] == value(metric)) & (end["_end"] < c(tie)))
+            return F.coalesce(beyond, F.lit(False)).cast("int")
+
+        reached = reduce(add, [passed(j) for j in range(bins - 1)], F.lit(1))
+        scored = scored.withColumn(name, _directed(reached, c("_rows"), bins, higher_better).cast("int"))
+    return scored.drop("_rows", *[f"_ends{at}" for at in range(len(metrics))])
