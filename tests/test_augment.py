@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import statistics
 from collections import Counter
 from dataclasses import replace
@@ -112,6 +113,28 @@ def test_synthetic_pool_splits_all_customers_by_size(spark):
     assert pool["C"][1] == 0 and abs(pool["B"][1] - 12.5) <= 1 and abs(pool["A"][1] - 2.5) <= 1
 
 
+@pytest.mark.parametrize("width", [1, 3, 256])
+def test_pairs_of_wide_invoices_equal_brute_force(make_items, width):
+    codes = [f"P{n}" for n in range(11)]
+    content = [codes, codes[:4], codes[2:9], codes[5:6], [*codes[:2], "P0", "P1"]]
+    items = make_items([(str(n), f"C{n}", None, code, code, 1, 2) for n, invoice in enumerate(content) for code in invoice])
+    pairs, counts = profiles.pair_counts(items, profiles.profiles(items), CFG, width)
+    want = Counter(pair for invoice in content for pair in itertools.combinations(sorted(set(invoice)), 2))
+    assert {(r.left_code, r.right_code): r.pair_count for r in pairs.collect()} == want
+    assert {r.stock_code: r.basket_count for r in counts.collect()} == Counter(c for invoice in content for c in set(invoice))
+
+
+def test_no_cell_holds_a_large_part_of_a_wide_invoices_pairs(spark):
+    n = 20_000
+    wide = spark.range(n).select(F.lit("W").alias("invoice_no"), F.format_string("P%05d", "id").alias("stock_code"))
+    small = spark.range(300).select(F.format_string("S%d", F.col("id") % 100).alias("invoice_no"), F.format_string("P%05d", "id").alias("stock_code"))
+    cells = profiles._cells(wide.union(small), 256)
+    made = F.when(F.col("low") == F.col("high"), F.size("firsts") * (F.size("firsts") - 1) / 2).otherwise(F.size("firsts") * F.size("others"))
+    rows = {r.invoice_no: r for r in cells.groupBy("invoice_no").agg(F.sum(made).alias("pairs"), F.max(made).alias("most"), F.count("*").alias("cells")).collect()}
+    assert rows["W"].pairs == n * (n - 1) / 2 and rows["W"].most < 0.01 * rows["W"].pairs
+    assert len(rows) == 101 and rows["S7"].cells == 1 and rows["S7"].pairs == 3
+
+
 def test_draws_are_digests_that_any_engine_can_state(spark):
     expected = int(hashlib.md5(b"42|place|7|x").hexdigest()[:13], 16) / 2**52
     frame = spark.range(1000).withColumn("text", F.lit("x"))

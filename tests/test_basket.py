@@ -21,11 +21,11 @@ from tillroll.sources.stage import materialise
 CFG = BasketConfig(global_min_support=0.2, min_confidence=0.5, min_lift=0.9, max_itemset_length=2)
 
 
-def itemsets_of(lines, scopes, cfg):
+def itemsets_of(lines, scopes, cfg, width=512):
     """Itemsets per scope as {tuple of codes: count}, through the library's own steps."""
     products = materialise(basket.scope_products(lines, basket.scope_sizes(lines, scopes), cfg), "products")
     baskets = materialise(basket.scope_baskets(lines, products), "baskets")
-    found = basket.itemsets(baskets, basket.basket_sizes(baskets, scopes), cfg)
+    found = basket.itemsets(baskets, basket.basket_sizes(baskets, scopes), cfg, width)
     named = basket.named_itemsets(found, basket.product_catalog(baskets, products))
     result = defaultdict(dict)
     for r in named.collect():
@@ -33,9 +33,9 @@ def itemsets_of(lines, scopes, cfg):
     return result
 
 
-def frequent(items, cfg):
+def frequent(items, cfg, width=512):
     lines = materialise(basket.scoped_lines(items, None, cfg), "lines")
-    return itemsets_of(lines, basket.scope_table(items, None, cfg), cfg)["ALL"]
+    return itemsets_of(lines, basket.scope_table(items, None, cfg), cfg, width)["ALL"]
 
 
 def brute_itemsets(content, cfg):
@@ -113,6 +113,14 @@ def test_one_wide_hot_basket_among_small_ones(make_items):
     assert frequent(to_items(make_items, content), cfg) == brute_itemsets(content, cfg)
 
 
+@pytest.mark.parametrize(("width", "length"), [(1, 3), (3, 4), (5, 1)])
+def test_wide_baskets_dealt_as_a_grid_give_the_same_itemsets(make_items, width, length):
+    for seed in range(2):
+        content = random_contents(seed, 1)[0] + [[f"P{n}" for n in range(9)]] * 2 + [["P0", "P3", "P4"]] * 3
+        cfg = BasketConfig(global_min_support=0.15, max_itemset_length=length)
+        assert frequent(to_items(make_items, content), cfg, width) == brute_itemsets(content, cfg)
+
+
 def test_counts_agree_with_fp_growth(spark, sf_dir):
     items = _items(spark, sf_dir)
     cfg = BasketConfig(global_min_support=0.01, max_itemset_length=3)

@@ -156,13 +156,33 @@ def basket_sizes(baskets: DataFrame, scopes: DataFrame) -> DataFrame:
     return sizes.join(small(scopes), "scope").select("scope", "baskets", needed)
 
 
-def itemsets(baskets: DataFrame, sizes: DataFrame, cfg: BasketConfig) -> DataFrame:
+def _wide_starts(numbers: DataFrame, width: int) -> DataFrame:
+    """(scope, invoice_no, item, later, own): the items of wide baskets, each with the later ones of one block.
+
+    A basket is cut into blocks of `width` items in order; every two blocks meet in a cell with a key of its own, so the
+    pairs of a basket are spread over tasks. `own` marks the row of an item's own block.
+    """
+    c = F.col
+    last = ((F.size("later") - 1) / width).cast("int")
+    blocks = numbers.select("scope", "invoice_no", "later", last.alias("last"), F.explode(F.sequence(F.lit(0), last)).alias("block"))
+    blocks = blocks.select("scope", "invoice_no", "last", "block", F.slice("later", c("block") * width + 1, F.lit(width)).alias("part"))
+    dealt = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), c("last"))))
+    dealt = dealt.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
+    half = lambda side: F.first(F.when(c("block") == c(side), c("part")), ignorenulls=True)
+    cells = dealt.groupBy("scope", "invoice_no", "low", "high").agg(half("low").alias("firsts"), half("high").alias("others"))
+    apart = cells.select("scope", "invoice_no", (c("low") == c("high")).alias("own"), F.posexplode("firsts").alias("at", "item"), "others")
+    later = F.when(c("own"), F.slice("others", c("at") + 2, F.size("others"))).otherwise(c("others"))
+    return apart.select("scope", "invoice_no", "item", later.alias("later"), "own")
+
+
+def itemsets(baskets: DataFrame, sizes: DataFrame, cfg: BasketConfig, width: int = 512) -> DataFrame:
     """Itemsets up to the configured length that reach the minimum support, with counts.
 
     Level by level. A basket becomes one row per (first item, later items), so a wide basket does not
-    stay in one row. Each level keeps, per row, only the later items that form a frequent pair with
-    every item chosen so far; an item has at most mean basket width over minimum support of those.
-    Counting combines on the map side, so distinct itemsets are shuffled and not occurrences. `sizes` is stored.
+    stay in one row; one of over `width` items is dealt out as a grid of blocks first. Each level keeps, per row, only
+    the later items that form a frequent pair with every item chosen so far; an item has at most mean basket width over
+    minimum support of those. Counting combines on the map side, so distinct itemsets are shuffled and not
+    occurrences. `sizes` is stored.
     """
     c = F.col
     few_sizes = small(sizes)
@@ -177,22 +197,28 @@ def itemsets(baskets: DataFrame, sizes: DataFrame, cfg: BasketConfig) -> DataFra
         apart = rows.select("scope", *chosen, F.posexplode("later").alias("at", "item"), "later")
         return apart.select("scope", *chosen, "item", F.slice("later", c("at") + 2, F.size("later")).alias("later"))
 
-    numbers = baskets.select("scope", c("content.item").alias("later"))
-    starts = step(numbers)
+    numbers = baskets.select("scope", "invoice_no", c("content.item").alias("later"))
+    starts = step(numbers.filter(F.size("later") <= width))
+    wide = _wide_starts(numbers.filter(F.size("later") > width), width)
+    every = starts.withColumn("own", F.lit(True)).unionByName(wide.drop("invoice_no"))
     one = F.array(c("item"))
     if cfg.max_itemset_length == 1:
-        return frequent(starts, one, "itemsets-1")
+        return frequent(every.filter("own"), one, "itemsets-1")
     # One row per chosen item counts the item itself and its pairs with the later items.
-    with_pairs = F.concat(F.array(one), F.transform("later", lambda other: F.array(c("item"), other)))
-    short = frequent(starts.select("scope", F.explode(with_pairs).alias("itemset")), c("itemset"), "itemsets-2")
+    alone = F.when(c("own"), F.array(one)).otherwise(F.array().cast("array<array<int>>"))
+    with_pairs = F.concat(alone, F.transform("later", lambda other: F.array(c("item"), other)))
+    short = frequent(every.select("scope", F.explode(with_pairs).alias("itemset")), c("itemset"), "itemsets-2")
     found = [short]
     if cfg.max_itemset_length >= 3:
         pairs = short.filter(F.size("itemset") == 2)
         near = pairs.groupBy("scope", c("itemset")[0].alias("item")).agg(F.collect_list(c("itemset")[1]).alias("near"))
         near = small(near, pairs.count())
-        grown = starts.join(near, ["scope", "item"]).select(
-            "scope", F.array("item").alias("chosen"), F.array_intersect("later", "near").alias("later")
-        )
+        partners = F.array_intersect("later", "near").alias("later")
+        # The parts of a wide basket are put together again once frequent pairs have thinned them out.
+        parts = wide.join(near, ["scope", "item"]).select("scope", "invoice_no", "item", partners)
+        whole = parts.groupBy("scope", "invoice_no", "item").agg(F.sort_array(F.flatten(F.collect_list("later"))).alias("later"))
+        grown = starts.join(near, ["scope", "item"]).select("scope", F.array("item").alias("chosen"), partners)
+        grown = grown.unionByName(whole.select("scope", F.array("item").alias("chosen"), "later"))
     for length in range(3, cfg.max_itemset_length + 1):
         # The item just chosen narrows the later items to its own frequent partners.
         narrowed = step(grown, "chosen").filter(F.size("later") > 0).join(near, ["scope", "item"])

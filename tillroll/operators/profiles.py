@@ -60,26 +60,45 @@ def best_sellers(product_profiles: DataFrame, limit: int) -> DataFrame:
     return top.withColumn("sales_rank", F.row_number().over(Window.orderBy(*by_sales)))
 
 
-def _popular_baskets(items: DataFrame, goods: DataFrame, cfg: AugmentationConfig) -> DataFrame:
-    """Per invoice, its profiled products as codes in code order, or the most popular of them."""
+def _basket_products(items: DataFrame, goods: DataFrame, cfg: AugmentationConfig) -> DataFrame:
+    """(invoice_no, stock_code) of profiled products; with a limit, the most popular of each invoice only. May repeat."""
     known = goods.select("stock_code", F.struct(-F.col("sales_amount"), -F.col("basket_count"), "stock_code").alias("_place"))
     if cfg.relation_products is not None:
         known = known.orderBy("_place").limit(cfg.relation_products)
     places = items.select("invoice_no", "stock_code").join(known, "stock_code")
     if cfg.max_products_per_basket is None:
-        return places.groupBy("invoice_no").agg(F.sort_array(F.collect_set("stock_code")).alias("codes"))
+        return places.select("invoice_no", "stock_code")
     popular = F.slice(F.sort_array(F.collect_set("_place")), 1, cfg.max_products_per_basket)
-    return places.groupBy("invoice_no").agg(F.sort_array(popular["stock_code"]).alias("codes"))
+    return places.groupBy("invoice_no").agg(popular["stock_code"].alias("codes")).select("invoice_no", F.explode("codes").alias("stock_code"))
 
 
-def pair_counts(items: DataFrame, goods: DataFrame, cfg: AugmentationConfig) -> tuple[DataFrame, DataFrame]:
+def _cells(places: DataFrame, width: int) -> DataFrame:
+    """(low, high, firsts, others): each invoice's products dealt out as the upper triangle of a grid of blocks.
+
+    An invoice of up to `width` lines is one cell. A longer one is cut into blocks of about `width` products by hash, and
+    every two blocks meet in a cell of their own, so its pairs are spread over tasks and no row holds them all.
+    """
+    c = F.col
+    lines = places.groupBy("invoice_no").agg(F.count("*").alias("_lines")).filter(c("_lines") > width)
+    wide = materialise(lines.select("invoice_no", F.ceil(c("_lines") / width).cast("int").alias("_blocks")), "wide-invoices")
+    dealt = places.join(small(wide), "invoice_no", "left").withColumn("_blocks", F.coalesce("_blocks", F.lit(1)))
+    dealt = dealt.withColumn("_block", F.pmod(F.xxhash64("stock_code"), c("_blocks")).cast("int"))
+    dealt = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), c("_blocks") - 1)))
+    dealt = dealt.select("invoice_no", "stock_code", "_block", F.least("_block", "_other").alias("low"), F.greatest("_block", "_other").alias("high"))
+    members = lambda side: F.sort_array(F.collect_set(F.when(c("_block") == c(side), c("stock_code"))))
+    return dealt.groupBy("invoice_no", "low", "high").agg(members("low").alias("firsts"), members("high").alias("others"))
+
+
+def pair_counts(items: DataFrame, goods: DataFrame, cfg: AugmentationConfig, width: int = 256) -> tuple[DataFrame, DataFrame]:
     """Baskets per pair (left < right) and per product, over the profiled products of each basket."""
-    baskets = _popular_baskets(items, goods, cfg)
-    single = baskets.select(F.explode("codes").alias("stock_code"))
-    counts = single.groupBy("stock_code").agg(F.count("*").alias("basket_count"))
-    apart = baskets.select(F.posexplode("codes").alias("at", "left_code"), "codes")
-    later = F.slice("codes", F.col("at") + 2, F.size("codes"))
-    pairs = apart.select("left_code", F.explode(later).alias("right_code"))
+    c = F.col
+    cells = _cells(_basket_products(items, goods, cfg), width)
+    own = cells.filter("low = high").select(F.explode("firsts").alias("stock_code"))
+    counts = own.groupBy("stock_code").agg(F.count("*").alias("basket_count"))
+    apart = cells.select("low", "high", F.posexplode("firsts").alias("at", "first"), "others")
+    later = F.when(c("low") == c("high"), F.slice("others", c("at") + 2, F.size("others"))).otherwise(c("others"))
+    met = apart.select("first", F.explode(later).alias("other"))
+    pairs = met.select(F.least("first", "other").alias("left_code"), F.greatest("first", "other").alias("right_code"))
     return pairs.groupBy("left_code", "right_code").agg(F.count("*").alias("pair_count")), counts
 
 
