@@ -99,20 +99,30 @@ def test_full_tries_start_anew():
 
 @pytest.fixture(scope="module")
 def bpe():
-    tokenizer = Tokenizer.from_file(vocabulary("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    return Tokenizer.from_file(vocabulary("byte_bpe_50k.json"))
 
 
-ODD = ["  two  spaces ", "a\tb\r\nc", "don't we'll he's", "<|endoftext|> x", "x y 　z", "½ ² ９ x9", "\n\n\nq", " ", "\x1c a", "Ünï. (x), y!\nZ", "", None]
+ODD = ["  two  spaces ", "a\tb\r\nc", "don't we'll he's", "<|endoftext|> x", "x <|endoftext|> y<|endoftext|><|endoftext|>\n z ", "<|endoftext", "|endoftext|>", "x y 　z", "½ ² ９ x9", "\n\n\nq", " ", "\x1c a", "Ünï. (x), y!\nZ", "", None]
 
 
 def test_chunks_give_the_tokenizers_ids(bpe):
-    encoder = packing.ChunkEncoder(vocabulary("byte_bpe_50k.json"), keep=3)
-    for text in ODD:
+    encoder = packing.ChunkEncoder(vocabulary("byte_bpe_50k.json"), budget=2000)
+    assert np.frombuffer(encoder.encode("x <|endoftext|> y"), "<u4").tolist() == [87, 220, 50256, 331]
+    for text in ODD * 3:
         assert np.frombuffer(encoder.encode(text or ""), "<u4").tolist() == bpe.encode(text or "", add_special_tokens=False).ids
 
 
+def test_kept_chunks_are_bounded_in_bytes_and_move_up():
+    asked = []
+    known = packing._Known(lambda key: asked.append(key) or key.encode(), budget=4000)
+    for i in range(1000):
+        assert known[f"k{i}"] == f"k{i}".encode() and known["always"] == b"always"
+        assert known["long" * 100]
+    entry = packing._ENTRY + 2 * 4 + 4
+    assert (len(known) + len(known.old)) * entry <= 4000 + 2 * entry
+    assert asked.count("always") == 1 and asked.count("long" * 100) == 1000
+
+
 @pytest.mark.parametrize(("size", "windows", "parts", "fan_in"), [(1024, 64, 1, 64), (64, 3, 7, 2), (16, 1, 5, 3)])
 def test_packing_holds_every_token_once(spark, make_docs, sf_dir, bpe, size, windows, parts, fan_in):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").limit(30).collect()]

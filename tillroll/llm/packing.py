@@ -16,26 +16,39 @@ from pyspark.sql import DataFrame, functions as F
 from tillroll.llm.common import materialise, ship
 
 WIDTH = 4  # bytes of a token id
+_ENTRY = 200  # bytes of a kept entry besides its letters and ids
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _STORED = f"{_PIECES}, ids binary, closed boolean, home long"
 _SPACE = re.compile(r"(?<=\S) (?=\S)")
 _MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
-_PLAIN = re.compile(rf"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+[{re.escape(_MARKS)}]*")
+_PLAIN = re.compile(rf"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([{re.escape(_MARKS)}]*)")
 _encoders: dict[str, ChunkEncoder] = {}
 
 
 class _Known(dict):
-    """Values computed when first asked for; a full store is emptied."""
+    """Values computed when first asked for, kept in two generations of half of `budget` bytes each.
 
-    def __init__(self, compute: Callable[[str], bytes], keep: int):
+    A full young generation becomes the old one; what is asked for again moves up. Keys of over `longest` characters are not kept.
+    """
+
+    def __init__(self, compute: Callable[[str], bytes], budget: int, longest: int = 64):
         super().__init__()
-        self.compute, self.keep = compute, keep
+        self.compute, self.half, self.longest = compute, budget // 2, longest
+        self.old: dict[str, bytes] = {}
+        self.held = 0
 
     def __missing__(self, key: str) -> bytes:
-        value = self.compute(key)
-        if len(self) >= self.keep:
-            self.clear()
-        self[key] = value
+        value = self.old.get(key)
+        if value is None:
+            value = self.compute(key)
+        if len(key) <= self.longest:
+            size = _ENTRY + 2 * len(key) + len(value)
+            self.held += size
+            if self.held > self.half:
+                self.old = dict(self)
+                self.clear()
+                self.held = size
+            self[key] = value
         return value
 
 
@@ -49,22 +62,27 @@ class ChunkEncoder:
     The vocabulary's split pattern always starts a new piece at a single space between two visible characters, so a
     text is cut there and the ids of its chunks are joined. Letters, marks after them and single line ends are pieces
     of their own too; a chunk of those is made from its pieces, which only the merges see. Any other chunk is left to
-    the tokenizer as a whole. `keep` bounds the kept chunks and the kept pieces.
+    the tokenizer as a whole. Added tokens, such as the end of a text, are cut out first and keep their own ids, as the
+    tokenizer has it. `budget` bounds the bytes of the kept chunks; kept pieces have half as much again.
     """
 
-    def __init__(self, path: str, keep: int = 300_000):
+    def __init__(self, path: str, budget: int = 200_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.chunks, self.pieces = _Known(self._spaced, keep), _Known(self._piece, keep)
-        self.letters = str.maketrans(_byte_letters())
+        added = {t.content: i.to_bytes(WIDTH, "little") for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        self.added, self.marks = added, re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
+        self.chunks, self.pieces = _Known(self._spaced, budget), _Known(self._piece, budget // 2)
+        self.letters, self.tokenize = str.maketrans(_byte_letters()), self.tokenizer.model.tokenize
 
     def _piece(self, piece: str) -> bytes:
         spelled = piece.encode().decode("latin-1").translate(self.letters)
-        return b"".join(t.id.to_bytes(WIDTH, "little") for t in self.tokenizer.model.tokenize(spelled))
+        return b"".join([t.id.to_bytes(WIDTH, "little") for t in self.tokenize(spelled)])
 
     def _spaced(self, chunk: str) -> bytes:
+        if plain := _PLAIN.fullmatch(chunk):
+            word, marks = plain.groups()
+            return self.pieces[f" {word}"] + (self.pieces[marks] if marks else b"")
         if not chunk or chunk[0].isspace() or chunk[-1].isspace():
             raise _Blank
         return self._chunk(f" {chunk}")
@@ -84,6 +102,11 @@ class ChunkEncoder:
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
+        if any(mark in text for mark in self.added):
+            return b"".join(self.added.get(part) or self._plain(part) for part in self.marks.split(text))
+        return self._plain(text)
+
+    def _plain(self, text: str) -> bytes:
         if not text:
             return b""
         first, *rest = text.split(" ")
