@@ -129,6 +129,7 @@ def statements() -> dict[str, str]:
         CALENDAR,
         VALUES,
     )
+    sql["rfm_snapshots_carried"] = sql["rfm_snapshots"]
     sql["rfm_scores"] = items_sql(
         """
         SELECT CAST(snapshot_date AS VARCHAR) AS snapshot_date, customer_id, CAST(monetary AS DOUBLE) AS monetary,

@@ -39,21 +39,21 @@ def _month_number(day: Column) -> Column:
     return F.year(day) * 12 + F.month(day)
 
 
+def period_ends(first_day: Column, last_day: Column, cfg: RfmConfig) -> Column:
+    """Period ends inside the observed history, once it is long enough."""
+    eligible = F.date_add(first_day, cfg.minimum_history_days)
+    step = F.expr(f"interval {_step(cfg.snapshot_frequency)} month")
+    starts = F.sequence(F.trunc(eligible, _TRUNC[cfg.snapshot_frequency]), last_day, step)
+    ends = F.transform(starts, lambda start: _period_end(start, cfg.snapshot_frequency))
+    inside = F.filter(ends, lambda end: (end >= eligible) & (end <= last_day))
+    return F.when(eligible <= last_day, inside).otherwise(F.array().cast("array<date>"))
+
+
 def _span(items: DataFrame, cfg: RfmConfig) -> DataFrame:
     """One row: last purchase date and the period ends inside the observed history."""
-    step = _step(cfg.snapshot_frequency)
-    span = items.agg(
-        F.min(F.col("invoice_ts").cast("date")).alias("first_day"),
-        F.max(F.col("invoice_ts").cast("date")).alias("last_day"),
-    )
-    eligible = F.date_add("first_day", cfg.minimum_history_days)
-    starts = F.sequence(
-        F.trunc(eligible, _TRUNC[cfg.snapshot_frequency]), F.col("last_day"), F.expr(f"interval {step} month")
-    )
-    ends = F.transform(starts, lambda start: _period_end(start, cfg.snapshot_frequency))
-    inside = F.filter(ends, lambda end: (end >= eligible) & (end <= F.col("last_day")))
-    none = F.array().cast("array<date>")
-    return span.select("last_day", F.when(eligible <= F.col("last_day"), inside).otherwise(none).alias("ends"))
+    day = F.col("invoice_ts").cast("date")
+    span = items.agg(F.min(day).alias("first_day"), F.max(day).alias("last_day"))
+    return span.select("last_day", period_ends(F.col("first_day"), F.col("last_day"), cfg).alias("ends"))
 
 
 def calendar(items: DataFrame, cfg: RfmConfig | None = None) -> DataFrame:
@@ -91,42 +91,48 @@ def rfm_base(items: DataFrame, snapshot: date | str, start: datetime | str | Non
     )
 
 
-def snapshot_values(items: DataFrame, cfg: RfmConfig | None = None) -> DataFrame:
-    """Cumulative values of every customer at every snapshot since the first purchase; money unrounded.
+def sightings(items: DataFrame, span: Column, cfg: RfmConfig) -> DataFrame:
+    """(customer_id, invoice_no, idx, amount, last_ts): lines merged by the first snapshot that sees them.
 
-    Each line counts from the first snapshot that sees it. Lines are merged per (customer, snapshot)
-    before the running sums, and the sums are repeated for snapshots without purchases only after
-    them, so the work grows with lines plus result rows and not with lines times snapshots.
+    `span` is a struct of the last purchase date and the period ends; the snapshot after the last end is the open one.
     """
-    cfg = cfg or RfmConfig()
-    step = _step(cfg.snapshot_frequency)
-    span = _span(items, cfg).select(F.struct(F.col("last_day"), F.col("ends")).alias("span")).scalar()
     c = F.col
-
     day = c("invoice_ts").cast("date")
     first_end, end = F.get("span.ends", F.lit(0)), _period_end(day, cfg.snapshot_frequency)
-    distance = (_month_number(end) - _month_number(first_end)) / step
+    distance = (_month_number(end) - _month_number(first_end)) / _step(cfg.snapshot_frequency)
     index = F.when(
         first_end.isNotNull() & (end <= c("span.last_day")), F.greatest(F.lit(0), distance.cast("int"))
     ).otherwise(F.size("span.ends"))
     lines = items.select("customer_id", "invoice_no", "invoice_ts", "item_amount").withColumn("span", span)
-    merged = (
+    return (
         lines.select("customer_id", "invoice_no", "invoice_ts", "item_amount", index.alias("idx"))
         .groupBy("customer_id", "invoice_no", "idx")
         .agg(F.sum("item_amount").alias("amount"), F.max("invoice_ts").alias("last_ts"))
     )
-    # An invoice counts once, at the first snapshot that sees any of its lines.
+
+
+def moves(merged: DataFrame, counts: Column | None = None) -> DataFrame:
+    """(customer_id, idx, invoices, amount, last_ts): what each snapshot adds to a customer.
+
+    An invoice counts once, at the first snapshot that sees any of its lines; where `counts` is false it counts not at all.
+    """
     first_idx = F.min("idx").over(Window.partitionBy("customer_id", "invoice_no"))
-    moves = (
-        merged.withColumn("is_first", F.when(c("idx") == first_idx, 1).otherwise(0))
+    new = F.col("idx") == first_idx if counts is None else (F.col("idx") == first_idx) & counts
+    return (
+        merged.withColumn("is_first", F.when(new, 1).otherwise(0))
         .groupBy("customer_id", "idx")
         .agg(
             F.sum("is_first").alias("invoices"), F.sum("amount").alias("amount"), F.max("last_ts").alias("last_ts")
         )
     )
+
+
+def running_values(added: DataFrame, span: Column) -> DataFrame:
+    """Cumulative values of every customer at every snapshot of `span` since the customer's first row in `added`."""
+    c = F.col
     history = Window.partitionBy("customer_id").orderBy("idx")
     so_far = history.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    running = moves.select(
+    running = added.select(
         "customer_id",
         "idx",
         F.lead("idx").over(history).alias("next_idx"),
@@ -135,7 +141,7 @@ def snapshot_values(items: DataFrame, cfg: RfmConfig | None = None) -> DataFrame
         F.max("last_ts").over(so_far).alias("latest_purchase_ts"),
     ).withColumn("span", span)
     until = F.coalesce(c("next_idx") - 1, F.size("span.ends"))
-    dense = running.withColumn("snapshot_index", F.explode(F.sequence("idx", until)))
+    dense = running.withColumn("snapshot_index", F.explode(F.sequence("idx", until))).filter(c("snapshot_index") >= 0)
     dense = dense.withColumn(
         "snapshot_date", F.coalesce(F.get("span.ends", c("snapshot_index")), F.date_add("span.last_day", 1))
     )
@@ -150,6 +156,18 @@ def snapshot_values(items: DataFrame, cfg: RfmConfig | None = None) -> DataFrame
     )
 
 
+def snapshot_values(items: DataFrame, cfg: RfmConfig | None = None) -> DataFrame:
+    """Cumulative values of every customer at every snapshot since the first purchase; money unrounded.
+
+    Each line counts from the first snapshot that sees it. Lines are merged per (customer, snapshot)
+    before the running sums, and the sums are repeated for snapshots without purchases only after
+    them, so the work grows with lines plus result rows and not with lines times snapshots.
+    """
+    cfg = cfg or RfmConfig()
+    span = _span(items, cfg).select(F.struct(F.col("last_day"), F.col("ends")).alias("span")).scalar()
+    return running_values(moves(sightings(items, span, cfg)), span)
+
+
 def scored(values: DataFrame, cfg: RfmConfig | None = None) -> DataFrame:
     """Scores, segments and rounded money for snapshot values."""
     cfg = cfg or RfmConfig()

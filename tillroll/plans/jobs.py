@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import asdict
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.config import AnalyticsConfig, AugmentationConfig
-from tillroll.operators import audit, basket, checks, generate, kpi, rfm
+from tillroll.config import AnalyticsConfig, AugmentationConfig, RfmConfig
+from tillroll.operators import audit, basket, carry, checks, generate, kpi, rfm
 from tillroll.operators import warehouse as wh
 from tillroll.operators.warehouse import positive_rows
 from tillroll.schemas import MARTS
@@ -134,6 +135,55 @@ def _run_analytics(items: DataFrame, folder: str, cfg: AnalyticsConfig) -> dict:
     return manifest
 
 
+def run_snapshots(items: DataFrame, folder: str, cfg: RfmConfig | None = None) -> dict:
+    """Scored customers at the snapshots since the last run, from the lines since then; the first run does all.
+
+    `items` is the whole stored table; the filter on time reaches its scan. A run appends the scored rows of the
+    snapshots that closed, the running values and the newly counted invoices, and replaces the rows of the open snapshot. A
+    failed run leaves the last one's manifest, and the next starts from there.
+    """
+    with scratch(items.sparkSession):
+        return _run_snapshots(items, folder, cfg or RfmConfig())
+
+
+def _run_snapshots(items: DataFrame, folder: str, cfg: RfmConfig) -> dict:
+    spark, run = items.sparkSession, new_run(folder)
+    before = read_manifest(spark, folder, {"closed": None, "closed_rows": [], "invoices": []})
+    if before["closed"] and before["config"] != asdict(cfg):
+        raise ValueError("snapshots were started with other settings: use another folder")
+    state = None
+    if before["closed"]:
+        days = (date.fromisoformat(before[name]) for name in ("first_day", "closed"))
+        state = carry.State(*days, before["snapshots"], spark.read.parquet(before["customers"]), spark.read.parquet(*before["invoices"]))
+    step = carry.advance(carry.after(items, state), cfg, state)
+    is_open = F.col("snapshot_date") > F.lit(step.state.closed if step.state else None)
+    scored = store_output(rfm.scored(step.values, cfg).withColumn("is_open", F.coalesce(is_open, F.lit(True))), run, "scored")
+    manifest = before | {"config": asdict(cfg), "open_rows": f"{run}/scored", "read_lines_after": before["closed"]}
+    if step.state is not None and step.state is not state:
+        store_output(step.state.customers, run, "customers")
+        store_output(step.counted, run, "invoices")
+        manifest |= {
+            "first_day": step.state.first_day,
+            "closed": step.state.closed,
+            "snapshots": step.state.snapshots,
+            "customers": f"{run}/customers",
+            "invoices": [*before["invoices"], f"{run}/invoices"],
+            "closed_rows": [*before["closed_rows"], f"{run}/scored"],
+        }
+    manifest["new_rows"] = scored.count()
+    write_manifest(spark, run, manifest)
+    return read_manifest(spark, folder)
+
+
+def read_snapshots(spark: SparkSession, folder: str) -> DataFrame:
+    """Scored customers at every closed snapshot and at the open one of the newest run."""
+    manifest = read_manifest(spark, folder)
+    open_rows = spark.read.parquet(manifest["open_rows"]).filter("is_open")
+    if not manifest["closed_rows"]:
+        return open_rows.drop("is_open")
+    return spark.read.parquet(*manifest["closed_rows"]).filter("NOT is_open").unionByName(open_rows).drop("is_open")
+
+
 def load_marts(spark: SparkSession, outputs: str, marts: str, synthetic: str | None = None) -> dict[str, int]:
     """Publish the marts from the newest finished analytics run and, if given, generated lines."""
     paths = read_manifest(spark, outputs)["outputs"]
@@ -181,7 +231,9 @@ __all__ = [
     "build_warehouse",
     "export_warehouse",
     "load_marts",
+    "read_snapshots",
     "run_analytics",
     "run_augmentation",
     "run_ingest",
+    "run_snapshots",
 ]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from pyspark.sql import types as T
 from tillroll.functions import standardise as std
 from tillroll.functions.numbers import round_ratio
 from tillroll.config import AugmentationConfig, BasketConfig
-from tillroll.operators import audit, basket, checks, generate, kpi, profiles, recommend, rfm, serving, warehouse
+from tillroll.operators import audit, basket, carry, checks, generate, kpi, profiles, recommend, rfm, serving, warehouse
 from tillroll.schemas import MARTS
 from tillroll.sources import items as item_files
 from tillroll.sources import raw as raw_files
@@ -239,6 +240,18 @@ _on_items("rfm_base", lambda items: rfm.rfm_base(items, "1999-12-31"))
 query("rfm_snapshots")(lambda spark, sf_dir: rfm.snapshot_values(_items(spark, sf_dir)))
 
 
+@query("rfm_snapshots_carried")
+def rfm_snapshots_carried(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same snapshots from three runs, each of which reads the lines since the last closed snapshot only."""
+    items, state, closed = _items(spark, sf_dir), None, []
+    for until in ("1997-05-20", "1999-09-30", None):
+        seen = items if until is None else items.filter(F.col("invoice_ts") < F.lit(until).cast("timestamp_ntz"))
+        step = carry.advance(carry.after(seen, state), state=state)
+        state = step.state
+        closed.append(step.values if until is None or state is None else step.values.filter(F.col("snapshot_date") <= F.lit(state.closed)))
+    return reduce(DataFrame.unionByName, closed)
+
+
 @query("year_windows")
 def year_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["invoice_no", "customer_id", "stock_code", "invoice_ts"]

@@ -109,6 +109,13 @@ def write_manifest(spark: SparkSession, run: str, manifest: Mapping[str, object]
     _write_text(spark, json.dumps(manifest, ensure_ascii=False, default=str), f"{folder}/manifests/run={name}")
 
 
-def read_manifest(spark: SparkSession, folder: str) -> dict:
-    """Manifest of the newest finished run."""
+def _exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def read_manifest(spark: SparkSession, folder: str, default: dict | None = None) -> dict:
+    """Manifest of the newest finished run; `default`, where one is given, before the first."""
+    if default is not None and not _exists(spark, f"{folder}/manifests"):
+        return default
     return json.loads(spark.read.text(f"{folder}/manifests").orderBy(F.desc("run")).first()["value"])
