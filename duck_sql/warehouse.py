@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from duck_sql.base import SERVICE_CODES, fact_sql, items_sql, raw_sql
+from textwrap import dedent
+
+from duck_sql.base import SERVICE_CODES, fact_sql, items_sql, raw, raw_sql, with_
 
 # White-space characters as a regular-expression class.
 _WS = r"[\t\n\v\f\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
@@ -63,6 +65,23 @@ def statements() -> dict[str, str]:
                count(*) FILTER (WHERE TRY_CAST(unit_price AS DECIMAL(18,4)) <= 0) AS non_positive_price_rows
         FROM raw {group}"""
     both = audit.format(source="source_year", group="GROUP BY source_year") + " UNION ALL "
+    order = "CAST(ltrim(invoice_no, 'C') AS BIGINT)"
+    counted = """
+        SELECT {source} AS source_year, count(*) FILTER (WHERE sound) AS row_count,
+               count(*) FILTER (WHERE sound AND trim(customer_id) = '') AS missing_customer_rows,
+               count(*) FILTER (WHERE sound AND invoice_no LIKE 'C%') AS cancelled_rows,
+               count(*) FILTER (WHERE sound AND CAST(quantity AS BIGINT) <= 0) AS non_positive_quantity_rows,
+               count(*) FILTER (WHERE sound AND CAST(unit_price AS DECIMAL(18,4)) <= 0) AS non_positive_price_rows,
+               count(*) FILTER (WHERE NOT sound) AS rejected_rows
+        FROM exported {group}"""
+    exported = f"""
+    exported AS (
+        SELECT *, CASE WHEN invoice_ts < '1998-01-01' THEN 'Years to 1997' ELSE 'Years from 1998' END AS period,
+               {order} % 53 <> 0 AND {order} % 59 <> 0 AND {order} % 61 <> 0 AND {order} % 67 <> 0 AS sound
+        FROM raw
+    )"""
+    body = counted.format(source="period", group="GROUP BY period") + " UNION ALL " + counted.format(source="'ALL'", group="")
+    sql["ingest_rejects"] = with_(raw(), exported) + dedent(body).strip()
     sql["ingest_audit"] = raw_sql(both + audit.format(source="'ALL'", group=""), faults=True)
     profile = """
         SELECT {source} AS source_year, count(*) AS row_count,

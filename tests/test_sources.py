@@ -178,6 +178,44 @@ def test_ingest_job_writes_landing_files_and_audit(spark, tmp_path):
     assert {r.ingest_batch_id for r in landed.collect()} == {"B1"} and landed.count() == 3
 
 
+BROKEN_FILE = [
+    '1,A,"fine, thing",2,2010-01-01 00:00:00,1.50,7,UK',
+    '2,B,"unclosed,2,2010-01-01 00:00:00,1.50,7,UK',
+    "3,C,too many,2,2010-01-01 00:00:00,1.50,7,UK,more",
+    "4,D,too few,2,2010-01-01 00:00:00",
+    "5,E,no number,two,2010-01-01 00:00:00,1.50,7,UK",
+    "6,F,no price,2,2010-01-01 00:00:00,free,7,UK",
+    "7,G,blank price,2,2010-01-01 00:00:00,,7,UK",
+]
+
+
+def test_rejected_lines_are_listed_and_audited(spark, tmp_path):
+    """Whatever columns a later step selects, the same lines are sound."""
+    for name, lines in {"P1": BROKEN_FILE, "P2": BROKEN_FILE[1:2], "P3": BROKEN_FILE[:1]}.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "lines.csv").write_text("\n".join([",".join(SOURCE_HEADERS), *lines]) + "\n")
+    paths = {name: str(tmp_path / name) for name in ("P1", "P2", "P3")}
+    folder = str(tmp_path / "landing")
+    with pytest.raises(Exception, match="Invalid decimal value: two|Invalid decimal value: free"):
+        jobs.run_ingest(spark, paths, folder, "B1")
+    manifest = jobs.run_ingest(spark, paths, folder, "B1", on_error="reject", most_rejected=6)
+    landed = raw_files.read_raw(spark, manifest["raw"])
+    assert sorted((r.source_year, r.invoice_no) for r in landed.collect()) == [("P1", "1"), ("P1", "7"), ("P3", "1")]
+    found = {(r.source_year, r.line[0], r.reason) for r in spark.read.parquet(manifest["rejects"]).collect()}
+    broken = {("P1", n, "BROKEN_LINE") for n in "234"} | {("P2", "2", "BROKEN_LINE")}
+    assert found == broken | {("P1", n, "UNREADABLE_NUMBER") for n in "56"}
+    lines = {r.line for r in spark.read.parquet(manifest["rejects"]).collect()}
+    assert set(BROKEN_FILE[1:6]) <= lines
+    counts = {r["source_year"]: (r["row_count"], r["rejected_rows"]) for r in manifest["audit"]}
+    assert counts == {"ALL": (3, 6), "P1": (2, 5), "P2": (0, 1), "P3": (1, 0)}
+    df = raw_files.read_period_csv(spark, paths["P1"])
+    assert raw_files.ingest({"P": df}, "B", "reject").select("invoice_no").count() == 2
+    assert raw_files.rejects(df, True).select("reason").count() == 5
+    with pytest.raises(ValueError, match="6 lines rejected, 5 allowed"):
+        jobs.run_ingest(spark, paths, folder, "B2", on_error="reject", most_rejected=5)
+    assert read_manifest(spark, folder) == manifest
+
+
 def test_fractional_quantities_are_no_piece_counts(spark, make_items):
     items = make_items([("1", "C", dt.datetime(2020, 1, 1), "A", "a", 1, 1)]).drop("item_quantity")
     given = items.join(spark.createDataFrame([("0.5",), ("2.7",), ("2.0",), ("3",), ("1e2",)], "item_quantity string"), how="cross")

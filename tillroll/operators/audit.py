@@ -32,6 +32,15 @@ def ingest_audit(raw: DataFrame) -> DataFrame:
     )
 
 
+def with_rejects(audited: DataFrame, rejected: DataFrame) -> DataFrame:
+    """The audit with `rejected_rows`: lines of the source that were not landed. A source of rejects alone has a row too."""
+    level = F.grouping("source_year")
+    counted = rejected.rollup("source_year").agg(level.alias("_total"), F.count("*").alias("rejected_rows"))
+    counted = counted.select(F.when(F.col("_total") == 1, TOTAL).otherwise(F.col("source_year")).alias("source_year"), "rejected_rows")
+    both = audited.join(counted, "source_year", "full_outer")
+    return both.select("source_year", *[F.coalesce(name, F.lit(0)).alias(name) for name in both.columns if name != "source_year"])
+
+
 def source_profile(raw: DataFrame) -> DataFrame:
     """One row per source and one for all: sizes, distinct keys, dates, valid sales, mean valid basket."""
 

@@ -20,7 +20,7 @@ from tillroll.operators.warehouse import positive_rows
 from tillroll.schemas import MARTS
 from tillroll.sources.items import export_tsv
 from tillroll.sources.marts import new_run, publish_marts, read_manifest, store_output, to_contract, write_manifest
-from tillroll.sources.raw import batch_id, ingest, read_period_csv, read_raw, write_raw
+from tillroll.sources.raw import batch_id, ingest, read_period_csv, read_raw, reject_table, write_raw
 from tillroll.sources.stage import scratch
 from tillroll.sources.tables import read_fact, read_table, write_fact, write_table
 
@@ -52,21 +52,31 @@ _OUTPUT_MARTS = {
 
 
 def run_ingest(
-    spark: SparkSession, periods: Mapping[str, str], folder: str, identifier: str | None = None, multi_line: bool = False
+    spark: SparkSession,
+    periods: Mapping[str, str],
+    folder: str,
+    identifier: str | None = None,
+    multi_line: bool = False,
+    on_error: str = "raise",
+    most_rejected: int | None = None,
 ) -> dict:
-    """Landing files from the CSV files of each period, with their audit.
+    """Landing files from the CSV files of each period, the lines that could not be landed, and an audit of both.
 
-    Every file's header is checked. The manifest has the batch, the landing path and the audit per period and in all.
+    Every file's header is checked. Lines that are broken go to the reject table; text that is no number fails the job, or
+    goes there with `on_error` 'reject'. With more than `most_rejected` of them the run fails before its manifest, and
+    its reject table stays to be looked at. The manifest has the batch, both paths and the audit per period and in all.
     """
     run, identifier = new_run(folder), identifier or batch_id()
     sources = {tag: read_period_csv(spark, path, multi_line) for tag, path in periods.items()}
-    write_raw(ingest(sources, identifier), f"{run}/raw")
-    counted = store_output(audit.ingest_audit(read_raw(spark, f"{run}/raw")), run, "audit")
-    manifest = {
-        "ingest_batch_id": identifier,
-        "raw": f"{run}/raw",
-        "audit": [row.asDict() for row in counted.orderBy("source_year").collect()],
-    }
+    write_raw(ingest(sources, identifier, on_error), f"{run}/raw")
+    rejected = store_output(reject_table(sources, identifier, on_error), run, "rejects")
+    counted = audit.with_rejects(audit.ingest_audit(read_raw(spark, f"{run}/raw")), rejected)
+    counted = store_output(counted, run, "audit")
+    rows = [row.asDict() for row in counted.orderBy("source_year").collect()]
+    lost = sum(row["rejected_rows"] for row in rows if row["source_year"] == audit.TOTAL)
+    if most_rejected is not None and lost > most_rejected:
+        raise ValueError(f"{lost} lines rejected, {most_rejected} allowed: see {run}/rejects")
+    manifest = {"ingest_batch_id": identifier, "raw": f"{run}/raw", "rejects": f"{run}/rejects", "audit": rows}
     write_manifest(spark, run, manifest)
     return manifest
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 from functools import reduce
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from tillroll.functions.numbers import round_ratio
 from tillroll.config import AugmentationConfig, BasketConfig
 from tillroll.operators import audit, basket, carry, checks, generate, kpi, profiles, recommend, rfm, serving, warehouse
 from tillroll.schemas import MARTS
+from tillroll.session import ensure_checkpoint_dir
 from tillroll.sources import items as item_files
 from tillroll.sources import raw as raw_files
 from tillroll.sources import sample_tables as sample
@@ -131,6 +133,18 @@ def std_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 query("ingest_audit")(lambda spark, sf_dir: audit.ingest_audit(sample.raw_lines(spark, sf_dir, faults=True)))
+
+
+@query("ingest_rejects")
+def ingest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit of period files of which some lines are broken or hold a quantity that is no number."""
+    files = sample.period_files(spark, sf_dir, f"{ensure_checkpoint_dir(spark)}/period-files-{uuid4().hex}")
+    sources = {tag: raw_files.read_period_csv(spark, path) for tag, path in files.items()}
+    rejected = raw_files.reject_table(sources, sample.BATCH, "reject")
+    landed = raw_files.ingest(sources, sample.BATCH, "reject")
+    return audit.with_rejects(audit.ingest_audit(landed), rejected)
+
+
 query("source_profile")(lambda spark, sf_dir: audit.source_profile(sample.raw_lines(spark, sf_dir, faults=True)))
 query("top_countries")(lambda spark, sf_dir: audit.top_countries(sample.raw_lines(spark, sf_dir, faults=True)))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.fixed_values import ALL_SCOPE, GENERATION_MODEL
+from tillroll.fixed_values import ALL_SCOPE, GENERATION_MODEL, SOURCE_HEADERS
 from tillroll.operators import warehouse
 from tillroll.schemas import RAW
 
@@ -61,6 +61,31 @@ def raw_lines(spark: SparkSession, sf_dir: str, product: str = "brand", faults:
     return lines.select(*[F.expr(texts[name]).alias(name) for name in RAW.names])
 
 
+def period_files(spark: SparkSession, sf_dir: str, folder: str) -> dict[str, str]:
+    """CSV files per period, as a source system exports them. Order numbers decide which lines have an unclosed quote,
+    a field too many, a field too few, or a quantity that is no number."""
+    lines = raw_lines(spark, sf_dir)
+    order = F.regexp_replace("invoice_no", "^C", "").cast("bigint")
+    fields = [F.concat(F.lit('"'), c, F.lit('"')) if c == "description" else F.col(c) for c in RAW.names if c not in ("source_year", "ingest_batch_id")]
+    quantity = RAW.names.index("quantity") - 1
+    fields[quantity] = F.when(order % 67 == 0, "n/a").otherwise(fields[quantity])
+    text = F.concat_ws(",", *fields)
+    text = (
+        F.when(order % 53 == 0, F.regexp_replace(text, '^([^"]*"[^"]*)"', "$1"))
+        .when(order % 59 == 0, F.concat(text, F.lit(",extra")))
+        .when(order % 61 == 0, F.regexp_replace(text, ",[^,]*$", ""))
+        .otherwise(text)
+    )
+    early = F.col("invoice_ts") < "1998"
+    paths = {}
+    for tag, rows in (("Years to 1997", lines.filter(early)), ("Years from 1998", lines.filter(~early))):
+        paths[tag] = f"{folder}/{tag}"
+        # The writer of texts knows no header; with these options, the CSV writer leaves lines as they are.
+        as_is = {"sep": "\u0001", "quote": "\u0000", "escapeQuotes": False, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+        rows.select(text.alias(",".join(SOURCE_HEADERS))).write.csv(paths[tag], header=True, **as_is)
+    return paths
+
+
 def fact(spark: SparkSession, sf_dir: str, product: str = "brand", faults: bool = False) -> DataFrame:
     return warehouse.clean(raw_lines(spark, sf_dir, product, faults))
 
