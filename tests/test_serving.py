@@ -216,6 +216,38 @@ def test_publication_replaces_all_marts_at_once(spark, marts, tmp_path):
         store.publish_marts({"other": marts["top_product"]}, folder)
 
 
+def test_of_two_publishers_from_one_version_the_second_fails(spark, marts, tmp_path):
+    folder = str(tmp_path / "marts")
+    top = {"top_product": marts["top_product"]}
+    store.publish_marts(top, folder)
+    start = store.current_version(spark, folder)
+    kept = store.read_marts(spark, folder)["top_product"]
+    store.publish_marts({"top_product": marts["top_product"].limit(1)}, folder, after=start)
+    newest, folders = store.current_version(spark, folder), set((tmp_path / "marts" / "versions").iterdir())
+    for stale in (start, None):
+        with pytest.raises(store.PublicationConflict, match="has a successor"):
+            store.publish_marts(top, folder, after=stale)
+    assert store.current_version(spark, folder) == newest != start
+    assert set((tmp_path / "marts" / "versions").iterdir()) == folders
+    assert rows(kept) == rows(store.read_marts(spark, folder, start)["top_product"]) == rows(marts["top_product"])
+
+
+def test_old_versions_are_removed_and_kept_ones_stay_readable(spark, marts, tmp_path):
+    folder, names = str(tmp_path / "marts"), []
+    for _ in range(4):
+        store.publish_marts({"top_product": marts["top_product"]}, folder, keep=2)
+        names.append(store.current_version(spark, folder))
+    assert sorted(p.name for p in (tmp_path / "marts" / "versions").iterdir()) == sorted(names[2:])
+    published = store.versions(spark, folder)
+    assert [m["version"] for m in published] == names[::-1]
+    assert [m["parent"] for m in published] == [*names[-2::-1], None]
+    assert store.read_marts(spark, folder, names[2])["top_product"].count() == 2
+    with pytest.raises(ValueError, match="no published version"):
+        store.read_marts(spark, folder, "unheard-of")
+    with pytest.raises(ValueError, match="keep"):
+        store.publish_marts({"top_product": marts["top_product"]}, folder, keep=0)
+
+
 def test_contract_counts_duplicates_nulls_and_misfits(marts):
     contract = MARTS["top_product"]
     bad = marts["top_product"].withColumn("sales_amount", F.lit("much")).withColumn("product_name", F.lit(None).cast("string"))

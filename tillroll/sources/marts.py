@@ -53,16 +53,66 @@ def _write_text(spark: SparkSession, text: str, path: str) -> None:
     spark.range(1).select(F.lit(text).alias("value")).coalesce(1).write.text(path)
 
 
-def publish_marts(frames: Mapping[str, DataFrame], folder: str) -> dict[str, int]:
+class PublicationConflict(RuntimeError):
+    """Another publisher has published after the version that this one started from."""
+
+
+def _path(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _create(spark: SparkSession, text: str, path: str) -> bool:
+    """One small file that must be new; whether it was."""
+    target, system = _path(spark, path)
+    if system.exists(target):
+        return False
+    try:
+        stream = system.create(target, False)
+    except Exception:
+        if system.exists(target):  # somebody was quicker
+            return False
+        raise
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    return True
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target, system = _path(spark, path)
+    system.delete(target, True)
+
+
+def versions(spark: SparkSession, folder: str) -> list[dict]:
+    """Manifests of the published versions, newest first: each names the one before it as `parent`."""
+    if not _exists(spark, f"{folder}/manifests"):
+        return []
+    found = [json.loads(row["value"]) for row in spark.read.text(f"{folder}/manifests").select("value").collect()]
+    by_parent = {manifest["parent"]: manifest for manifest in found}
+    chain, last = [], None
+    while last in by_parent:
+        chain.append(by_parent[last])
+        last = chain[-1]["version"]
+    return chain[::-1]
+
+
+def publish_marts(frames: Mapping[str, DataFrame], folder: str, after: str | None = "newest", keep: int = 10) -> dict[str, int]:
     """Replace all marts in one step and return their row counts.
 
-    Everything goes to a new version folder first. The version counts only once its manifest exists,
-    which is written last; readers take the newest manifest, so a failed run changes nothing.
+    Everything goes to a new version folder first. The version counts only once its manifest exists, which is written
+    last; readers take the newest, so a failed run changes nothing. The manifest's name holds the parent's, and a file is
+    made only once: of two publishers that start from the same version, the second fails with `PublicationConflict`
+    and takes its files away. `after` names the version that the frames were built from, by default the newest now
+    (null: none yet). The tables of all but the newest `keep` versions are deleted; their manifests stay. An empty
+    manifest, left by a publisher that died within this last write, blocks the next one until it is deleted.
     """
     unknown = set(frames) - set(MARTS)
     if unknown:
         raise ValueError(f"no contract for {sorted(unknown)}")
+    if keep < 1:
+        raise ValueError("keep must be at least 1")
     spark = next(iter(frames.values())).sparkSession
+    parent = current_version(spark, folder) if after == "newest" else after
     version = datetime.now(UTC).strftime("%Y%m%dT%H%M%S%f") + "-" + uuid4().hex[:8]
     counts: dict[str, int] = {}
     for name, df in frames.items():
@@ -73,23 +123,29 @@ def publish_marts(frames: Mapping[str, DataFrame], folder: str) -> dict[str, int
         if report["duplicate_keys"] or report["null_values"]:
             raise ValueError(f"mart {name} breaks its contract: {report.asDict()}")
         counts[name] = report["row_count"]
-    manifest = {"version": version, "counts": counts}
-    _write_text(spark, json.dumps(manifest), f"{folder}/manifests/version={version}")
+    manifest = {"version": version, "parent": parent, "counts": counts}
+    if not _create(spark, json.dumps(manifest), f"{folder}/manifests/after-{parent or 'nothing'}.json"):
+        _delete(spark, f"{folder}/versions/{version}")
+        raise PublicationConflict(f"version {parent or 'none'} has a successor already: {current_version(spark, folder)}")
+    for old in versions(spark, folder)[keep:]:
+        _delete(spark, f"{folder}/versions/{old['version']}")
     return counts
 
 
-def current_version(spark: SparkSession, folder: str) -> str:
+def current_version(spark: SparkSession, folder: str) -> str | None:
     """Newest published version."""
-    manifests = spark.read.text(f"{folder}/manifests")
-    return manifests.agg(F.max("version")).first()[0]
+    published = versions(spark, folder)
+    return published[0]["version"] if published else None
 
 
-def read_marts(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """Marts of the newest published version; a mart that was not published is absent."""
-    manifests = spark.read.text(f"{folder}/manifests").orderBy(F.desc("version"))
-    manifest = json.loads(manifests.first()["value"])
-    base = f"{folder}/versions/{manifest['version']}"
-    return {name: spark.read.schema(MARTS[name].schema).parquet(f"{base}/{name}") for name in manifest["counts"]}
+def read_marts(spark: SparkSession, folder: str, version: str | None = None) -> dict[str, DataFrame]:
+    """Marts of a published version, by default the newest; a mart that was not published is absent."""
+    published = versions(spark, folder)
+    wanted = [m for m in published if version in (None, m["version"])]
+    if not wanted:
+        raise ValueError(f"no published version {version or ''} in {folder}")
+    base = f"{folder}/versions/{wanted[0]['version']}"
+    return {name: spark.read.schema(MARTS[name].schema).parquet(f"{base}/{name}") for name in wanted[0]["counts"]}
 
 
 def new_run(folder: str) -> str:
@@ -110,8 +166,8 @@ def write_manifest(spark: SparkSession, run: str, manifest: Mapping[str, object]
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    target, system = _path(spark, path)
+    return system.exists(target)
 
 
 def read_manifest(spark: SparkSession, folder: str, default: dict | None = None) -> dict:
