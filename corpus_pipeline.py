@@ -47,7 +47,8 @@ STAGES = [
     ("mix", mix_sources),
     ("pack", pack_tokens),
 ]
-#: SQL states neither the perplexities nor the packing; the stages are tested against plain versions instead.
+#: SQL states neither the perplexities nor the packing. Near copies, repeats, mix and packing are tested against plain
+#: versions, the quality stage against its operator, whose perplexities are.
 ORACLE_SQL = None
 
 
