@@ -264,6 +264,9 @@ def test_segments_keep_text_ids(spark, tmp_path):
     path.write_text("snapshot_date,customer_id,segment_code,segment_name\n2020-01-01,00123,NEW,x\n")
     df = item_files.read_segments(spark, str(path))
     assert [tuple(r) for r in df.collect()] == [("00123", "NEW", "x")]
+    path.write_text("snapshot_date,customer_id,segment_name\n2020-01-01,00123,x\n")
+    with pytest.raises(ValueError, match="lacks .'segment_code'"):
+        item_files.read_segments(spark, str(path))
 
 
 @pytest.mark.parametrize("fmt", ["orc", "parquet"])

@@ -49,9 +49,14 @@ def read_basket_items(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_segments(spark: SparkSession, path: str) -> DataFrame:
-    """Customer segments from CSV with header; the customer id stays text and further columns are ignored."""
+    """Customer segments from CSV with header; the customer id stays text and further columns are ignored.
+
+    A file without one of the columns is refused before any job.
+    """
     df = spark.read.csv(path, header=True, quote='"', escape='"', inferSchema=False)
-    return df.select(*[F.col(name).cast("string").alias(name) for name in SEGMENTS.names if name in df.columns])
+    if absent := [name for name in SEGMENTS.names if name not in df.columns]:
+        raise ValueError(f"segment file {path} lacks {absent}")
+    return df.select(*[F.col(name).cast("string").alias(name) for name in SEGMENTS.names])
 
 
 def export_tsv(df: DataFrame, path: str, order: list[Column] | None = None) -> None:
