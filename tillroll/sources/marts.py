@@ -113,7 +113,7 @@ def publish_marts(frames: Mapping[str, DataFrame], folder: str, after: str | Non
         raise ValueError("keep must be at least 1")
     spark = next(iter(frames.values())).sparkSession
     parent = current_version(spark, folder) if after == "newest" else after
-    version = datetime.now(UTC).strftime("%Y%m%dT%H%M%S%f") + "-" + uuid4().hex[:8]
+    version = new_version()
     counts: dict[str, int] = {}
     for name, df in frames.items():
         path = f"{folder}/versions/{version}/{name}"
@@ -123,15 +123,29 @@ def publish_marts(frames: Mapping[str, DataFrame], folder: str, after: str | Non
         if report["duplicate_keys"] or report["null_values"]:
             raise ValueError(f"mart {name} breaks its contract: {report.asDict()}")
         counts[name] = report["row_count"]
-    manifest = {"version": version, "parent": parent, "counts": counts}
-    if not _create(spark, json.dumps(manifest), f"{folder}/manifests/after-{parent or 'nothing'}.json"):
-        _delete(spark, f"{folder}/versions/{version}")
-        raise PublicationConflict(f"version {parent or 'none'} has a successor already: {current_version(spark, folder)}")
+    publish_version(spark, folder, {"version": version, "parent": parent, "counts": counts})
     for old in versions(spark, folder)[keep:]:
-        _delete(spark, f"{folder}/versions/{old['version']}")
+        delete_version(spark, folder, old["version"])
     return counts
 
 
+def publish_version(spark: SparkSession, folder: str, manifest: Mapping[str, object]) -> None:
+    """Make the tables under the manifest's `version` the newest, unless its `parent` has a successor already."""
+    parent = manifest["parent"]
+    if not _create(spark, json.dumps(manifest, ensure_ascii=False), f"{folder}/manifests/after-{parent or 'nothing'}.json"):
+        delete_version(spark, folder, manifest["version"])
+        raise PublicationConflict(f"version {parent or 'none'} has a successor already: {current_version(spark, folder)}")
+
+
+def delete_version(spark: SparkSession, folder: str, version: str) -> None:
+    _delete(spark, f"{folder}/versions/{version}")
+
+
+def new_version() -> str:
+    """Name of a new version; names sort by their start."""
+    return datetime.now(UTC).strftime("%Y%m%dT%H%M%S%f") + "-" + uuid4().hex[:8]
+
+
 def current_version(spark: SparkSession, folder: str) -> str | None:
     """Newest published version."""
     published = versions(spark, folder)
@@ -150,7 +164,7 @@ def read_marts(spark: SparkSession, folder: str, version: str | None = None) ->
 
 def new_run(folder: str) -> str:
     """Folder of a new run under `folder`; run names sort by start."""
-    return f"{folder}/runs/{datetime.now(UTC).strftime('%Y%m%dT%H%M%S%f')}-{uuid4().hex[:8]}"
+    return f"{folder}/runs/{new_version()}"
 
 
 def store_output(df: DataFrame, run: str, name: str) -> DataFrame:
