@@ -191,6 +191,22 @@ def statements() -> dict[str, str]:
     sql["ads_overview"] = fact_sql(
         "SELECT * REPLACE (CAST(sales_amount AS DOUBLE) AS sales_amount) FROM overview", "brand", True, _OVERVIEW
     )
+    # The monthly parts give what a full build gives.
+    sql["monthly_overview"] = sql["ads_overview"]
+    sql["monthly_countries"] = sql["dim_country"]
+    sql["monthly_baskets"] = sql["dws_basket_summary"]
+    sql["overview_by_year"] = fact_sql(
+        """
+        SELECT strftime(invoice_ts, '%Y') AS period, count(DISTINCT customer_id) AS customer_count,
+               count(DISTINCT invoice_no) AS order_count, count(DISTINCT stock_code) AS product_count,
+               CAST(sum(quantity) AS BIGINT) AS item_quantity,
+               CAST(CAST(sum(line_amount) AS DECIMAL(20,2)) AS DOUBLE) AS sales_amount,
+               round(CAST(sum(line_amount) AS DOUBLE) / count(DISTINCT invoice_no), 2) AS average_basket_amount,
+               min(invoice_ts) AS min_invoice_ts, max(invoice_ts) AS max_invoice_ts
+        FROM valid GROUP BY 1""",
+        "brand",
+        True,
+    )
     sql["ads_monthly_sales"] = fact_sql(
         """
         SELECT strftime(invoice_ts, '%Y-%m') AS invoice_month, count(DISTINCT customer_id) AS customer_count,

@@ -15,6 +15,7 @@ from tillroll.functions import standardise as std
 from tillroll.functions.numbers import round_ratio
 from tillroll.config import AugmentationConfig, BasketConfig
 from tillroll.operators import audit, basket, carry, checks, generate, kpi, profiles, recommend, rfm, serving, warehouse
+from tillroll.plans.monthly import MonthlyWarehouse, refresh_warehouse
 from tillroll.schemas import MARTS
 from tillroll.session import ensure_checkpoint_dir
 from tillroll.sources import items as item_files
@@ -202,6 +203,24 @@ _on_fact("check_basket_recon", lambda fact: checks.check_baskets(warehouse.baske
 _on_fact("check_ads_recon", lambda fact: checks.check_overview(warehouse.ads_overview(fact)))
 
 
+def _monthly(spark: SparkSession, sf_dir: str) -> MonthlyWarehouse:
+    """Monthly parts of two refreshes: all lines but some of 1998, then those, which come late."""
+    folder = f"{ensure_checkpoint_dir(spark)}/monthly-{uuid4().hex}"
+    order = F.regexp_replace("invoice_no", "^C", "").cast("bigint")
+    late = (order % 7 == 0) & F.col("invoice_ts").startswith("1998")
+    batch = F.when(late, "late").otherwise("main")
+    lines = materialise(sample.raw_lines(spark, sf_dir, faults=True).withColumn("ingest_batch_id", batch), "raw-lines")
+    for name in ("main", "late"):
+        refresh_warehouse(lines.filter(F.col("ingest_batch_id") == name), folder)
+    return MonthlyWarehouse(spark, folder)
+
+
+query("monthly_overview")(lambda spark, sf_dir: _monthly(spark, sf_dir).tables()["ads_business_overview"])
+query("monthly_countries")(lambda spark, sf_dir: _monthly(spark, sf_dir).tables()["dim_country"])
+query("monthly_baskets")(lambda spark, sf_dir: _monthly(spark, sf_dir).tables()["dws_basket_summary"])
+query("overview_by_year")(lambda spark, sf_dir: _monthly(spark, sf_dir).by_period(4))
+
+
 @query("check_row_counts")
 def check_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = sample.raw_lines(spark, sf_dir, faults=True)
