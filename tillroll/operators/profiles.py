@@ -72,7 +72,7 @@ def _basket_products(items: DataFrame, goods: DataFrame, cfg: AugmentationConfig
     return places.groupBy("invoice_no").agg(popular["stock_code"].alias("codes")).select("invoice_no", F.explode("codes").alias("stock_code"))
 
 
-def _cells(places: DataFrame, width: int) -> DataFrame:
+def cells(places: DataFrame, width: int) -> DataFrame:
     """(low, high, firsts, others): each invoice's products dealt out as the upper triangle of a grid of blocks.
 
     An invoice of up to `width` lines is one cell. A longer one is cut into blocks of about `width` products by hash, and
@@ -92,10 +92,10 @@ def _cells(places: DataFrame, width: int) -> DataFrame:
 def pair_counts(items: DataFrame, goods: DataFrame, cfg: AugmentationConfig, width: int = 256) -> tuple[DataFrame, DataFrame]:
     """Baskets per pair (left < right) and per product, over the profiled products of each basket."""
     c = F.col
-    cells = _cells(_basket_products(items, goods, cfg), width)
-    own = cells.filter("low = high").select(F.explode("firsts").alias("stock_code"))
+    dealt = cells(_basket_products(items, goods, cfg), width)
+    own = dealt.filter("low = high").select(F.explode("firsts").alias("stock_code"))
     counts = own.groupBy("stock_code").agg(F.count("*").alias("basket_count"))
-    apart = cells.select("low", "high", F.posexplode("firsts").alias("at", "first"), "others")
+    apart = dealt.select("low", "high", F.posexplode("firsts").alias("at", "first"), "others")
     later = F.when(c("low") == c("high"), F.slice("others", c("at") + 2, F.size("others"))).otherwise(c("others"))
     met = apart.select("first", F.explode(later).alias("other"))
     pairs = met.select(F.least("first", "other").alias("left_code"), F.greatest("first", "other").alias("right_code"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tillroll import fixed_values as fixed
 from tillroll.functions.numbers import round_ratio
-from tillroll.operators.basket import RULE_COLUMNS
+from tillroll.operators.basket import RULE_COLUMNS, small
 from tillroll.operators.serving import Marts
 from tillroll.sources.stage import materialise
 
@@ -126,6 +126,17 @@ def companions(
         .join(totals, "scope")
         .join(names, "anchor")
     )
+    return predictions(counted, requests, min_confidence)
+
+
+def least_pairs(total: Column) -> Column:
+    """Baskets that a companion must share with its anchor in a scope of `total` baskets."""
+    return F.greatest(F.lit(2), F.ceil(total * MIN_PREDICTION_SHARE))
+
+
+def predictions(counted: DataFrame, requests: DataFrame, min_confidence: float = MIN_PREDICTION_CONFIDENCE) -> DataFrame:
+    """Answers from counted companions, one row per (scope, anchor, stock_code, product_name) as the index has them."""
+    c = F.col
     asked = requests.select("*", c("segment_code").alias("scope"), c("product_code").alias("anchor"))
     frequent = Window.partitionBy("request_id").orderBy(F.desc("pair_baskets"), "stock_code", "product_name")
     confidence, support = c("pair_baskets") / c("anchor_baskets"), c("pair_baskets") / c("total")
@@ -135,7 +146,7 @@ def companions(
     strong = measured.filter(
         (c("_lift") >= c("min_lift"))
         & (c("_confidence") >= min_confidence)
-        & (c("pair_baskets") >= F.greatest(F.lit(2), F.ceil(c("total") * MIN_PREDICTION_SHARE)))
+        & (c("pair_baskets") >= least_pairs(c("total")))
     )
     numbered = strong.withColumn("position", F.row_number().over(frequent)).filter(c("position") <= c("max_results"))
     identifier = F.concat(F.lit("MODEL:"), "scope", F.lit(":"), "anchor", F.lit(">"), "stock_code")
@@ -168,7 +179,8 @@ def recommend(
     """Answers in order of preference: segment rules, rules of all customers, predictions for the
     segment, predictions for all customers. The first source with an answer serves the request.
 
-    Requests that ask the same are answered once and their answers joined back to the request ids.
+    Requests that ask the same are answered once and their answers joined back to the request ids. Predictions come from
+    the mart `companion_index` where there is one, else from the generated lines.
     """
     check_requests(requests)
     asked = [name for name in REQUEST_COLUMNS if name != "request_id"]
@@ -178,19 +190,23 @@ def recommend(
     all_scope = F.lit(fixed.ALL_SCOPE)
     narrow = questions.filter(F.coalesce(F.col("segment_code") != all_scope, F.lit(True)))
     widened = narrow.withColumn("segment_code", all_scope)
-    rules, lines = marts["association_rule"], marts.get("synthetic_transaction")
+    rules, lines, index = (marts.get(name) for name in ("association_rule", "synthetic_transaction", "companion_index"))
 
     own = match_rules(rules, questions, fixed.SOURCE_SEGMENT_RULE).withColumn("_source", F.lit(1))
     fallback = match_rules(rules, widened, fixed.SOURCE_GLOBAL_RULE).withColumn("_source", F.lit(2))
     ruled = materialise(own.unionByName(fallback), "answers-rules")
     answers = ruled
-    if lines is not None:
+    if lines is not None or index is not None:
         rest = materialise(questions.join(ruled.select("request_id"), "request_id", "left_anti"), "open-questions")
         wider = rest.filter(F.coalesce(F.col("segment_code") != all_scope, F.lit(True))).withColumn("segment_code", all_scope)
         both = rest.withColumn("_source", F.lit(3)).unionByName(wider.withColumn("_source", F.lit(4)))
         # One pass over the lines serves both scopes of a question, told apart by a suffix of its id.
         both = both.withColumn("request_id", F.concat_ws("/", "request_id", "_source"))
-        predicted = companions(lines, both.drop("_source"), min_prediction_confidence)
+        both = both.drop("_source")
+        if index is not None:
+            predicted = predictions(index, small(materialise(both, "index-questions")), min_prediction_confidence)
+        else:
+            predicted = companions(lines, both, min_prediction_confidence)
         parts = F.split("request_id", "/")
         predicted = predicted.withColumns({"_source": parts[1].cast("int"), "request_id": parts[0]})
         answers = materialise(ruled.unionByName(predicted), "answers")
