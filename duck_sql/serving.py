@@ -230,4 +230,7 @@ def statements() -> dict[str, str]:
         rest.format(name="wide2", replace=to_all, source="open2", where="segment_code <> 'ALL' AND", answers="predicted"),
         _companions("predicted_all", "wide2"),
     )
+    # From the companion index, the answers are the same.
+    for name in ("q_companions", "recommendations"):
+        sql[f"{name}_indexed"] = sql[name]
     return sql

@@ -15,9 +15,11 @@ from tests.conftest import rows
 from tillroll.config import AnalyticsConfig, AugmentationConfig, BasketConfig
 from tillroll.functions import random
 from tillroll.operators import generate, medians, profiles
+from tillroll.operators.companions import companion_index
 from tillroll.plans import jobs
 from tillroll.plans.registry import _items
 from tillroll.schemas import BASKET_ITEM_COLUMNS, MARTS
+from tillroll.sources.buckets import read_buckets
 from tillroll.sources.items import export_tsv, read_basket_items, read_segments
 from tillroll.sources.marts import read_manifest, read_marts
 
@@ -170,6 +172,9 @@ def test_augmented_rows_keep_their_origin(spark, scenario_items, segments, tmp_p
     real = back.filter("data_origin = 'REAL'").agg(F.max("generation_confidence"), F.max("source_segment_code")).first()
     assert tuple(real) == (1.0, None)
     assert read_manifest(spark, folder)["generation_batch_id"] == "TEST-BATCH"
+    index = read_buckets(spark, read_manifest(spark, folder)["companion_index"])
+    assert rows(index) == rows(companion_index(spark.read.parquet(manifest["synthetic_transactions"])))
+    assert index.filter("scope = 'ALL'").count() > 0
 
 
 def test_too_few_candidates_are_refused(scenario_items, segments):

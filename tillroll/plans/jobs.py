@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 from tillroll.config import AnalyticsConfig, AugmentationConfig, RfmConfig
 from tillroll.operators import audit, basket, carry, checks, generate, kpi, rfm
 from tillroll.operators import warehouse as wh
+from tillroll.operators.companions import companion_index
 from tillroll.operators.warehouse import positive_rows
 from tillroll.schemas import MARTS
+from tillroll.sources.buckets import write_buckets
 from tillroll.sources.items import export_tsv
 from tillroll.sources.marts import new_run, publish_marts, read_manifest, store_output, to_contract, write_manifest
 from tillroll.sources.raw import batch_id, ingest, read_period_csv, read_raw, reject_table, write_raw
@@ -206,7 +208,7 @@ def load_marts(spark: SparkSession, outputs: str, marts: str, synthetic: str | N
 def run_augmentation(
     items: DataFrame, segments: DataFrame, folder: str, cfg: AugmentationConfig | None = None
 ) -> dict:
-    """Generated lines, the augmented basket items and a manifest with the quality report.
+    """Generated lines, their companion index, the augmented basket items and a manifest with the quality report.
 
     `real_row_count` counts the rows as given, `clean_row_count` those that were positive and complete;
     `augmented_row_count` is the latter plus the generated lines.
@@ -222,6 +224,7 @@ def _run_augmentation(items: DataFrame, segments: DataFrame, folder: str, cfg: A
     clean = positive_rows(items)
     augmented = generate.augment(clean, lines, cfg.batch_id)
     export_tsv(augmented, f"{folder}/augmented_items")
+    index = write_buckets(companion_index(lines), f"{folder}/companion_index", ["scope", "anchor"])
     report = generate.quality_report(lines, cfg, context.anchor_count, context.product_count).first().asDict()
     clean_rows = clean.count()
     manifest = {
@@ -232,6 +235,7 @@ def _run_augmentation(items: DataFrame, segments: DataFrame, folder: str, cfg: A
         "augmented_row_count": clean_rows + report["synthetic_row_count"],
         "augmented_items": f"{folder}/augmented_items",
         "synthetic_transactions": f"{folder}/synthetic_transactions",
+        "companion_index": index,
     }
     write_manifest(spark, folder, manifest)
     return manifest

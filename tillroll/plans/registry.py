@@ -15,12 +15,14 @@ from tillroll.functions import standardise as std
 from tillroll.functions.numbers import round_ratio
 from tillroll.config import AugmentationConfig, BasketConfig
 from tillroll.operators import audit, basket, carry, checks, generate, kpi, profiles, recommend, rfm, serving, warehouse
+from tillroll.operators.companions import companion_index
 from tillroll.plans.monthly import MonthlyWarehouse, refresh_warehouse
 from tillroll.schemas import MARTS
 from tillroll.session import ensure_checkpoint_dir
 from tillroll.sources import items as item_files
 from tillroll.sources import raw as raw_files
 from tillroll.sources import sample_tables as sample
+from tillroll.sources.buckets import read_buckets, write_buckets
 from tillroll.sources.marts import contract_report, to_contract
 from tillroll.sources.stage import materialise
 
@@ -495,6 +497,28 @@ def q_companions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recommend.companions(lines, asked, _PREDICTION_CONFIDENCE)
 
 
+@query("q_companions_indexed")
+def q_companions_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items, segments, lines = _scenario(spark, sf_dir)
+    asked = materialise(sample.requests(items, segments), "requests")
+    return recommend.predictions(_index(lines), asked, _PREDICTION_CONFIDENCE)
+
+
+def _index(lines: DataFrame) -> DataFrame:
+    """The companion index as it is read again from its buckets."""
+    path = f"{ensure_checkpoint_dir(lines.sparkSession)}/companion-index-{uuid4().hex}"
+    return read_buckets(lines.sparkSession, write_buckets(companion_index(lines), path, ["scope", "anchor"]))
+
+
+@query("recommendations_indexed")
+def recommendations_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items, segments, lines = _scenario(spark, sf_dir)
+    rules = materialise(to_contract(basket.mine(items, segments, _RULES), MARTS["association_rule"]), "rules")
+    asked = materialise(sample.requests(items, segments, min_lift=1.1), "requests")
+    marts = {"association_rule": rules, "companion_index": _index(lines)}
+    return recommend.recommend(marts, asked, min_prediction_confidence=_PREDICTION_CONFIDENCE)
+
+
 @query("recommendations")
 def recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
     items, segments, lines = _scenario(spark, sf_dir)
