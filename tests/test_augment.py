@@ -130,7 +130,7 @@ def test_no_cell_holds_a_large_part_of_a_wide_invoices_pairs(spark):
     n = 20_000
     wide = spark.range(n).select(F.lit("W").alias("invoice_no"), F.format_string("P%05d", "id").alias("stock_code"))
     small = spark.range(300).select(F.format_string("S%d", F.col("id") % 100).alias("invoice_no"), F.format_string("P%05d", "id").alias("stock_code"))
-    cells = profiles._cells(wide.union(small), 256)
+    cells = profiles.cells(wide.union(small), 256)
     made = F.when(F.col("low") == F.col("high"), F.size("firsts") * (F.size("firsts") - 1) / 2).otherwise(F.size("firsts") * F.size("others"))
     rows = {r.invoice_no: r for r in cells.groupBy("invoice_no").agg(F.sum(made).alias("pairs"), F.max(made).alias("most"), F.count("*").alias("cells")).collect()}
     assert rows["W"].pairs == n * (n - 1) / 2 and rows["W"].most < 0.01 * rows["W"].pairs
