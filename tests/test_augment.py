@@ -146,6 +146,23 @@ def test_draws_are_digests_that_any_engine_can_state(spark):
     assert [r[0] for r in frame.select(random.below(F.lit(10), 42, "place", F.col("id"), F.col("text"))).collect()] == [int(u * 10) for u in drawn]
 
 
+def test_a_draw_looks_at_the_few_buckets_of_its_cell(spark):
+    buckets, numbers = 300, 2000
+    weights = {"A": [1 + n % 7 for n in range(buckets)], "B": [1] * 3 + [buckets]}
+    shares = {s: [sum(w[: n + 1]) / (sum(w) * 1.001) for n in range(len(w))] for s, w in weights.items()}
+    data = [(s, n, upto) for s, found in shares.items() for n, upto in enumerate(found)]
+    cells = generate._share_cells(spark.createDataFrame(data, "segment_code string, bucket bigint, upto double"), buckets)
+    lists = {(r["segment_code"], r["cell"]): r["buckets"] for r in cells.collect()}
+    assert len(lists) == 2 * buckets and max(map(len, lists.values())) <= 6
+    drawn = spark.range(numbers).select(F.explode(F.array(F.lit("A"), F.lit("B"))).alias("segment_code"), (F.col("id") / numbers).alias("u"))
+    drawn = drawn.withColumn("cell", generate._cell(F.col("u"), buckets)).join(cells, ["segment_code", "cell"])
+    found = drawn.select("segment_code", "u", random.pick(F.col("buckets"), F.col("u"))["bucket"].alias("bucket")).collect()
+    assert len(found) == 2 * numbers
+    for r in found:
+        own = shares[r["segment_code"]]
+        assert r["bucket"] == next((n for n, upto in enumerate(own) if upto > r["u"]), len(own) - 1)
+
+
 def test_exact_median_equals_statistics(spark):
     groups = {"one": [5], "two": [1, 2], "ties": [3] * 9 + [4], "wide": [-(10**12), 10**12, 7, 0], "many": [n * 7919 % 10**7 for n in range(501)]}
     df = spark.createDataFrame([(k, v) for k, values in groups.items() for v in values] + [("one", None)], "k string, v bigint")

@@ -35,7 +35,9 @@ def log_normal(mean: Column | float, sigma: float, seed: int, purpose: str, *key
 
 def pick(choices: Column, u: Column) -> Column:
     """First entry of an array of structs whose running share `upto` exceeds `u`, else the last."""
-    return F.coalesce(F.get(F.filter(choices, lambda entry: entry["upto"] > u), F.lit(0)), F.element_at(choices, -1))
+    # One-element transform: binds the number once instead of computing it for every entry.
+    beyond = F.transform(F.array(u), lambda bound: F.get(F.filter(choices, lambda entry: entry["upto"] > bound), F.lit(0)))[0]
+    return F.coalesce(beyond, F.element_at(choices, -1))
 
 
 def running_shares(entries: Column, weight: str) -> Column:

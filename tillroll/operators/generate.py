@@ -102,6 +102,8 @@ class Context:
     choices: DataFrame
     candidates: DataFrame
     segments: DataFrame
+    customer_buckets: DataFrame
+    bucket_count: int
     customer_strata: DataFrame
     customers: DataFrame
     max_basket_size: int
@@ -167,6 +169,30 @@ def _with_running_share(df: DataFrame, keys: list[str], order: str) -> DataFrame
     return df.withColumn("upto", upto / F.sum("weight").over(group))
 
 
+def _cell(share: Column, cells: int) -> Column:
+    return F.least(F.floor(share * cells), F.lit(cells - 1))
+
+
+def _share_cells(shares: DataFrame, cells: int) -> DataFrame:
+    """(segment_code, cell, buckets): the range of shares in `cells` equal parts, each with the buckets that reach into it.
+
+    `shares` has each bucket's running share `upto` within its segment. A draw looks at its own cell's few buckets only,
+    whatever their number; the last bucket reaches to the end, so a draw beyond all shares finds it.
+    """
+    c = F.col
+    in_order = Window.partitionBy("segment_code").orderBy("bucket")
+    reach = shares.select(
+        "segment_code",
+        "bucket",
+        "upto",
+        F.lag("upto", 1, 0.0).over(in_order).alias("since"),
+        F.lead("bucket").over(in_order).isNull().alias("is_last"),
+    )
+    until = F.when(c("is_last"), F.lit(cells - 1)).otherwise(_cell(c("upto"), cells))
+    apart = reach.select("segment_code", "bucket", "upto", F.explode(F.sequence(_cell(c("since"), cells), until)).alias("cell"))
+    return apart.groupBy("segment_code", "cell").agg(F.sort_array(F.collect_list(F.struct("bucket", "upto"))).alias("buckets"))
+
+
 def prepare_context(items: DataFrame, segments: DataFrame, cfg: AugmentationConfig) -> Context:
     """Profiles, relations, segment pools and budgets for the generator."""
     c = F.col
@@ -213,14 +239,12 @@ def prepare_context(items: DataFrame, segments: DataFrame, cfg: AugmentationConf
         F.sum("weight").alias("weight"),
     )
     per_bucket = materialise(per_bucket, "customer-buckets")
-    bucket_shares = _with_running_share(per_bucket, ["segment_code"], "bucket").groupBy("segment_code").agg(
-        F.sort_array(F.collect_list(F.struct("bucket", "upto"))).alias("buckets")
-    )
+    bucket_shares = _with_running_share(per_bucket, ["segment_code"], "bucket")
     segment_rows = (
         sizes.join(synthetic_pool(sizes, cfg.synthetic_customers), "segment_code")
-        .join(bucket_shares, "segment_code")
+        .join(per_bucket.select("segment_code").distinct(), "segment_code", "left_semi")
         .join(segment_budget.select("segment_code", c("budget").alias("segment_budget")), "segment_code", "left")
-        .select("segment_code", "pool_first", "pool_size", "segment_budget", "buckets")
+        .select("segment_code", "pool_first", "pool_size", "segment_budget")
     )
     candidates = materialise(_candidates(anchors, choices, related, best, goods, cfg), "candidates")
     largest = min(cfg.max_basket_size, product_count)
@@ -233,6 +257,8 @@ def prepare_context(items: DataFrame, segments: DataFrame, cfg: AugmentationConf
         choices=choices,
         candidates=candidates,
         segments=materialise(segment_rows, "segment-rows"),
+        customer_buckets=materialise(_share_cells(bucket_shares, buckets), "bucket-cells"),
+        bucket_count=buckets,
         customer_strata=per_bucket.select("segment_code", "bucket", "strata"),
         customers=customers,
         max_basket_size=largest,
@@ -245,15 +271,22 @@ def _draw_products(cfg: AugmentationConfig) -> Column:
     number, c = F.col("number"), F.col
 
     def draw(state: Column, turn: Column) -> Column:
-        at = rnd.below(F.least(F.size(state["rest"]), F.lit(_DRAW_FROM)), cfg.seed, "filler", number, turn)
-        rest = F.filter(state["rest"], lambda _, position: position != at)
-        taken = F.concat(state["taken"], F.slice(state["rest"], at.cast("int") + 1, 1))
-        return F.struct(rest.alias("rest"), taken.alias("taken"))
+        rest = state["rest"]
+
+        def take(at: Column) -> Column:
+            left = F.concat(F.slice(rest, F.lit(1), at), F.slice(rest, at + 2, F.size(rest)))
+            return F.struct(left.alias("rest"), F.concat(state["taken"], F.slice(rest, at + 1, F.lit(1))).alias("taken"))
+
+        at = rnd.below(F.least(F.size(rest), F.lit(_DRAW_FROM)), cfg.seed, "filler", number, turn).cast("int")
+        # One-element transform: binds the place once instead of drawing it for every use.
+        return F.transform(F.array(at), take)[0]
 
     first = F.slice("start", F.lit(1), c("size"))
     turns = F.slice(F.sequence(F.lit(0), F.lit(cfg.max_basket_size)), F.lit(1), F.greatest(F.lit(0), c("size") - F.size(first)))
-    state = F.struct(c("fillers").alias("rest"), first.alias("taken"))
-    return F.aggregate(turns, state, draw)["taken"]
+    # Places in the list of fillers are drawn, so that no draw copies the products themselves.
+    places = F.slice(F.sequence(F.lit(0), F.size("fillers")), F.lit(1), F.size("fillers"))
+    state = F.struct(places.alias("rest"), F.array().cast("array<int>").alias("taken"))
+    return F.concat(first, F.transform(F.aggregate(turns, state, draw)["taken"], lambda at: F.get(c("fillers"), at)))
 
 
 def generate_lines(spark: SparkSession, context: Context, cfg: AugmentationConfig) -> DataFrame:
@@ -272,8 +305,10 @@ def generate_lines(spark: SparkSession, context: Context, cfg: AugmentationConfi
     shared = ["number", "first_line", "size", "anchor_index", "segment_code"]
     fresh = baskets.filter(is_new).select(*shared, new_id.alias("customer_id"), c("segment_budget").alias("budget"))
 
-    drawn = baskets.filter(~is_new).select(
-        *shared, "segment_budget", rnd.pick(c("buckets"), rnd.uniform(seed, "bucket", number))["bucket"].alias("bucket")
+    drawn = baskets.filter(~is_new).select(*shared, "segment_budget", rnd.uniform(seed, "bucket", number).alias("u"))
+    drawn = drawn.withColumn("cell", _cell(c("u"), context.bucket_count))
+    drawn = drawn.join(small(context.customer_buckets), ["segment_code", "cell"]).select(
+        *shared, "segment_budget", rnd.pick(c("buckets"), c("u"))["bucket"].alias("bucket")
     )
     drawn = drawn.join(small(context.customer_strata), ["segment_code", "bucket"])
     drawn = drawn.withColumn("stratum", rnd.pick(c("strata"), rnd.uniform(seed, "stratum", number)))
