@@ -128,3 +128,19 @@ def test_numbers_are_dense_and_sets_merge(spark):
     sets = bitmaps.key_sets(ids, ["g"])
     count = lambda by: sorted(tuple(r) for r in bitmaps.merged_counts(sets, by).groupBy(*by).agg(F.sum("n")).collect())
     assert count(["g"]) == [("a", 4), ("b", 3)] and count([]) == [(5,)]
+
+
+def test_keys_of_one_country_and_month_fill_few_bitmaps(spark):
+    groups, each = 20, 5000
+    keys = spark.range(groups * each).select(
+        F.md5(F.col("id").cast("string")).alias("key"), F.when(F.col("id") % groups > 0, F.concat(F.lit("c"), F.col("id") % groups)).alias("country")
+    )
+    twice = keys.unionByName(keys.filter("country = 'c1'").withColumn("country", F.lit("c2")))  # the lower place counts
+    known = spark.createDataFrame([], "key string, key_id bigint")
+    found, total = bitmaps.new_numbers(twice, known, 10, per_bucket=700, near=("country",))
+    ids = keys.join(found, "key").groupBy("country").agg(F.min("key_id").alias("low"), F.max("key_id").alias("high"), F.count_distinct("key_id").alias("n"))
+    assert total == groups * each and all(r["high"] - r["low"] + 1 == r["n"] == each for r in ids.collect())
+    sets = bitmaps.key_sets(twice.join(found, "key"), ["country"])
+    assert sets.count() <= groups + total // 32768 + 2  # in any order of numbers: each group in each bitmap's range
+    assert bitmaps.merged_counts(sets, []).agg(F.sum("n")).first()[0] == total
+    assert found.join(keys.select("key"), "key", "left_anti").isEmpty()

@@ -14,28 +14,39 @@ from tillroll.sources.stage import materialise
 KEYS_PER_BUCKET = 50_000
 
 
-def new_numbers(keys: DataFrame, known: DataFrame, start: int, per_bucket: int = KEYS_PER_BUCKET) -> tuple[DataFrame, int]:
+def new_numbers(
+    keys: DataFrame, known: DataFrame, start: int, per_bucket: int = KEYS_PER_BUCKET, near: Sequence[str] = ()
+) -> tuple[DataFrame, int]:
     """(key, key_id) of the `keys` that `known` has not, numbered from `start` + 1 without a gap, and how many they are.
 
-    Keys are dealt to buckets by hash; the counts of the buckets before give a bucket's first number, so no task
-    orders all keys. Null is no key.
+    Keys with equal columns `near` (of several rows of a key, the lowest) get numbers next to each other: sets of such keys
+    then fill few bitmaps, where numbers in any order would spread each set over all bitmaps there are. `near` has few different values. The keys of
+    one place are dealt to buckets by hash; the counts of the buckets before give a bucket's first number, so no task orders all
+    keys. Null is no key.
     """
-    fresh = keys.select("key").dropna().distinct().join(known.select("key"), "key", "left_anti")
+    place = F.min(F.struct(*[F.coalesce(F.col(name).cast("string"), F.lit("")).alias(name) for name in near] or [F.lit("").alias("all")]))
+    fresh = keys.dropna(subset=["key"]).groupBy("key").agg(place.alias("place")).join(known.select("key"), "key", "left_anti")
     fresh = materialise(fresh, "new-keys")
-    total = fresh.count()
-    buckets = total // per_bucket + 1
-    dealt = fresh.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)))
-    sizes = dealt.groupBy("bucket").agg(F.count("*").alias("n"))
-    before = sizes.select("bucket", (F.sum("n").over(Window.orderBy("bucket")) - F.col("n")).alias("before"))
-    place = F.row_number().over(Window.partitionBy("bucket").orderBy("key"))
-    numbered = dealt.join(small(before, buckets), "bucket").withColumn("key_id", F.col("before") + place + start)
+    sizes = fresh.groupBy("place").agg(F.count("*").alias("n"))
+    sizes = materialise(sizes.withColumn("parts", F.floor(F.col("n") / per_bucket) + 1), "key-places")
+    total, places = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    dealt = fresh.join(small(sizes.select("place", "parts"), places), "place")
+    dealt = dealt.select("place", "key", F.pmod(F.xxhash64("key"), F.col("parts")).alias("part"))
+    counts = materialise(dealt.groupBy("place", "part").agg(F.count("*").alias("n")), "key-buckets")
+    before = counts.select("place", "part", (F.sum("n").over(Window.orderBy("place", "part")) - F.col("n")).alias("before"))
+    nth = F.row_number().over(Window.partitionBy("place", "part").orderBy("key"))
+    numbered = dealt.join(small(before, counts.count()), ["place", "part"]).withColumn("key_id", F.col("before") + nth + start)
     return numbered.select("key", F.col("key_id").cast("bigint").alias("key_id")), total
 
 
 def key_sets(rows: DataFrame, by: Sequence[str]) -> DataFrame:
-    """(by…, bucket, keys): the `key_id`s of each group as bitmaps of 32,768 numbers each. Repeated ids count once."""
-    bit = F.bitmap_bit_position("key_id")
-    return rows.groupBy(*by, F.bitmap_bucket_number("key_id").alias("bucket")).agg(F.bitmap_construct_agg(bit).alias("keys"))
+    """(by…, bucket, keys): the `key_id`s of each group as bitmaps of 32,768 numbers each. Repeated ids count once.
+
+    Ids are shuffled and not bitmaps, of which every task would make its own with few numbers in each.
+    """
+    numbers = rows.select(*by, F.bitmap_bucket_number("key_id").alias("bucket"), F.bitmap_bit_position("key_id").alias("_bit"))
+    dealt = numbers.repartition(*by, "bucket")
+    return dealt.groupBy(*by, "bucket").agg(F.bitmap_construct_agg("_bit").alias("keys"))
 
 
 def merged_counts(sets: DataFrame, by: Sequence[str], name: str = "n") -> DataFrame:

@@ -86,6 +86,8 @@ def customers(fact: DataFrame) -> DataFrame:
 
 
 _GROUP = [MONTH, "country", "quality_status", "is_valid_analysis"]
+# Keys of one country and first month are numbered next to each other.
+NEAR = ("country", MONTH)
 
 
 def totals(fact: DataFrame) -> DataFrame:

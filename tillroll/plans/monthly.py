@@ -94,7 +94,7 @@ def _number(spark: SparkSession, fact: DataFrame, folder: str, version: str, bef
     fresh, counts = [], {}
     for kind in refresh.KINDS:
         start = before["numbers"].get(kind, 0)
-        found, n = new_numbers(refresh.keys_of(fact, kind), known.filter(F.col("kind") == kind), start)
+        found, n = new_numbers(refresh.keys_of(fact, kind), known.filter(F.col("kind") == kind), start, near=refresh.NEAR)
         fresh.append(found.select(F.lit(kind).alias("kind"), "key", "key_id"))
         counts[kind] = start + n
     path = f"{folder}/dictionary/{version}"
