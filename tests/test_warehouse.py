@@ -3,6 +3,7 @@ from __future__ import annotations
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tillroll.operators import audit, checks, kpi, warehouse
@@ -50,6 +51,18 @@ def test_status_and_flag(classify, fields, status, valid):
     assert (row.quality_status, row.is_valid_analysis) == (status, valid)
 
 
+def test_conditions_of_valid_lines_are_checked_where_columns_are_read(spark):
+    """Each condition on its own table, below the join, and no line without a number counts as valid."""
+    left = spark.createDataFrame([("1", "1", "2"), ("C2", "1", "2"), ("3", "1", None), ("4", "1", "abc")], "invoice_no string, k string, quantity string")
+    right = spark.createDataFrame([("1", "2.5", "A"), ("1", None, "B"), ("1", "1", None)], "k string, unit_price string, stock_code string")
+    rest = {"source_year": "2010", "description": "n", "invoice_ts": "2010-01-05 10:00:00", "customer_id": "c", "country": "UK", "ingest_batch_id": "B"}
+    raw = left.join(right, "k").select("*", *[F.lit(text).alias(name) for name, text in rest.items()]).select(*RAW.names)
+    kept = warehouse.valid_rows(warehouse.clean(raw)).select("invoice_no", "stock_code", "quantity", "unit_price")
+    assert [tuple(r) for r in kept.collect()] == [("1", "A", 2, Decimal("2.5000"))]
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert "<=> true" not in plan and plan.count("Filter") == 2 and plan.index("Join") < plan.index("Filter")
+
+
 def test_typed_columns(classify, spark):
     row = classify(invoice=" 7 ", quantity="12.0", price="1.23456", ts=" 2010-01-05 10:00:00 ")
     assert (row.invoice_no, row.quantity, row.unit_price) == ("7", 12, Decimal("1.2346"))
