@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 
 import pandas as pd
 import pytest
@@ -70,6 +71,18 @@ def test_a_million_equal_values(spark):
     assert "rangepartitioning" not in plan
 
 
+def test_decimals_that_are_one_double_are_scored_in_their_own_order(spark):
+    """Scores compare doubles first; values that differ beyond a double's digits still fall apart, ties by text."""
+    base = Decimal("12345678901234567890.0000")
+    values = [base + Decimal(i // 2) / 10_000 for i in range(20)]
+    assert len({float(v) for v in values}) == 1
+    df = spark.createDataFrame([("a", f"{i:02}", v, i // 8) for i, v in enumerate(values)], "g string, k string, v decimal(30,4), n bigint")
+    scored = ranking.score(df.repartition(4), {"s": ("v", True), "t": ("n", False)}, 5, "g", "k")
+    places = [pd.cut(pd.Series(range(1, 21)), [-1, 4.8, 8.6, 12.4, 16.2, 20], labels=False) + 1][0]
+    assert [(r.s, r.t) for r in scored.orderBy("k").collect()] == [(p, 6 - p) for p in places]
+    assert "struct" in scored._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_scores_of_snapshots_with_heavy_ties(spark, sf_dir):
     scored = rfm.snapshots(_items(spark, sf_dir)).toPandas()
     for _, day in scored.groupby("snapshot_date"):
