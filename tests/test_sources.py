@@ -87,6 +87,14 @@ def test_decimal(spark, text, expected):
         assert expected == format(Decimal(text), "f")
 
 
+@pytest.mark.parametrize(("text", "expected"), [("7\n", "7"), (" 1.5", "1.5"), ("-05", "-5"), ("-0", "-0"), ("1.2.3", None), ("n/a", None)])
+def test_decimal_as_it_stands_or_tidied(spark, text, expected):
+    """A tidy number is taken as it stands by a first look; all else goes the long way."""
+    assert apply(spark, lambda c: std.norm_decimal(c, "null"), text, T.StringType()) == expected
+    taken = std.norm_decimal(F.col("x"), "null")._jc.toString()
+    assert taken.startswith("CASE WHEN RLIKE(")
+
+
 def test_decimal_error_modes(spark):
     assert apply(spark, lambda c: std.norm_decimal(c, "null"), "abc", T.StringType()) is None
     with pytest.raises(Exception, match="Invalid decimal value: abc"):

@@ -11,6 +11,7 @@ WHITE_SPACE = r"[\t\n\x0B\f\r\x1C-\x20\x85\xA0\x{1680}\x{2000}-\x{200A}\x{2028}\
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FLOATING = (T.FloatType, T.DoubleType)
+_TIDY = r"^-?(0|[1-9]\d*)(\.\d+)?\z"
 _PLAIN = r"^[+-]?(\d+\.?\d*|\.\d+)$"
 _EXPONENT = r"^[+-]?(\d+\.?\d*|\.\d+)[eE][+-]?\d+$"
 
@@ -90,8 +91,11 @@ def norm_decimal(value: Column, on_error: str = "raise", data_type: T.DataType |
         if on_error == "null"
         else F.raise_error(F.concat(F.lit("Invalid decimal value: "), text)).cast("string")
     )
+    # Most texts are plain numbers as they stand; one look at them spares the replacements.
+    given = value.cast("string")
     return (
-        F.when(text == "", F.lit(""))
+        F.when(given.rlike(_TIDY), given)
+        .when(text == "", F.lit(""))
         .when(text.rlike(_PLAIN), _tidy(text))
         .when(text.rlike(_EXPONENT), _write_out(text))
         .otherwise(bad)
