@@ -80,7 +80,7 @@ def test_decimals_that_are_one_double_are_scored_in_their_own_order(spark):
     scored = ranking.score(df.repartition(4), {"s": ("v", True), "t": ("n", False)}, 5, "g", "k")
     places = [pd.cut(pd.Series(range(1, 21)), [-1, 4.8, 8.6, 12.4, 16.2, 20], labels=False) + 1][0]
     assert [(r.s, r.t) for r in scored.orderBy("k").collect()] == [(p, 6 - p) for p in places]
-    assert "struct" in scored._jdf.queryExecution().optimizedPlan().toString()
+    assert "< _own0#" in scored._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_scores_of_snapshots_with_heavy_ties(spark, sf_dir):

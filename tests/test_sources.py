@@ -92,7 +92,7 @@ def test_decimal_as_it_stands_or_tidied(spark, text, expected):
     """A tidy number is taken as it stands by a first look; all else goes the long way."""
     assert apply(spark, lambda c: std.norm_decimal(c, "null"), text, T.StringType()) == expected
     taken = std.norm_decimal(F.col("x"), "null")._jc.toString()
-    assert taken.startswith("CASE WHEN RLIKE(")
+    assert taken.startswith("CASE WHEN rlike(")
 
 
 def test_decimal_error_modes(spark):
