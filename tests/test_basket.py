@@ -205,3 +205,36 @@ def test_periods_mined_together_equal_periods_mined_alone(spark, sf_dir):
     together = basket.mine_periods(early, late, cfg)
     assert rows(together[0]) == rows(basket.mine(early, cfg=cfg))
     assert rows(together[1]) == rows(basket.mine(late, cfg=cfg))
+
+
+def exchanges(df):
+    """Shuffles in the plan of a frame that has not run."""
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_lines_are_shuffled_once_by_invoice(make_items):
+    items = materialise(to_items(make_items, ["AB", "ABC"]), "items")
+    assert exchanges(basket.prepare(items)) == 1
+
+
+def test_baskets_of_customers_in_several_segments(make_items, spark):
+    """One basket with parts of two segments, against itemsets that are listed scope by scope."""
+    stamp = dt.datetime(2021, 1, 1)
+    content = [("I0", "K1", "ABC"), ("I0", "K2", "CEF"), ("I1", "K1", "ABE"), ("I2", "K2", "ABEF"), ("I3", "K2", "EF"), ("I4", "K3", "ABF"), ("I5", "K4", "AF"), ("I6", "K1", "A")]
+    items = make_items([(i, k, stamp, s, s.lower(), 1, 1) for i, k, codes in content for s in codes])
+    data = [("K1", "NEW", "new"), ("K2", "LOYAL", "loyal"), ("K3", "LOST", "lost")]
+    segments = spark.createDataFrame(data, "customer_id string, segment_code string, segment_name string")
+    cfg = BasketConfig(global_min_support=0.2, segment_min_support=0.4, min_segment_baskets=2)
+    scopes = basket.scope_table(items, segments, cfg)
+    prepared = basket.prepared_baskets(items, segments, cfg)
+    products = materialise(basket.scope_products(basket.lines_of(prepared), basket.basket_counts(prepared, scopes, cfg), cfg), "products")
+    baskets = materialise(basket.scope_baskets(basket.lines_of(prepared), products), "baskets")
+    found = defaultdict(dict)
+    for r in basket.named_itemsets(basket.itemsets(baskets, basket.basket_sizes(baskets, scopes), cfg), basket.product_catalog(baskets, products)).collect():
+        found[r.scope][tuple(r.codes.split("|"))] = r.support_count
+    # The lowest customer of an invoice and product has it; single products of a segment's part count for the segment.
+    whole = ["ABCEF", "ABE", "ABEF", "EF", "ABF", "AF"]
+    loose = replace(cfg, min_basket_size=1, global_min_support=cfg.segment_min_support)
+    assert found == {"ALL": brute_itemsets(whole, cfg), "NEW": brute_itemsets(["ABC", "ABE"], loose), "LOYAL": brute_itemsets(["EF", "ABEF", "EF"], loose)}
+    lines = Counter(r.scope for r in basket.scoped_lines(items, segments, cfg).collect())
+    assert lines == {"ALL": 19, "NEW": 6, "LOYAL": 8}

@@ -52,16 +52,23 @@ def small(df: DataFrame, rows: int | None = None) -> DataFrame:
 # --- preparation ----------------------------------------------------------------------------------
 
 
-def prepare(items: DataFrame, min_basket: int = 2, keys: tuple[str, ...] = ("invoice_no",)) -> DataFrame:
-    """One row per (basket, product) of merchandise, in baskets with enough distinct products.
+def contents(items: DataFrame, min_basket: int = 2, keys: tuple[str, ...] = ("invoice_no",), more: tuple[str, ...] = ()) -> DataFrame:
+    """Keys and `content`, an array of (stock_code, customer_id, product_name, further columns): one row per basket.
 
-    Where an invoice holds a product for several customers, the lowest (customer, name) is kept.
+    Merchandise only, in code order, in baskets with enough distinct products. Where an invoice holds a product for
+    several customers, the lowest (customer, name) is kept. Lines are shuffled once.
     """
-    first = F.min(F.struct("customer_id", "product_name")).alias("first")
-    lines = merchandise(items).groupBy(*keys, "stock_code").agg(first)
-    sizes = lines.groupBy(*keys).agg(F.count("*").alias("products")).filter(F.col("products") >= min_basket)
-    kept = lines.join(sizes, list(keys), "left_semi")
-    return kept.select(*keys, "first.customer_id", "stock_code", "first.product_name")
+    lines = merchandise(items).dropna(subset=list(keys)).repartition(*keys)
+    first = F.min(F.struct("customer_id", "product_name", *more)).alias("first")
+    place = F.struct("stock_code", "first.*")
+    baskets = lines.groupBy(*keys, "stock_code").agg(first).groupBy(*keys).agg(F.sort_array(F.collect_list(place)).alias("content"))
+    return baskets.filter(F.size("content") >= min_basket)
+
+
+def prepare(items: DataFrame, min_basket: int = 2, keys: tuple[str, ...] = ("invoice_no",)) -> DataFrame:
+    """One row per (basket, product) of the contents of baskets."""
+    apart = contents(items, min_basket, keys).select(*keys, F.inline("content"))
+    return apart.select(*keys, "customer_id", "stock_code", "product_name")
 
 
 def one_segment(segments: DataFrame) -> DataFrame:
@@ -70,15 +77,6 @@ def one_segment(segments: DataFrame) -> DataFrame:
     return segments.groupBy("customer_id").agg(pick).select("customer_id", "pick.segment_code", "pick.segment_name")
 
 
-def expand_scopes(lines: DataFrame, segments: DataFrame | None) -> DataFrame:
-    """Lines once under the scope of all customers and once under their customer's segment."""
-    if segments is None:
-        return lines.select(F.lit(ALL_SCOPE).alias("scope"), *lines.columns)
-    tagged = lines.join(one_segment(segments), "customer_id", "left")
-    scopes = F.array_compact(F.array(F.lit(ALL_SCOPE), F.col("segment_code")))
-    return tagged.select(F.explode(scopes).alias("scope"), *lines.columns)
-
-
 def scope_table(df: DataFrame, segments: DataFrame | None, cfg: BasketConfig) -> DataFrame:
     """Scope, segment code and name, and minimum support, stored: one row per segment and one for all customers."""
     everyone = df.sparkSession.range(1).select(
@@ -94,27 +92,61 @@ def scope_table(df: DataFrame, segments: DataFrame | None, cfg: BasketConfig) ->
     return materialise(everyone.unionByName(named), "scopes")
 
 
-def scope_sizes(lines: DataFrame, scopes: DataFrame) -> DataFrame:
-    """Scopes with their number of baskets."""
-    sizes = lines.groupBy("scope").agg(F.count_distinct("invoice_no").alias("baskets"))
-    return sizes.join(small(scopes), "scope")
+def prepared_baskets(items: DataFrame, segments: DataFrame | None, cfg: BasketConfig) -> DataFrame:
+    """(scope, invoice_no, content), stored: the baskets of all customers, with each customer's segment as `own_scope` in
+    `content`.
+
+    Segments are joined to the lines before these are shuffled by invoice; every step up to the kept baskets then reads one
+    row per basket, not one per basket and scope.
+    """
+    lines = items.select("invoice_no", "customer_id", "stock_code", "product_name")
+    if segments is not None:
+        lines = lines.join(one_segment(segments).select("customer_id", F.col("segment_code").alias("own_scope")), "customer_id", "left")
+    baskets = contents(with_own_scope(lines), cfg.min_basket_size, more=("own_scope",))
+    return materialise(baskets.select(F.lit(ALL_SCOPE).alias("scope"), "invoice_no", "content"), "prepared-baskets")
+
+
+def with_own_scope(lines: DataFrame) -> DataFrame:
+    """Lines that have a second scope, null where there is none."""
+    return lines if "own_scope" in lines.columns else lines.withColumn("own_scope", F.lit(None).cast("string"))
+
+
+def lines_of(baskets: DataFrame) -> DataFrame:
+    """One row per basket and product."""
+    return baskets.select("scope", "invoice_no", F.inline("content"))
 
 
-def drop_small_segments(lines: DataFrame, segments: DataFrame, min_segment_baskets: int) -> DataFrame:
-    """Customers' segments that have enough baskets among prepared lines."""
-    picked = one_segment(segments)
-    sizes = lines.join(picked, "customer_id").groupBy("segment_code").agg(F.count_distinct("invoice_no").alias("_baskets"))
-    large = materialise(sizes.filter(F.col("_baskets") >= min_segment_baskets).select("segment_code"), "large-segments")
-    return picked.join(small(large), "segment_code", "left_semi")
+def own_sizes(baskets: DataFrame, cfg: BasketConfig) -> DataFrame:
+    """Segments with enough baskets and their number of baskets."""
+    codes = F.array_distinct(F.array_compact("content.own_scope"))
+    sizes = baskets.select(F.explode(codes).alias("scope")).groupBy("scope").agg(F.count("*").alias("baskets"))
+    return sizes.filter(F.col("baskets") >= cfg.min_segment_baskets)
+
+
+def basket_counts(baskets: DataFrame, scopes: DataFrame, cfg: BasketConfig) -> DataFrame:
+    """Scopes that are mined with their number of baskets, from prepared baskets."""
+    sizes = baskets.groupBy("scope").agg(F.count("*").alias("baskets"))
+    return sizes.unionByName(own_sizes(baskets, cfg)).join(small(scopes), "scope")
 
 
 def scoped_lines(items: DataFrame, segments: DataFrame | None, cfg: BasketConfig) -> DataFrame:
     """Prepared lines under every scope that is mined."""
-    lines = prepare(items, cfg.min_basket_size)
-    if segments is None:
-        return expand_scopes(lines, None)
-    lines = materialise(lines, "prepared-lines")
-    return expand_scopes(lines, drop_small_segments(lines, segments, cfg.min_segment_baskets))
+    return expand_scopes(prepared_baskets(items, segments, cfg), cfg)
+
+
+def expand_scopes(baskets: DataFrame, cfg: BasketConfig) -> DataFrame:
+    """Lines of prepared baskets once under the scope of all customers and once under their own, if that is mined."""
+    columns = ["scope", "invoice_no", "customer_id", "stock_code", "product_name"]
+    lines = lines_of(baskets)
+    mined = small(materialise(own_sizes(baskets, cfg).select("scope"), "mined-segments"))
+    own = lines.drop("scope").withColumnRenamed("own_scope", "scope").join(mined, "scope", "left_semi")
+    return lines.select(*columns).unionByName(own.select(*columns))
+
+
+def scope_sizes(lines: DataFrame, scopes: DataFrame) -> DataFrame:
+    """Scopes with their number of baskets, from lines."""
+    sizes = lines.groupBy("scope").agg(F.count_distinct("invoice_no").alias("baskets"))
+    return sizes.join(small(scopes), "scope")
 
 
 def scope_products(lines: DataFrame, sizes: DataFrame, cfg: BasketConfig) -> DataFrame:
@@ -123,7 +155,9 @@ def scope_products(lines: DataFrame, sizes: DataFrame, cfg: BasketConfig) -> Dat
     The coverage bounds them: at most mean basket width over minimum support, so a window per scope is short.
     """
     needed = F.greatest(F.lit(2), F.ceil(F.col("baskets") * F.col("min_support")))
-    coverage = lines.groupBy("scope", "stock_code").agg(F.count("*").alias("coverage"))
+    both = F.explode(F.array_compact(F.array("scope", "own_scope"))).alias("scope")
+    counts = with_own_scope(lines).groupBy("scope", "own_scope", "stock_code").agg(F.count("*").alias("lines"))
+    coverage = counts.select(both, "stock_code", "lines").groupBy("scope", "stock_code").agg(F.sum("lines").alias("coverage"))
     enough = coverage.join(sizes, "scope").filter((F.col("baskets") >= 2) & (F.col("coverage") >= needed))
     if cfg.max_products is not None:
         popular = Window.partitionBy("scope").orderBy(F.desc("coverage"), "stock_code")
@@ -133,10 +167,26 @@ def scope_products(lines: DataFrame, sizes: DataFrame, cfg: BasketConfig) -> Dat
 
 
 def scope_baskets(lines: DataFrame, products: DataFrame) -> DataFrame:
-    """Baskets that hold at least two of the stored kept products, as arrays of (item number, name) in code order."""
-    numbered = lines.join(small(products.select("scope", "stock_code", "item")), ["scope", "stock_code"])
-    content = F.sort_array(F.collect_list(F.struct("item", "product_name"))).alias("content")
-    return numbered.groupBy("scope", "invoice_no").agg(content).filter(F.size("content") >= 2)
+    """Baskets that hold at least two of the stored kept products, as arrays of (item number, name) in code order.
+
+    A line is shuffled once with its numbers in both its scopes; a basket is then dealt out to the scopes it holds.
+    """
+    c = F.col
+    numbers = products.select("scope", "stock_code", "item")
+    own = numbers.select(c("scope").alias("own_scope"), "stock_code", c("item").alias("own_item"))
+    numbered = with_own_scope(lines).join(small(numbers), ["scope", "stock_code"], "left")
+    numbered = numbered.join(small(own), ["own_scope", "stock_code"], "left").filter(F.coalesce("item", "own_item").isNotNull())
+    place = F.struct("item", "own_item", F.when(c("own_item").isNotNull(), c("own_scope")).alias("own_scope"), "product_name")
+    held = numbered.groupBy("scope", "invoice_no").agg(F.collect_list(place).alias("held"))
+    whole = F.struct("scope", F.filter("held", lambda at: at["item"].isNotNull()).alias("held"))
+    parts = F.transform(
+        F.array_distinct(F.array_compact("held.own_scope")),
+        lambda part: F.struct(part.alias("scope"), F.filter("held", lambda at: at["own_scope"] == part).alias("held")),
+    )
+    dealt = held.select("invoice_no", c("scope").alias("of"), F.inline(F.concat(F.array(whole), parts)))
+    item = lambda at: F.when(c("scope") == c("of"), at["item"]).otherwise(at["own_item"])
+    named = F.transform("held", lambda at: F.struct(item(at).alias("item"), at["product_name"].alias("product_name")))
+    return dealt.filter(F.size("held") >= 2).select("scope", "invoice_no", F.sort_array(named).alias("content"))
 
 
 def product_catalog(baskets: DataFrame, products: DataFrame) -> DataFrame:
@@ -180,17 +230,17 @@ def itemsets(baskets: DataFrame, sizes: DataFrame, cfg: BasketConfig, width: int
 
     Level by level. A basket becomes one row per (first item, later items), so a wide basket does not
     stay in one row; one of over `width` items is dealt out as a grid of blocks first. Each level keeps, per row, only
-    the later items that form a frequent pair with every item chosen so far; an item has at most mean basket width over
-    minimum support of those. Counting combines on the map side, so distinct itemsets are shuffled and not
+    the later items that form a frequent pair with every item chosen before the last; an item has at most mean basket
+    width over minimum support of those. Items are grouping columns of their own until an itemset is frequent. Counting combines on the map side, so distinct itemsets are shuffled and not
     occurrences. `sizes` is stored.
     """
     c = F.col
     few_sizes = small(sizes)
 
-    def frequent(occurrences: DataFrame, itemset: Column, label: str) -> DataFrame:
-        counts = occurrences.groupBy("scope", itemset.alias("itemset")).agg(F.count("*").alias("support_count"))
+    def frequent(occurrences: DataFrame, keys: list[str], itemset: Column, label: str) -> DataFrame:
+        counts = occurrences.groupBy("scope", *keys).agg(F.count("*").alias("support_count"))
         enough = counts.join(few_sizes, "scope").filter(c("support_count") >= c("needed"))
-        return materialise(enough.select("scope", "itemset", "support_count", "baskets"), label)
+        return materialise(enough.select("scope", itemset.alias("itemset"), "support_count", "baskets"), label)
 
     def step(rows: DataFrame, *chosen: str) -> DataFrame:
         """Each later item becomes the chosen one, with the items after it as the later ones."""
@@ -203,11 +253,11 @@ def itemsets(baskets: DataFrame, sizes: DataFrame, cfg: BasketConfig, width: int
     every = starts.withColumn("own", F.lit(True)).unionByName(wide.drop("invoice_no"))
     one = F.array(c("item"))
     if cfg.max_itemset_length == 1:
-        return frequent(every.filter("own"), one, "itemsets-1")
-    # One row per chosen item counts the item itself and its pairs with the later items.
-    alone = F.when(c("own"), F.array(one)).otherwise(F.array().cast("array<array<int>>"))
-    with_pairs = F.concat(alone, F.transform("later", lambda other: F.array(c("item"), other)))
-    short = frequent(every.select("scope", F.explode(with_pairs).alias("itemset")), c("itemset"), "itemsets-2")
+        return frequent(every.filter("own"), ["item"], one, "itemsets-1")
+    # One row per chosen item counts the item itself, as 0, and its pairs with the later items.
+    others = F.when(c("own"), F.concat(F.array(F.lit(0)), "later")).otherwise(c("later"))
+    itemset = F.when(c("other") == 0, one).otherwise(F.array("item", "other"))
+    short = frequent(every.select("scope", "item", F.explode(others).alias("other")), ["item", "other"], itemset, "itemsets-2")
     found = [short]
     if cfg.max_itemset_length >= 3:
         pairs = short.filter(F.size("itemset") == 2)
@@ -217,16 +267,17 @@ def itemsets(baskets: DataFrame, sizes: DataFrame, cfg: BasketConfig, width: int
         # The parts of a wide basket are put together again once frequent pairs have thinned them out.
         parts = wide.join(near, ["scope", "item"]).select("scope", "invoice_no", "item", partners)
         whole = parts.groupBy("scope", "invoice_no", "item").agg(F.sort_array(F.flatten(F.collect_list("later"))).alias("later"))
-        grown = starts.join(near, ["scope", "item"]).select("scope", F.array("item").alias("chosen"), partners)
-        grown = grown.unionByName(whole.select("scope", F.array("item").alias("chosen"), "later"))
+        grown = starts.filter(F.size("later") >= 2).join(near, ["scope", "item"]).select("scope", c("item").alias("item_1"), partners)
+        grown = grown.unionByName(whole.select("scope", c("item").alias("item_1"), "later"))
     for length in range(3, cfg.max_itemset_length + 1):
-        # The item just chosen narrows the later items to its own frequent partners.
-        narrowed = step(grown, "chosen").filter(F.size("later") > 0).join(near, ["scope", "item"])
-        grown = narrowed.select(
-            "scope", F.concat("chosen", F.array("item")).alias("chosen"), F.array_intersect("later", "near").alias("later")
-        )
-        longer = grown.select("scope", "chosen", F.explode("later").alias("item"))
-        found.append(frequent(longer, F.concat("chosen", F.array("item")), f"itemsets-{length}"))
+        chosen = [f"item_{at}" for at in range(1, length)]
+        grown = step(grown.filter(F.size("later") >= 2), *chosen[:-1]).filter(F.size("later") > 0).withColumnRenamed("item", chosen[-1])
+        counted = grown.select("scope", *chosen, F.explode("later").alias("last"))
+        found.append(frequent(counted, [*chosen, "last"], F.array(*chosen, "last"), f"itemsets-{length}"))
+        if length < cfg.max_itemset_length:
+            # The item just chosen narrows the later items to its own frequent partners.
+            grown = grown.withColumnRenamed(chosen[-1], "item").join(near, ["scope", "item"])
+            grown = grown.select("scope", *chosen[:-1], c("item").alias(chosen[-1]), partners)
     return reduce(DataFrame.unionByName, found)
 
 
@@ -308,9 +359,10 @@ def top_rules(measured: DataFrame, scopes: DataFrame, limit: int | None = None)
     ).select("scope", *RULE_COLUMNS)
 
 
-def mine_lines(lines: DataFrame, scopes: DataFrame, cfg: BasketConfig, limit: int | None = None) -> DataFrame:
-    """Rules of every scope of prepared lines."""
-    products = materialise(scope_products(lines, scope_sizes(lines, scopes), cfg), "scope-products")
+def mine_contents(prepared: DataFrame, scopes: DataFrame, cfg: BasketConfig, limit: int | None = None) -> DataFrame:
+    """Rules of every scope of prepared baskets."""
+    lines = lines_of(prepared)
+    products = materialise(scope_products(lines, basket_counts(prepared, scopes, cfg), cfg), "scope-products")
     baskets = materialise(scope_baskets(lines, products), "scope-baskets")
     sizes = materialise(basket_sizes(baskets, scopes), "basket-sizes")
     frequent = with_texts(itemsets(baskets, sizes, cfg), product_catalog(baskets, products))
@@ -323,8 +375,8 @@ def mine(
 ) -> DataFrame:
     """Rules for all customers and, with `segments`, for every segment, in one keyed pass."""
     cfg = cfg or BasketConfig()
-    lines = materialise(scoped_lines(items, segments, cfg), "mined-lines")
-    return mine_lines(lines, scope_table(items, segments, cfg), cfg, limit).select(*RULE_COLUMNS)
+    prepared = prepared_baskets(items, segments, cfg)
+    return mine_contents(prepared, scope_table(items, segments, cfg), cfg, limit).select(*RULE_COLUMNS)
 
 
 # --- drift ----------------------------------------------------------------------------------------
@@ -338,11 +390,12 @@ def mine_periods(previous: DataFrame, current: DataFrame, cfg: BasketConfig | No
     cfg = cfg or BasketConfig()
     periods = {"previous": previous, "current": current}
     both = [df.withColumn("scope", F.lit(name)) for name, df in periods.items()]
-    lines = prepare(reduce(DataFrame.unionByName, both), cfg.min_basket_size, ("scope", "invoice_no"))
+    lines = with_own_scope(reduce(DataFrame.unionByName, both))
+    prepared = contents(lines, cfg.min_basket_size, ("scope", "invoice_no"), ("own_scope",))
     cfg = replace(cfg, top_rules_per_scope=None)
     everyone = scope_table(previous, None, cfg)
     scopes = everyone.withColumn("scope", F.explode(F.array(*[F.lit(name) for name in periods])))
-    found = materialise(mine_lines(materialise(lines, "period-lines"), scopes, cfg), "period-rules")
+    found = materialise(mine_contents(materialise(prepared, "period-baskets"), scopes, cfg), "period-rules")
     before, after = (found.filter(F.col("scope") == name).select(*RULE_COLUMNS) for name in periods)
     return before, after
 

@@ -339,12 +339,12 @@ Mining = tuple[DataFrame, DataFrame, DataFrame]
 
 
 def _mining(spark: SparkSession, sf_dir: str) -> Mining:
-    """Lines of all scopes, the scope table and the kept products."""
+    """Prepared baskets, the scope table and the kept products."""
     items = _items(spark, sf_dir)
     segments = _segments(spark, sf_dir, items)
-    lines = basket.scoped_lines(items, segments, _RULES)
+    prepared = basket.prepared_baskets(items, segments, _RULES)
     scopes = basket.scope_table(items, segments, _RULES)
-    return lines, scopes, basket.scope_products(lines, basket.scope_sizes(lines, scopes), _RULES)
+    return prepared, scopes, basket.scope_products(basket.lines_of(prepared), basket.basket_counts(prepared, scopes, _RULES), _RULES)
 
 
 @query("basket_items")
@@ -354,8 +354,8 @@ def basket_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("basket_scopes")
 def basket_scopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines, scopes, _ = _mining(spark, sf_dir)
-    named = lines.join(scopes.select("scope", F.col("segment_name").alias("scope_name")), "scope")
+    prepared, scopes, _ = _mining(spark, sf_dir)
+    named = basket.expand_scopes(prepared, _RULES).join(scopes.select("scope", F.col("segment_name").alias("scope_name")), "scope")
     return named.select("scope", "scope_name", "invoice_no", "customer_id", "stock_code", "product_name")
 
 
@@ -365,9 +365,9 @@ def scope_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _baskets(spark: SparkSession, sf_dir: str) -> Mining:
-    lines, scopes, products = _mining(spark, sf_dir)
+    prepared, scopes, products = _mining(spark, sf_dir)
     products = materialise(products, "scope-products")
-    return materialise(basket.scope_baskets(lines, products), "scope-baskets"), scopes, products
+    return materialise(basket.scope_baskets(basket.lines_of(prepared), products), "scope-baskets"), scopes, products
 
 
 @query("scope_baskets")
