@@ -5,11 +5,13 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tillroll.operators.companions import companion_index
-from tillroll.operators.recommend import REQUEST_COLUMNS, companions, predictions
+from tillroll.operators.recommend import REQUEST_COLUMNS, companions, predictions, scenario_contents
 from tillroll.sources.buckets import read_buckets, write_buckets
+from tillroll.sources.stage import materialise
 
 LINES = "invoice_no string, stock_code string, product_name string, source_segment_code string"
 REQUESTS = "request_id string, segment_code string, product_code string, min_lift double, max_results int"
@@ -63,3 +65,29 @@ def test_buckets_are_joined_without_a_shuffle(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "Bucketed: true" in plan and "SortMergeJoin" in plan
+
+
+def test_lines_are_shuffled_once_for_all_scopes(spark):
+    scopes = materialise(asked(spark).select(F.col("segment_code").alias("scope")).distinct(), "scopes")
+    lines = materialise(spark.createDataFrame(scenario(4), LINES), "lines")
+    plan = scenario_contents(lines, F.broadcast(scopes))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+@pytest.mark.parametrize("width", [0, 3])
+def test_wide_invoices_and_lines_without_invoice_count_as_before(spark, width):
+    """Invoices over the width are joined with themselves; a line without invoice covers its product and pairs with none."""
+    data = [*scenario(5, width=9), (None, "P1", "nP1", "S1"), (None, "P2", "nP2", None)]
+    lines, requests = spark.createDataFrame(data, LINES), asked(spark)
+    found = companions(lines, requests, 0.05, width=width)
+    assert found.count() > 50 and rows(found) == rows(companions(lines, requests, 0.05))
+    held = {}
+    for invoice, code, name, _ in data:
+        held.setdefault(invoice, set()).add((code, name))
+    top = {r.request_id: r for r in found.collect() if r.position == 1}
+    for n in range(13):
+        baskets = [goods for invoice, goods in held.items() if invoice and f"P{n}" in {code for code, _ in goods}]
+        best = max((sum(good in goods for goods in baskets) for good in {g for b in baskets for g in b if g[0] != f"P{n}" and g[1]}), default=0)
+        if f"ALL/{n}" in top:
+            assert top[f"ALL/{n}"].coverage_basket_count == best
+    assert {r.scope_basket_count for r in top.values() if r.segment_code == "ALL"} == {len(held) - 1}

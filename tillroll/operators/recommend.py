@@ -91,34 +91,51 @@ def match_rules(rules: DataFrame, requests: DataFrame, source: str) -> DataFrame
     ).select(*ANSWER_COLUMNS)
 
 
+def scenario_contents(lines: DataFrame, scopes: DataFrame) -> DataFrame:
+    """(scope, invoice_no, goods): the distinct (stock_code, product_name) of each invoice in the scopes that are asked for.
+
+    Lines are shuffled once, by invoice; an invoice is then dealt out to all customers and to its segments.
+    """
+    c = F.col
+    place = F.struct("stock_code", "product_name", "source_segment_code")
+    held = lines.groupBy("invoice_no").agg(F.collect_set(place).alias("held"))
+    own = F.array_distinct(F.array_compact(F.concat(F.array(F.lit(fixed.ALL_SCOPE)), "held.source_segment_code")))
+    dealt = held.select(F.explode(own).alias("scope"), "invoice_no", "held").join(scopes, "scope", "left_semi")
+    part = F.when(c("scope") == fixed.ALL_SCOPE, c("held")).otherwise(
+        F.filter("held", lambda at: at["source_segment_code"] == c("scope"))
+    )
+    goods = F.transform(part, lambda at: F.struct(at["stock_code"].alias("stock_code"), at["product_name"].alias("product_name")))
+    return dealt.select("scope", "invoice_no", F.array_distinct(goods).alias("goods"))
+
+
 def companions(
-    lines: DataFrame, requests: DataFrame, min_confidence: float = MIN_PREDICTION_CONFIDENCE
+    lines: DataFrame, requests: DataFrame, min_confidence: float = MIN_PREDICTION_CONFIDENCE, width: int = 256
 ) -> DataFrame:
     """Products that share generated baskets with each request's product.
 
     One aggregate over (scope, product, companion) limited to the requested products serves all
-    requests. Companions that pass the limits are ranked by frequency.
+    requests. Pairs are met inside the row of a basket and counted before they are shuffled; a basket of over `width`
+    products is joined with itself, so that its pairs need not come from one row. Companions that pass the limits are ranked by frequency.
     """
     c = F.col
     wanted = requests.select(c("segment_code").alias("scope"), c("product_code").alias("anchor")).distinct()
-    scopes = wanted.select("scope").distinct()
-    own = F.array_distinct(F.array(F.lit(fixed.ALL_SCOPE), "source_segment_code"))
-    content = (
-        lines.select(F.explode(own).alias("scope"), "invoice_no", "stock_code", "product_name")
-        .join(scopes, "scope", "left_semi")
-        .distinct()
-    )
-    totals = content.groupBy("scope").agg(F.count_distinct("invoice_no").alias("total"))
-    coverage = content.groupBy("scope", "stock_code", "product_name").agg(F.count("*").alias("baskets"))
-    anchors = (
-        content.select("scope", "invoice_no", c("stock_code").alias("anchor"))
-        .join(wanted, ["scope", "anchor"], "left_semi")
-        .distinct()
-    )
+    wanted = small(materialise(wanted, "wanted-products"))
+    content = materialise(scenario_contents(lines, wanted.select("scope").distinct()), "scope-contents")
+    totals = content.groupBy("scope").agg(F.count("invoice_no").alias("total"))
+    each = content.select("scope", F.inline("goods"))
+    coverage = each.groupBy("scope", "stock_code", "product_name").agg(F.count("*").alias("baskets"))
+    codes = F.explode(F.array_distinct("goods.stock_code")).alias("anchor")
+    anchors = content.select("scope", "invoice_no", codes, "goods").join(wanted, ["scope", "anchor"], "left_semi")
     anchor_counts = anchors.groupBy("scope", "anchor").agg(F.count("*").alias("anchor_baskets"))
-    together = anchors.join(content, ["scope", "invoice_no"]).filter(c("stock_code") != c("anchor"))
+    met = anchors.filter(c("invoice_no").isNotNull() & (F.size("goods") <= width)).select("scope", "anchor", F.inline("goods"))
+    wide = content.filter(F.size("goods") > width)
+    asked = wide.select("scope", "invoice_no", codes).join(wanted, ["scope", "anchor"], "left_semi")
+    crossed = asked.join(wide.select("scope", "invoice_no", F.inline("goods")), ["scope", "invoice_no"]).drop("invoice_no")
+    together = met.unionByName(crossed).filter(c("stock_code") != c("anchor"))
     pairs = together.groupBy("scope", "anchor", "stock_code", "product_name").agg(F.count("*").alias("pair_baskets"))
-    names = lines.groupBy(c("stock_code").alias("anchor")).agg(F.max("product_name").alias("anchor_name"))
+    # Names are made distinct first, which combines before the shuffle without a sort of the lines.
+    names = lines.select("stock_code", "product_name").distinct()
+    names = names.groupBy(c("stock_code").alias("anchor")).agg(F.max("product_name").alias("anchor_name"))
 
     counted = (
         pairs.join(coverage, ["scope", "stock_code", "product_name"])

@@ -101,7 +101,8 @@ def basket_items(spark: SparkSession, sf_dir: str, product: str = "brand") -> Da
 def scenario_lines(items: DataFrame, segments: DataFrame) -> DataFrame:
     """Basket items in the layout of generated lines: one name per product, the customer's segment as source."""
     source = segments.select("customer_id", F.col("segment_code").alias("source_segment_code"))
-    names = items.groupBy("stock_code").agg(F.max("product_name").alias("product_name"))
+    # Distinct first, which combines before the shuffle without a sort of the items.
+    names = items.select("stock_code", "product_name").distinct().groupBy("stock_code").agg(F.max("product_name").alias("product_name"))
     return items.drop("product_name").join(names, "stock_code").join(source, "customer_id").select(
         F.concat_ws("-", "invoice_no", "customer_id", "stock_code").alias("synthetic_line_id"),
         "invoice_no",
