@@ -22,6 +22,7 @@ from tillroll.schemas import BASKET_ITEM_COLUMNS, MARTS
 from tillroll.sources.buckets import read_buckets
 from tillroll.sources.items import export_tsv, read_basket_items, read_segments
 from tillroll.sources.marts import read_manifest, read_marts
+from tillroll.sources.stage import materialise
 
 CFG = AugmentationConfig(
     target_rows=10_000,
@@ -250,3 +251,14 @@ def test_analytics_job_feeds_the_marts(spark, sf_dir, tmp_path):
     path = tmp_path / "segments.csv"
     spark.read.parquet(manifest["outputs"]["rfm_customers"]).coalesce(1).write.csv(str(path), header=True)
     assert read_segments(spark, str(path)).count() == manifest["rfm_customer_count"]
+
+
+def test_cells_and_medians_read_their_input_once(make_items):
+    """What they return reads stored products of invoices and stored counts, however often it is used."""
+    data = [(f"I{n}", "C", None, code, code, 1, n) for n in range(4) for code in "ABC"]
+    lines = materialise(make_items(data), "lines-read-once")
+    dealt = profiles.cells(lines.select("invoice_no", "stock_code"), 2)
+    found = medians.exact_median(lines.withColumn("v", F.col("item_amount").cast("double")), ["stock_code"], "v", "m", per_unit=100)
+    for df in (dealt, found):
+        assert "lines-read-once" not in df._jdf.queryExecution().toString()
+    assert {tuple(r) for r in found.collect()} == {(code, 1.5) for code in "ABC"}

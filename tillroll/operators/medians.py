@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillroll.sources.stage import materialise
+
 # Values that share all bits above this many lowest ones form a coarse bucket.
 _FINE_BITS = 18
 
@@ -20,7 +22,8 @@ def exact_median(df: DataFrame, keys: list[str], value: str, name: str, per_unit
     c = F.col
     counts = df.filter(c(value).isNotNull()).groupBy(*keys, c(value).alias("_value")).agg(F.count("*").alias("_count"))
     bucket = F.shiftright("_value", _FINE_BITS) if per_unit is None else F.floor(c("_value") * per_unit)
-    counts = counts.withColumn("_bucket", bucket)
+    # Stored, as buckets and the values of the middle ones are read from it.
+    counts = materialise(counts.withColumn("_bucket", bucket), "value-counts")
     buckets = counts.groupBy(*keys, "_bucket").agg(F.sum("_count").alias("_rows"))
     group = Window.partitionBy(*keys)
     upto = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)

@@ -75,18 +75,23 @@ def _basket_products(items: DataFrame, goods: DataFrame, cfg: AugmentationConfig
 def cells(places: DataFrame, width: int) -> DataFrame:
     """(low, high, firsts, others): each invoice's products dealt out as the upper triangle of a grid of blocks.
 
-    An invoice of up to `width` lines is one cell. A longer one is cut into blocks of about `width` products by hash, and
-    every two blocks meet in a cell of their own, so its pairs are spread over tasks and no row holds them all.
+    An invoice of up to `width` products is one cell. A longer one is cut into blocks of about `width` products by hash, and
+    every two blocks meet in a cell of their own, so its pairs are spread over tasks and no row holds them all. The products
+    of invoices are stored after the one shuffle that all lines go through.
     """
     c = F.col
-    lines = places.groupBy("invoice_no").agg(F.count("*").alias("_lines")).filter(c("_lines") > width)
-    wide = materialise(lines.select("invoice_no", F.ceil(c("_lines") / width).cast("int").alias("_blocks")), "wide-invoices")
-    dealt = places.join(small(wide), "invoice_no", "left").withColumn("_blocks", F.coalesce("_blocks", F.lit(1)))
+    products = F.sort_array(F.collect_set("stock_code")).alias("firsts")
+    held = materialise(places.groupBy("invoice_no").agg(products), "invoice-products")
+    first = F.lit(0)
+    narrow = held.filter(F.size("firsts") <= width).select("invoice_no", first.alias("low"), first.alias("high"), "firsts", c("firsts").alias("others"))
+    blocks = F.ceil(F.size("firsts") / width).cast("int").alias("_blocks")
+    dealt = held.filter(F.size("firsts") > width).select("invoice_no", blocks, F.explode("firsts").alias("stock_code"))
     dealt = dealt.withColumn("_block", F.pmod(F.xxhash64("stock_code"), c("_blocks")).cast("int"))
     dealt = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), c("_blocks") - 1)))
     dealt = dealt.select("invoice_no", "stock_code", "_block", F.least("_block", "_other").alias("low"), F.greatest("_block", "_other").alias("high"))
     members = lambda side: F.sort_array(F.collect_set(F.when(c("_block") == c(side), c("stock_code"))))
-    return dealt.groupBy("invoice_no", "low", "high").agg(members("low").alias("firsts"), members("high").alias("others"))
+    wide = dealt.groupBy("invoice_no", "low", "high").agg(members("low").alias("firsts"), members("high").alias("others"))
+    return narrow.unionByName(wide)
 
 
 def pair_counts(items: DataFrame, goods: DataFrame, cfg: AugmentationConfig, width: int = 256) -> tuple[DataFrame, DataFrame]:
