@@ -112,6 +112,16 @@ def test_chunks_give_the_tokenizers_ids(bpe):
         assert np.frombuffer(encoder.encode(text or ""), "<u4").tolist() == bpe.encode(text or "", add_special_tokens=False).ids
 
 
+def test_a_word_behind_a_space_is_kept_once(bpe):
+    encoder = packing.ChunkEncoder(vocabulary("byte_bpe_50k.json"))
+    asked, tokenize = [], encoder.tokenize
+    encoder.tokenize = lambda spelled: asked.append(spelled) or tokenize(spelled)
+    text = "a qwyx qwyx, (qwyx) qwyx. qwyx\nqwyx naïve, naïve"
+    assert np.frombuffer(encoder.encode(text), "<u4").tolist() == bpe.encode(text, add_special_tokens=False).ids
+    assert asked.count("Ġqwyx") == 1 and {"qwyx", "naïve"} <= set(encoder.chunks)
+    assert not [piece for piece in encoder.pieces if piece.startswith(" ")]
+
+
 def test_kept_chunks_are_bounded_in_bytes_and_move_up():
     asked = []
     known = packing._Known(lambda key: asked.append(key) or key.encode(), budget=4000)
