@@ -238,3 +238,37 @@ def test_baskets_of_customers_in_several_segments(make_items, spark):
     assert found == {"ALL": brute_itemsets(whole, cfg), "NEW": brute_itemsets(["ABC", "ABE"], loose), "LOYAL": brute_itemsets(["EF", "ABEF", "EF"], loose)}
     lines = Counter(r.scope for r in basket.scoped_lines(items, segments, cfg).collect())
     assert lines == {"ALL": 19, "NEW": 6, "LOYAL": 8}
+
+
+def test_kept_baskets_come_from_the_baskets_rows_without_a_shuffle(spark):
+    """Odd codes, customers without a segment, an invoice of two segments, products kept in one scope only."""
+    draw = random.Random(5)
+    codes = ["a", "b", "ü\"|", "c\\d", " e", "f"]
+    made = [(f"i{i}", f"c{draw.randrange(6)}", code, draw.choice([None, f"n{code}", "n"])) for i in range(60) for code in draw.sample(codes, draw.randint(1, 5))]
+    made += [("i0", "c9", "a", "x"), ("i0", "c9", "f", None), ("two", "c0", "a", "n"), ("two", "c1", "b", "n"), ("two", "c1", "f", "n"), ("two", "c0", "c\\d", "n")]
+    items = spark.createDataFrame(made, "invoice_no string, customer_id string, stock_code string, product_name string")
+    segments = spark.createDataFrame([(f"c{i}", f"S{i % 2}", f"Name {i % 2}") for i in range(5)], "customer_id string, segment_code string, segment_name string")
+    cfg = replace(CFG, segment_min_support=0.25, min_segment_baskets=2)
+    prepared = basket.prepared_baskets(items, segments, cfg)
+    scopes = basket.scope_table(items, segments, cfg)
+    products = materialise(basket.scope_products(basket.lines_of(prepared), basket.basket_counts(prepared, scopes, cfg), cfg), "products")
+    kept = basket.kept_baskets(prepared, products)
+    assert "Exchange" not in kept._jdf.queryExecution().executedPlan().toString()
+    found = sorted(map(repr, kept.collect()))
+    assert found == sorted(map(repr, basket.scope_baskets(basket.lines_of(prepared), products).collect()))
+    assert found == sorted(map(repr, basket.kept_baskets(prepared, products, most=0).collect()))
+    assert {r.scope for r in kept.collect()} == {"ALL", "S0", "S1"}
+    number = {(r.scope, r.stock_code): r.item for r in products.collect()}
+    first, owner = {}, {f"c{i}": f"S{i % 2}" for i in range(5)}
+    for invoice, customer, code, name in sorted(made, key=lambda r: (r[1], r[3] is not None, r[3] or "")):
+        first.setdefault((invoice, code), (customer, name))
+    held = defaultdict(list)
+    for (invoice, code), (customer, name) in first.items():
+        if len([1 for i, _ in first if i == invoice]) >= CFG.min_basket_size:
+            for scope in {"ALL", owner.get(customer)}:
+                if (scope, code) in number:
+                    held[scope, invoice].append((number[scope, code], name))
+    expected = {place: sorted(content, key=lambda r: r[0]) for place, content in held.items() if len(content) >= 2}
+    assert {(r.scope, r.invoice_no): [tuple(x) for x in r.content] for r in kept.collect()} == expected
+    none = basket.kept_baskets(prepared, materialise(products.limit(0), "none"))
+    assert none.count() == 0

@@ -6,6 +6,8 @@ pass. A small table of scopes holds what belongs to a scope: its segment and its
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
 from dataclasses import replace
 from functools import reduce
 
@@ -21,6 +23,8 @@ from tillroll.sources.stage import materialise
 
 # Broadcast hints are given only to frames with at most this many counted rows, each a few dozen bytes wide.
 MAX_BROADCAST_ROWS = 500_000
+# Kept products that are looked up inside a basket's row; more of them meet the lines in joins.
+MAX_LOOKED_UP = 2_000
 
 RULE_COLUMNS = [
     "rule_id",
@@ -176,23 +180,66 @@ def scope_baskets(lines: DataFrame, products: DataFrame) -> DataFrame:
     own = numbers.select(c("scope").alias("own_scope"), "stock_code", c("item").alias("own_item"))
     numbered = with_own_scope(lines).join(small(numbers), ["scope", "stock_code"], "left")
     numbered = numbered.join(small(own), ["own_scope", "stock_code"], "left").filter(F.coalesce("item", "own_item").isNotNull())
-    place = F.struct("item", "own_item", F.when(c("own_item").isNotNull(), c("own_scope")).alias("own_scope"), "product_name")
-    held = numbered.groupBy("scope", "invoice_no").agg(F.collect_list(place).alias("held"))
-    whole = F.struct("scope", F.filter("held", lambda at: at["item"].isNotNull()).alias("held"))
+    place = F.struct("stock_code", "item", "own_item", "own_scope", "product_name")
+    return _dealt(numbered.groupBy("scope", "invoice_no").agg(F.sort_array(F.collect_list(place)).alias("held")))
+
+
+def kept_baskets(prepared: DataFrame, products: DataFrame, most: int = MAX_LOOKED_UP) -> DataFrame:
+    """The same from prepared baskets, whose rows hold a whole basket: products are looked up there and nothing is shuffled.
+
+    Over `most` kept products meet the lines in joins instead.
+    """
+    rows, scopes = products.agg(F.count("*"), F.count_distinct("scope")).first()
+    if rows > most:
+        return scope_baskets(lines_of(prepared), products)
+    number = _numbers(products, max(1, rows // max(1, scopes)))
+    place = lambda at: F.struct(
+        number(F.col("scope"), at["stock_code"]).alias("item"),
+        number(at["own_scope"], at["stock_code"]).alias("own_item"),
+        at["own_scope"].alias("own_scope"),
+        at["product_name"].alias("product_name"),
+    )
+    return _dealt(prepared.select("scope", "invoice_no", F.transform("content", place).alias("held")))
+
+
+def _numbers(products: DataFrame, buckets: int) -> Callable[[Column, Column], Column]:
+    """The number of a kept product in a scope, else null.
+
+    The products of a scope lie in `buckets` small maps by hash, so that a search meets few of them; lambdas cannot hold
+    subqueries, so these few rows become a constant.
+    """
+    bucket = lambda code: F.pmod(F.hash(code), F.lit(buckets))
+    table: dict[str, list[dict[str, int]]] = {}
+    for row in products.select("scope", "stock_code", "item", bucket(F.col("stock_code")).alias("bucket")).collect():
+        table.setdefault(row.scope, [{} for _ in range(buckets)])[row.bucket][row.stock_code] = row.item
+    constant = F.from_json(F.lit(json.dumps(table)), "map<string,array<map<string,int>>>")
+    return lambda scope, code: F.try_element_at(F.get(F.try_element_at(constant, scope), bucket(code)), code)
+
+
+def _dealt(held: DataFrame) -> DataFrame:
+    """Baskets of all customers, their products numbered in both scopes and in code order, dealt out to the scopes they hold."""
+    c = F.col
+    named = lambda items, number: F.transform(
+        items, lambda at: F.struct(at[number].alias("item"), at["product_name"].alias("product_name"))
+    )
+    whole = F.struct("scope", named(F.filter("held", lambda at: at["item"].isNotNull()), "item").alias("content"))
+    owned = F.filter("held", lambda at: at["own_item"].isNotNull())
     parts = F.transform(
-        F.array_distinct(F.array_compact("held.own_scope")),
-        lambda part: F.struct(part.alias("scope"), F.filter("held", lambda at: at["own_scope"] == part).alias("held")),
+        F.array_distinct(c("owned.own_scope")),
+        lambda part: F.struct(part.alias("scope"), named(F.filter("owned", lambda at: at["own_scope"] == part), "own_item").alias("content")),
     )
-    dealt = held.select("invoice_no", c("scope").alias("of"), F.inline(F.concat(F.array(whole), parts)))
-    item = lambda at: F.when(c("scope") == c("of"), at["item"]).otherwise(at["own_item"])
-    named = F.transform("held", lambda at: F.struct(item(at).alias("item"), at["product_name"].alias("product_name")))
-    return dealt.filter(F.size("held") >= 2).select("scope", "invoice_no", F.sort_array(named).alias("content"))
+    dealt = held.withColumn("owned", owned).select("invoice_no", F.inline(F.concat(F.array(whole), parts)))
+    return dealt.filter(F.size("content") >= 2).select("scope", "invoice_no", "content")
 
 
 def product_catalog(baskets: DataFrame, products: DataFrame) -> DataFrame:
-    """Last name of every product per scope; a missing name reads as the fixed label and sorts last."""
+    """Last name of every product per scope; a missing name reads as the fixed label and sorts last.
+
+    Names are made distinct first, which combines before the shuffle without a sort of the lines.
+    """
     name = F.coalesce("product_name", F.lit(UNNAMED_IN_RULES))
-    names = baskets.select("scope", F.inline("content")).groupBy("scope", "item").agg(F.max(name).alias("product_name"))
+    names = baskets.select("scope", F.inline("content")).select("scope", "item", name.alias("product_name")).distinct()
+    names = names.groupBy("scope", "item").agg(F.max("product_name").alias("product_name"))
     return names.join(products.select("scope", "item", "stock_code"), ["scope", "item"])
 
 
@@ -363,7 +410,7 @@ def mine_contents(prepared: DataFrame, scopes: DataFrame, cfg: BasketConfig, lim
     """Rules of every scope of prepared baskets."""
     lines = lines_of(prepared)
     products = materialise(scope_products(lines, basket_counts(prepared, scopes, cfg), cfg), "scope-products")
-    baskets = materialise(scope_baskets(lines, products), "scope-baskets")
+    baskets = materialise(kept_baskets(prepared, products), "scope-baskets")
     sizes = materialise(basket_sizes(baskets, scopes), "basket-sizes")
     frequent = with_texts(itemsets(baskets, sizes, cfg), product_catalog(baskets, products))
     measured = rules(materialise(frequent, "named-itemsets"), cfg)

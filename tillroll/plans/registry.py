@@ -367,7 +367,7 @@ def scope_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _baskets(spark: SparkSession, sf_dir: str) -> Mining:
     prepared, scopes, products = _mining(spark, sf_dir)
     products = materialise(products, "scope-products")
-    return materialise(basket.scope_baskets(basket.lines_of(prepared), products), "scope-baskets"), scopes, products
+    return materialise(basket.kept_baskets(prepared, products), "scope-baskets"), scopes, products
 
 
 @query("scope_baskets")
